@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import settings as S
@@ -151,13 +151,16 @@ def growth_leaderboard(board: DataFrame, top_n: int = 18) -> DataFrame:
 
 
 def label_distribution(board: DataFrame) -> DataFrame:
-    """Rows per label and their share; null labels are left out."""
+    """Rows per label and their share; null labels are left out.
+
+    The total comes from the counted labels, a handful of rows, so the board is read once.
+    """
     counts = (
         board.filter(F.col("trend_label").isNotNull())
         .groupBy("trend_label")
         .agg(F.count("*").alias("rows"))
     )
-    total = board.select(F.count("trend_label")).scalar()
+    total = F.sum("rows").over(Window.partitionBy(F.lit(0)))
     return counts.withColumn("share", F.round(F.col("rows") / total, 6))
 
 
@@ -320,18 +323,20 @@ def latest_per_keyword(board: DataFrame) -> DataFrame:
 def signed_percent(fraction: Column) -> Column:
     """A fraction as a signed percentage with one decimal."""
     scaled = F.round(fraction * 100, 1)
-    return F.concat(F.when(scaled >= 0, F.lit("+")).otherwise(F.lit("")), F.format_string("%.1f", scaled), F.lit("%"))
+    sign = F.when(scaled >= 0, F.lit("+")).otherwise(F.lit(""))
+    shown = F.concat(sign, F.format_string("%.1f", scaled), F.lit("%"))
+    return F.when(scaled.isNotNull(), shown)
 
 
 def display(board: DataFrame) -> DataFrame:
     """Ranking rows as shown: signed percent growth, two-decimal score, Yes/No anomaly."""
-    dash = F.lit("-")
+    dash, z = F.lit("-"), F.round("z_score", 2)
     return board.select(
         "keyword",
         "trend_label",
         "frequency",
         F.coalesce(signed_percent(F.col("growth_rate")), dash).alias("growth"),
-        F.coalesce(F.format_string("%.2f", F.round("z_score", 2)), dash).alias("z"),
+        F.when(z.isNotNull(), F.format_string("%.2f", z)).otherwise(dash).alias("z"),
         F.when(F.col("is_anomaly") == 1, F.lit("Yes")).otherwise(F.lit("No")).alias("anomaly"),
     )
 

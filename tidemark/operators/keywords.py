@@ -39,32 +39,24 @@ def top_keywords(events: DataFrame, n: int = S.TOP_KEYWORDS) -> DataFrame:
 
 
 def term_counts(tokens: Column) -> Column:
-    """Array of (keyword, tf) of a sorted token array: one entry per run of equal tokens."""
+    """Array of (keyword, tf) of a sorted token array: one entry per run of equal tokens.
+
+    `tokens` must be a stored column, not an expression, or each entry would compute it anew.
+    """
     size = F.size(tokens)
     starts = F.filter(
-        F.when(size > 0, F.sequence(F.lit(1), size)).otherwise(F.array().cast("array<int>")),
+        F.sequence(F.lit(1), size),
         lambda i: (i == 1) | (F.get(tokens, i - 1) != F.get(tokens, i - 2)),
     )
-    ends = F.concat(F.slice(starts, 2, F.greatest(F.size(starts), F.lit(1))), F.array(size + 1))
-    return F.zip_with(
+    ends = F.concat(F.slice(starts, 2, size), F.array(size + 1))
+    runs = F.zip_with(
         starts,
         ends,
         lambda start, end: F.struct(
             F.get(tokens, start - 1).alias("keyword"), (end - start).cast("bigint").alias("tf")
         ),
     )
-
-
-def tfidf(docs: DataFrame, min_doc_freq: int = S.MIN_DOC_FREQ) -> DataFrame:
-    """Mean TF-IDF of every keyword over its occurrences; input (id, keyword) occurrences plus
-    the documents without keywords as null keywords.
-
-    idf = ln((N + 1) / (df + 1)), 0 below `min_doc_freq` documents. Two combines: per document,
-    then per keyword; a keyword found everywhere reaches its final task as one row per map task.
-    """
-    per_doc = docs.groupBy("id", "keyword").agg(F.count("*").alias("tf"))
-    n_docs = docs.select(F.count_distinct("id").alias("n")).scalar()
-    return score_terms(per_doc.filter(F.col("keyword").isNotNull()), n_docs, min_doc_freq)
+    return F.when(size > 0, runs)
 
 
 def score_terms(terms: DataFrame, n_docs: Column, min_doc_freq: int = S.MIN_DOC_FREQ) -> DataFrame:
@@ -121,40 +113,41 @@ def hashed_tfidf(
     return model.transform(counts).select("id", "tfidf")
 
 
-def ngrams(clean_text: Column, longest: int) -> Column:
-    """Array of (at, entity) for every run of 1 to `longest` words, by start position."""
-    words = F.filter(F.split(clean_text, r"\s+"), lambda w: w != "")
-
-    def runs(length: int) -> Column:
-        last = F.size(words) - length + 1
-        starts = F.when(last > 0, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-        return F.transform(
-            starts,
-            lambda i: F.struct(
-                i.alias("at"), F.array_join(F.slice(words, i, length), " ").alias("entity")
-            ),
-        )
-
-    return F.concat(*[runs(n) for n in range(1, longest + 1)])
+def word_runs(words: str, longest: int) -> Column:
+    """Array of (words from a position on), one field per word, null past the end."""
+    shifted = [F.col(words)] + [F.slice(words, n, F.size(words)) for n in range(2, longest + 1)]
+    return F.arrays_zip(*[w.alias(f"w{n}") for n, w in enumerate(shifted, 1)])
 
 
 def tag_entities(
-    processed: DataFrame, dictionary: DataFrame, longest: int = 1, keys: tuple[str, ...] = ("id", "source", "timestamp")
+    processed: DataFrame,
+    dictionary: DataFrame,
+    longest: int = 1,
+    keys: tuple[str, ...] = ("id", "source", "timestamp"),
 ) -> DataFrame:
     """Entities of every document, in text order; documents without any keep an empty array.
 
-    The dictionary (entity, label) is joined with no hint: Spark broadcasts it while it is small
-    and falls back to a shuffled join when it is not. Words that match nothing are dropped by
-    the inner join, so only hits are grouped per document.
+    Runs of 1 to `longest` words are matched against the dictionary (entity, label). The join
+    has no hint: Spark broadcasts the dictionary while it is small and shuffles when it is not.
+    Only hits are grouped per document; the second read for documents without hits needs the
+    key columns alone.
     """
-    runs = processed.select(*keys, F.explode(ngrams(F.col("clean_text"), longest)).alias("run"))
+    words = F.filter(F.split("clean_text", r"\s+"), lambda w: w != "")
+    split = processed.select(*keys, words.alias("words")).filter(F.size("words") > 0)
+    runs = split.select(*keys, F.posexplode(word_runs("words", longest)).alias("pos", "run"))
+    fields = [F.col("run")[f"w{n}"] if longest > 1 else F.col("run")["w1"] for n in range(1, longest + 1)]
+    entities = [
+        F.when(fields[n - 1].isNotNull(), F.concat_ws(" ", *fields[:n])) for n in range(1, longest + 1)
+    ]
     hits = (
-        runs.select(*keys, "run.at", "run.entity")
+        runs.select(*keys, "pos", F.explode(F.array(*entities)).alias("entity"))
         .join(dictionary, "entity")
         .groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(F.struct("at", "entity", "label"))).alias("hits"))
+        .agg(F.array_sort(F.collect_list(F.struct("pos", "entity", "label"))).alias("hits"))
+    )
+    found = F.transform(
+        "hits", lambda h: F.struct(h["entity"].alias("entity"), h["label"].alias("label"))
     )
-    found = F.transform("hits", lambda h: F.struct(h["entity"].alias("entity"), h["label"].alias("label")))
     none = F.array().cast(schemas.ENTITIES)
     return (
         processed.select(*keys)

@@ -207,7 +207,7 @@ _cte("unified", "npost_t npost_f npost_n", """
     SELECT * FROM (SELECT * FROM npost_t UNION ALL SELECT * FROM npost_f UNION ALL SELECT * FROM npost_n)
     WHERE text IS NOT NULL AND trim(text, ' ') <> ''""")
 _cte("entries", "", f"""
-    SELECT page_id, {_TITLE} AS title, {_HOST} AS source, url AS link, html AS summary, {_at('page_id')} AS at,
+    SELECT page_id, {_TITLE} AS title, {_HOST} AS source, url AS link, html AS summary, {_at('page_id')} AS moment,
            page_id % 5 AS k FROM pages""")
 _cte("dict", "", f"""
     SELECT DISTINCT * FROM (
