@@ -5,12 +5,12 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import finite
 
-BINS = 4096
+BINS = 1 << 16
 
 
 def _bin(value: Column, low: float, high: float) -> Column:
@@ -29,26 +29,35 @@ def _narrow(df: DataFrame, spans: dict[tuple, tuple]) -> dict[tuple, tuple]:
     entries = []
     for (column, low, high, _), slot in slots.items():
         value = finite(F.col(column))
-        entry = F.struct(F.lit(slot).alias("slot"), _bin(value, low, high).alias("bin"), value.alias("v"))
-        entries.append(F.when(value.between(low, high), entry))
-    counted = (
-        df.select(F.inline(F.array_compact(F.array(*entries))))
+        inside = F.when(value.between(low, high), _bin(value, low, high))
+        entries.append(F.struct(F.lit(slot).alias("slot"), inside.alias("bin"), value.alias("v")))
+    bins = (
+        df.select(F.inline(F.array(*entries)))
+        .filter(F.col("bin").isNotNull())
         .groupBy("slot", "bin")
         .agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
-        .collect()  # at most BINS rows per open span, whatever the size of the table
     )
-    by_slot: dict[int, list] = {}
-    for row in sorted(counted, key=lambda r: (r["slot"], r["bin"])):
-        by_slot.setdefault(row["slot"], []).append(row)
-    narrowed = {}
-    for (column, rank), span in spans.items():
-        below = span[2]
-        for row in by_slot[slots[(column, *span)]]:
-            if rank < below + row["n"]:
-                narrowed[(column, rank)] = (row["low"], row["high"], below)
-                break
-            below += row["n"]
-    return narrowed
+    upto = F.sum("n").over(Window.partitionBy("slot").orderBy("bin"))
+    ranked = bins.withColumn("before", upto - F.col("n"))  # at most BINS rows per slot
+    picks, order = [], list(spans)
+    for i, (column, rank) in enumerate(order):
+        span = spans[(column, rank)]
+        at = F.lit(rank - span[2])
+        hit = (
+            (F.col("slot") == slots[(column, *span)])
+            & (at >= F.col("before"))
+            & (at < F.col("before") + F.col("n"))
+        )
+        picks.append(F.when(hit, F.lit(i)))
+    found = (
+        ranked.select("low", "high", "before", F.explode(F.array(*picks)).alias("pick"))
+        .filter(F.col("pick").isNotNull())
+        .collect()  # one row per open span
+    )
+    return {
+        order[row["pick"]]: (row["low"], row["high"], spans[order[row["pick"]]][2] + row["before"])
+        for row in found
+    }
 
 
 def exact_quantiles(

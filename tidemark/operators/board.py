@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark import settings as S
+from tidemark.functions.text import is_token
 
 # Stand-in columns for tables that lack the board's own.
 STAND_INS = (
@@ -280,34 +281,31 @@ def related_by_label(board: DataFrame, keyword: str, k: int = 6) -> DataFrame:
     return peaks.orderBy(F.desc("frequency"), "keyword").limit(k)
 
 
-def related_by_documents(doc_keywords: DataFrame, keyword: str | Column, k: int = 6) -> DataFrame:
-    """The k keywords found in most documents together with the given one.
+def related_in_texts(words_per_doc: DataFrame, keyword: str, k: int = 6) -> DataFrame:
+    """The k keywords found in most documents together with the given one, from one row per
+    document with its `words`.
 
-    Documents of the one keyword are joined to their other words, so the work follows the words
-    of those documents; no pairs of words are ever built.
-    """
-    holders = doc_keywords.filter(F.col("keyword") == keyword).select("id").distinct()
-    others = doc_keywords.join(holders, "id", "left_semi").filter(F.col("keyword") != keyword)
-    counts = others.groupBy("keyword").agg(F.count_distinct("id").alias("documents"))
-    return counts.orderBy(F.desc("documents"), "keyword").limit(k)
-
-
-def related_in_texts(words_per_doc: DataFrame, keyword: str | Column, k: int = 6) -> DataFrame:
-    """The same from one row per document with its distinct `words`.
-
-    A row tells by itself whether it holds the keyword, so there is no join: the only exchange
-    carries counts per word.
+    A row tells by itself whether it holds the keyword, so there is no join and no pair of words
+    is ever built: the only exchange carries counts per word.
     """
     holding = words_per_doc.filter(F.array_contains("words", keyword))
+    others = holding.select(F.explode(F.array_distinct("words")).alias("keyword"))
     counts = (
-        holding.select(F.explode("words").alias("keyword"))
-        .filter(F.col("keyword") != keyword)
+        others.filter((F.col("keyword") != keyword) & is_token(F.col("keyword")))
         .groupBy("keyword")
         .agg(F.count("*").alias("documents"))
     )
     return counts.orderBy(F.desc("documents"), "keyword").limit(k)
 
 
+def related_by_documents(doc_keywords: DataFrame, keyword: str, k: int = 6) -> DataFrame:
+    """The same from (id, keyword) rows: documents of the one keyword joined to their words."""
+    holders = doc_keywords.filter(F.col("keyword") == keyword).select("id").distinct()
+    others = doc_keywords.join(holders, "id", "left_semi").filter(F.col("keyword") != keyword)
+    counts = others.groupBy("keyword").agg(F.count_distinct("id").alias("documents"))
+    return counts.orderBy(F.desc("documents"), "keyword").limit(k)
+
+
 def distinct_labels(board: DataFrame) -> DataFrame:
     return board.filter(F.col("trend_label").isNotNull()).select(_plain().alias("trend_label")).distinct()
 

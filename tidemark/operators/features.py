@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark import settings as S
-from tidemark.operators.frequency import per_source
+from tidemark.operators.frequency import with_source_counts
 from tidemark.operators.normalize import align
 from tidemark.operators.signals import detect_trends
 
@@ -100,11 +100,4 @@ def features_of_events(events: DataFrame, **params) -> DataFrame:
     Four exchanges: base counts, per-source series, counts over all sources, and keyword. The
     last serves the window functions and the final aggregation alike.
     """
-    by_source = per_source(events)
-    merged = (
-        by_source.groupBy("keyword", "window", "window_start", "window_end")
-        .agg(F.sum("frequency").alias("frequency"), F.count("*").alias("sources"))
-        .withColumn("source", F.lit(S.ALL_SOURCES))
-        .repartition("keyword")
-    )
-    return features_of_trends(detect_trends(merged, **params))
+    return features_of_trends(detect_trends(with_source_counts(events), **params))

@@ -24,11 +24,8 @@ def candidates(features: DataFrame, n: int = S.TOP_FORECAST_KEYWORDS) -> DataFra
     return totals.orderBy(F.desc("total_freq"), "keyword").limit(n)
 
 
-def history(features: DataFrame, n: int | None = S.TOP_FORECAST_KEYWORDS) -> DataFrame:
-    """(keyword, ts, y, trend_label) rows of the candidates, or of all keywords if n is None."""
-    if n is not None:
-        # n keywords, so the broadcast side is bounded by the parameter.
-        features = features.join(F.broadcast(candidates(features, n).select("keyword")), "keyword", "left_semi")
+def _points(features: DataFrame) -> DataFrame:
+    """Hourly points of every keyword: (keyword, ts, y, trend_label)."""
     return features.filter(F.col("timestamp").isNotNull()).select(
         "keyword",
         F.col("timestamp").alias("ts"),
@@ -37,39 +34,62 @@ def history(features: DataFrame, n: int | None = S.TOP_FORECAST_KEYWORDS) -> Dat
     )
 
 
-def last_label() -> Column:
-    """Aggregate: last known trend label, else stable."""
-    known = F.when(F.col("trend_label").isNotNull(), F.col("ts"))
-    return F.coalesce(F.max_by("trend_label", known), F.lit("stable"))
+def history(features: DataFrame, n: int | None = S.TOP_FORECAST_KEYWORDS) -> DataFrame:
+    """The points of the n candidates, or of all keywords if n is None."""
+    if n is None:
+        return _points(features)
+    # The broadcast side holds n keywords, a parameter.
+    top = F.broadcast(candidates(features, n).select("keyword"))
+    return _points(features).join(top, "keyword", "left_semi")
 
 
 def _steps(hours: int) -> Column:
     return F.explode(F.sequence(F.lit(1), F.lit(hours))).alias("step")
 
 
-def linear(past: DataFrame, hours: int = S.FORECAST_HOURS, points: int = S.FORECAST_HISTORY) -> DataFrame:
-    """Last value plus the mean step of the latest points, with a 15 % band of at least 1.
+def linear(
+    points: DataFrame,
+    n: int | None = None,
+    hours: int = S.FORECAST_HOURS,
+    recent: int = S.FORECAST_HISTORY,
+) -> DataFrame:
+    """Last value plus the mean step of the latest points, with a 15 % band of at least 1, for
+    the n keywords with the most mentions or for all.
 
-    The mean of consecutive differences is (last - first) / (points - 1), so the recent points
-    collapse to one row per keyword before the forecast hours are generated.
+    The mean of consecutive differences is (last - first) / (points - 1), so a series collapses
+    to one row before the forecast hours are generated. Everything is kept by keyword: a feature
+    table that already is needs no further exchange, and ranking takes no join.
     """
-    newest = Window.partitionBy("keyword").orderBy(F.desc("ts"))
-    recent = past.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= points)
-    n = F.col("n")
-    ends = recent.groupBy("keyword").agg(
-        F.count("*").alias("n"),
+    series = Window.partitionBy("keyword")
+    known = F.when(F.col("trend_label").isNotNull(), F.col("ts"))
+    rows = points.select(
+        "keyword",
+        "ts",
+        "y",
+        F.max_by("trend_label", known).over(series).alias("label"),
+        F.sum("y").over(series).alias("total"),
+        F.row_number().over(series.orderBy(F.desc("ts"))).alias("age"),
+    )
+    count = F.count("*")
+    ends = rows.filter(F.col("age") <= recent).groupBy("keyword").agg(
         F.max("ts").alias("last_ts"),
         F.max_by("y", "ts").alias("last_y"),
-        F.min_by("y", "ts").alias("first_y"),
+        F.when(count > 1, (F.max_by("y", "ts") - F.min_by("y", "ts")) / (count - 1))
+        .otherwise(F.lit(0.0))
+        .alias("delta"),
+        F.coalesce(F.max("label"), F.lit("stable")).alias("trend_class"),
+        F.max("total").alias("total"),
     )
-    step = F.when(n > 1, (F.col("last_y") - F.col("first_y")) / (n - 1)).otherwise(F.lit(0.0))
+    if n is not None:
+        ends = ends.orderBy(F.desc("total"), "keyword").limit(n)
     yhat = F.greatest(F.col("last_y") + F.col("delta") * F.col("step"), F.lit(0.0))
     band = F.greatest(F.col("yhat") * 0.15, F.lit(1.0))
     return (
-        ends.select("keyword", "last_ts", "last_y", step.alias("delta"), _steps(hours))
+        ends.select("keyword", "trend_class", "last_ts", "last_y", "delta", _steps(hours))
         .withColumn("yhat", yhat)
         .select(
             "keyword",
+            "trend_class",
             (F.col("last_ts") + F.col("step") * F.expr(HOUR)).alias("predicted_at"),
             "yhat",
             F.greatest(F.col("yhat") - band, F.lit(0.0)).alias("yhat_lower"),
@@ -78,27 +98,22 @@ def linear(past: DataFrame, hours: int = S.FORECAST_HOURS, points: int = S.FOREC
     )
 
 
-def confidence() -> Column:
-    """Aggregate: 1 minus the mean relative band width, within 0.1 and 0.95."""
-    width = F.greatest(F.col("yhat_upper") - F.col("yhat_lower"), F.lit(0.0))
-    relative = width / F.greatest(F.abs("yhat"), F.lit(1.0))
-    return clamp(F.lit(1.0) - F.avg(relative), 0.1, 0.95)
-
+def predictions(forecast: DataFrame, hours: int = S.FORECAST_HOURS) -> DataFrame:
+    """Forecast rows in the prediction layout.
 
-def predictions(forecast: DataFrame, past: DataFrame, hours: int = S.FORECAST_HOURS) -> DataFrame:
-    """Forecast rows in the prediction layout, with label and confidence per keyword.
-
-    The forecast is small (`hours` rows per keyword) and its confidence one row per keyword.
+    Confidence is 1 minus the mean relative band width of the keyword's `hours` rows, within 0.1
+    and 0.95.
     """
-    trust = forecast.groupBy("keyword").agg(confidence().alias("confidence"))
-    labels = past.groupBy("keyword").agg(last_label().alias("trend_class"))
+    width = F.greatest(F.col("yhat_upper") - F.col("yhat_lower"), F.lit(0.0))
+    relative = width / F.greatest(F.abs("yhat"), F.lit(1.0))
+    mean = F.avg(relative).over(Window.partitionBy("keyword"))
 
     def bounded(name: str) -> Column:
         return F.greatest(F.col(name), F.lit(0.0))
 
-    joined = forecast.join(trust, "keyword").join(labels, "keyword")
-    shaped = joined.withColumns(
+    shaped = forecast.withColumns(
         {
+            "confidence": clamp(F.lit(1.0) - mean, 0.1, 0.95),
             "forecast_period": F.lit(f"{hours}h"),
             "predicted_freq": bounded("yhat"),
             "lower_bound": bounded("yhat_lower"),
@@ -111,8 +126,7 @@ def predictions(forecast: DataFrame, past: DataFrame, hours: int = S.FORECAST_HO
 def forecast_linear(
     features: DataFrame, n: int | None = S.TOP_FORECAST_KEYWORDS, hours: int = S.FORECAST_HOURS
 ) -> DataFrame:
-    past = history(features, n)
-    return predictions(linear(past, hours), past, hours)
+    return predictions(linear(_points(features), n, hours), hours)
 
 
 # --- seasonal regression -------------------------------------------------------------------
@@ -121,7 +135,7 @@ def forecast_linear(
 SEASONS = (("day", 24.0, 4), ("week", 168.0, 3))
 RIDGE = 1.0
 BAND_Z = 1.2815515655446004  # 80 % interval
-MODEL = "keyword string, last_ts timestamp, scale_hours double, coef array<double>, sigma double"
+MODEL = "keyword string, trend_class string, last_ts timestamp, scale_hours double, coef array<double>, sigma double"
 
 
 def _angles() -> list[tuple[float, int]]:
@@ -153,9 +167,11 @@ def fit_seasonal(past: DataFrame) -> DataFrame:
         penalty[0, 0] = 1e-6
         coef = np.linalg.solve(x.T @ x + penalty, x.T @ y)
         sigma = float(np.std(y - x @ coef))
+        labels = pdf["trend_label"].dropna()
         return pd.DataFrame(
             {
                 "keyword": [pdf["keyword"].iloc[0]],
+                "trend_class": [labels.iloc[-1] if len(labels) else "stable"],
                 "last_ts": [last],
                 "scale_hours": [scale],
                 "coef": [coef.tolist()],
@@ -163,7 +179,7 @@ def fit_seasonal(past: DataFrame) -> DataFrame:
             }
         )
 
-    return past.select("keyword", "ts", "y").groupBy("keyword").applyInPandas(fit, MODEL)
+    return past.groupBy("keyword").applyInPandas(fit, MODEL)
 
 
 def predict_seasonal(models: DataFrame, hours: int = S.FORECAST_HOURS) -> DataFrame:
@@ -177,6 +193,7 @@ def predict_seasonal(models: DataFrame, hours: int = S.FORECAST_HOURS) -> DataFr
     band = F.col("sigma") * BAND_Z
     return models.select("*", _steps(hours)).withColumn("yhat", yhat).select(
         "keyword",
+        "trend_class",
         (F.col("last_ts") + F.col("step") * F.expr(HOUR)).alias("predicted_at"),
         "yhat",
         (F.col("yhat") - band).alias("yhat_lower"),
@@ -187,5 +204,4 @@ def predict_seasonal(models: DataFrame, hours: int = S.FORECAST_HOURS) -> DataFr
 def forecast_seasonal(
     features: DataFrame, n: int | None = S.TOP_FORECAST_KEYWORDS, hours: int = S.FORECAST_HOURS
 ) -> DataFrame:
-    past = history(features, n)
-    return predictions(predict_seasonal(fit_seasonal(past), hours), past, hours)
+    return predictions(predict_seasonal(fit_seasonal(history(features, n)), hours), hours)

@@ -53,49 +53,61 @@ def base_counts(events: DataFrame, grain: int, by_source: bool = True) -> DataFr
     )
 
 
-def _spans(bucket: Column, label: str, slide_fraction: float) -> list[Column]:
-    """The windows of a label that hold a bucket: several when windows overlap, none in a gap."""
-    size, slide = window_seconds(label), slide_seconds(label, slide_fraction)
-    last = bucket_start(bucket, slide)
+def _spans(bucket: Column, labels: Sequence[str], slide_fraction: float) -> Column:
+    """Array of the windows (label number, start) that may hold a bucket.
+
+    Windows that overlap hold a bucket several times, windows with gaps may not hold it: the
+    start is null then.
+    """
     spans = []
-    for back in range(math.ceil(size / slide)):
-        start = last - F.lit(back * slide)
-        span = F.struct(F.lit(label).alias("window"), F.lit(size).alias("size"), start.alias("start"))
-        spans.append(F.when(start + F.lit(size) > bucket, span))
-    return spans
+    for number, label in enumerate(labels):
+        size, slide = window_seconds(label), slide_seconds(label, slide_fraction)
+        last = bucket_start(bucket, slide)
+        for back in range(math.ceil(size / slide)):
+            start = last - F.lit(back * slide) if back else last
+            if size % slide:
+                start = F.when(start + F.lit(size) > bucket, start)
+            spans.append(F.struct(F.lit(number).alias("label"), start.alias("start")))
+    return F.array(*spans)
 
 
 def roll_up(counts: DataFrame, labels: Sequence[str], slide_fraction: float, keys: list[str]) -> DataFrame:
-    """Base counts to the windows of every label.
+    """Base counts to the windows of every label, as (keys, label number, start, frequency).
 
     Partitioned by series before the buckets are expanded: a series holds at most one row per
     bucket of the calendar, and the sums here and the window functions on the same keys that
     follow need no further exchange.
     """
-    spans = F.array_compact(
-        F.array(*[s for label in labels for s in _spans(F.col("bucket"), label, slide_fraction)])
-    )
+    spans = F.inline(_spans(F.col("bucket"), labels, slide_fraction))
     return (
         counts.repartition(*keys)
-        .select(*keys, "frequency", F.inline(spans))
-        .groupBy(*keys, "window", "size", "start")
+        .select(*keys, "frequency", spans)
+        .filter(F.col("start").isNotNull())
+        .groupBy(*keys, "label", "start")
         .agg(F.sum("frequency").alias("frequency"))
-        .select(
-            *keys,
-            "window",
-            F.timestamp_seconds("start").alias("window_start"),
-            F.timestamp_seconds(F.col("start") + F.col("size")).alias("window_end"),
-            "frequency",
-        )
     )
 
 
+def name_windows(rolled: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """Label numbers and starts in seconds to the window columns; other columns are kept."""
+    sizes = F.array(*[F.lit(window_seconds(x)) for x in labels])
+    number = F.col("label") + 1
+    end = F.col("start") + F.element_at(sizes, number)
+    return rolled.withColumns(
+        {
+            "window": F.element_at(F.array(*map(F.lit, labels)), number),
+            "window_start": F.timestamp_seconds("start"),
+            "window_end": F.timestamp_seconds(end),
+        }
+    ).drop("label", "start")
+
+
 def all_windows(
     events: DataFrame, labels: Sequence[str] = S.WINDOWS, slide_fraction: float = 1.0
 ) -> DataFrame:
     """Counts over all sources, for every label."""
     counts = base_counts(events, _grain(labels, slide_fraction), by_source=False)
-    rolled = roll_up(counts, labels, slide_fraction, ["keyword"])
+    rolled = name_windows(roll_up(counts, labels, slide_fraction, ["keyword"]), labels)
     return rolled.withColumn("source", F.lit(S.ALL_SOURCES)).select(*COLUMNS)
 
 
@@ -104,7 +116,8 @@ def per_source(
 ) -> DataFrame:
     """Counts per source, for every label."""
     counts = base_counts(events, _grain(labels, slide_fraction))
-    return roll_up(counts, labels, slide_fraction, ["keyword", "source"]).select(*COLUMNS)
+    rolled = roll_up(counts, labels, slide_fraction, ["keyword", "source"])
+    return name_windows(rolled, labels).select(*COLUMNS)
 
 
 def keyword_frequency(
@@ -132,6 +145,17 @@ def frequency_halves(
     global_half = roll_up(merged, labels, slide_fraction, ["keyword"])
     source_half = roll_up(counts, labels, slide_fraction, ["keyword", "source"])
     return (
-        global_half.withColumn("source", F.lit(S.ALL_SOURCES)).select(*COLUMNS),
-        source_half.select(*COLUMNS),
+        name_windows(global_half, labels).withColumn("source", F.lit(S.ALL_SOURCES)).select(*COLUMNS),
+        name_windows(source_half, labels).select(*COLUMNS),
+    )
+
+
+def with_source_counts(events: DataFrame, labels: Sequence[str] = S.WINDOWS) -> DataFrame:
+    """Global counts that also carry the number of `sources` behind each, kept by keyword."""
+    rolled = roll_up(base_counts(events, _grain(labels, 1.0)), labels, 1.0, ["keyword", "source"])
+    merged = (
+        rolled.groupBy("keyword", "label", "start")
+        .agg(F.sum("frequency").alias("frequency"), F.count("*").alias("sources"))
+        .repartition("keyword")
     )
+    return name_windows(merged, labels).withColumn("source", F.lit(S.ALL_SOURCES))

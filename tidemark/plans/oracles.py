@@ -546,6 +546,9 @@ ORACLES: dict[str, str] = {
     "related_cooccurrence": _with("terms", """SELECT keyword, count(*) AS documents FROM terms
         WHERE keyword <> 'ing' AND id IN (SELECT id FROM terms WHERE keyword = 'ing')
         GROUP BY keyword ORDER BY documents DESC, keyword LIMIT 20"""),
+    "related_cooccurrence_joined": _with("terms", """SELECT keyword, count(*) AS documents FROM terms
+        WHERE keyword <> 'ing' AND id IN (SELECT id FROM terms WHERE keyword = 'ing')
+        GROUP BY keyword ORDER BY documents DESC, keyword LIMIT 20"""),
     "distinct_labels": _with("board", "SELECT DISTINCT trend_label FROM board"),
     "latest_per_keyword": _with("board", f"""SELECT {_BOARD_COLUMNS} FROM
         (SELECT *, row_number() OVER (PARTITION BY keyword ORDER BY "timestamp" DESC, "window" DESC, source DESC) AS rn

@@ -87,6 +87,11 @@ def predictions(spark, sf):
     return forecast.forecast_linear(feature_table(spark, sf), n=None)
 
 
+def keywords_of_documents(spark, sf):
+    """(id, keyword) of every occurrence."""
+    return keywords.keyword_events(B.posts(spark, sf), ("id",))
+
+
 def shown_predictions(df):
     return rounded(df, 4, "confidence")
 
@@ -746,10 +751,17 @@ def related_by_label(spark, sf):
 
 @query
 def related_cooccurrence(spark, sf):
-    docs = B.processed(spark, sf).select(F.array_distinct("tokens").alias("words"))
+    docs = normalize.english(B.posts(spark, sf)).select(text.words(F.col("text")).alias("words"))
     return board.related_in_texts(docs, FOCUS[0], 20)
 
 
+@query
+def related_cooccurrence_joined(spark, sf):
+    """The same from keyword events joined on their document."""
+    events = keywords_of_documents(spark, sf)
+    return board.related_by_documents(events, FOCUS[0], 20)
+
+
 @query
 def distinct_labels(spark, sf):
     return board.distinct_labels(trend_board(spark, sf))

@@ -68,10 +68,9 @@ class TrendRun:
     def forecast(self, feature_table: DataFrame, dt: str, seasonal: bool = False, n: int | None = S.TOP_FORECAST_KEYWORDS) -> DataFrame:
         """Write the day's predictions; a seasonal run also keeps its coefficients per keyword."""
         if seasonal:
-            past = forecast.history(feature_table, n)
-            files.write_snapshot(forecast.fit_seasonal(past), self.path("models"), dt)
-            models = self.snapshot("models", dt)
-            made = forecast.predictions(forecast.predict_seasonal(models), past)
+            fitted = forecast.fit_seasonal(forecast.history(feature_table, n))
+            files.write_snapshot(fitted, self.path("models"), dt)
+            made = forecast.predictions(forecast.predict_seasonal(self.snapshot("models", dt)))
         else:
             made = forecast.forecast_linear(feature_table, n)
         files.write_snapshot(made, self.path("predictions"), dt)

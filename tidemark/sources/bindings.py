@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark.functions import text, times
 from tidemark.operators.keywords import keyword_events
+from tidemark.session import spread_small
 
 EPOCH = 1704067200  # 2024-01-01 00:00:00 UTC
 SPREAD = 30 * 86400
@@ -33,7 +34,7 @@ def _iso(seconds: Column) -> Column:
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a post, with its own source."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread_small(table(spark, sf_dir, "documents"), "doc_id")
     return docs.select(
         F.col("doc_id").cast("string").alias("id"),
         "text",
@@ -62,7 +63,9 @@ def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def part_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of the part names of every line item: few keywords, dense series."""
-    lines = table(spark, sf_dir, "lineitem").select("l_partkey", "l_shipdate", "l_returnflag")
+    lines = spread_small(
+        table(spark, sf_dir, "lineitem").select("l_partkey", "l_shipdate", "l_returnflag"), "l_partkey", "l_shipdate"
+    )
     names = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name")
     return lines.join(names, "l_partkey").select(
         F.explode(F.split("p_name", " ")).alias("keyword"),
