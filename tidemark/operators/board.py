@@ -100,7 +100,7 @@ def surprise(board: DataFrame, seed: int = 0) -> DataFrame:
     """
     hot = F.col("trend_label").isin("emerging", "viral")
     order = F.struct(
-        F.when(hot, F.lit(0)).otherwise(F.lit(1)), F.xxhash64("keyword", F.lit(seed)), "keyword"
+        F.when(hot, F.lit(0)).otherwise(F.lit(1)), F.md5(F.concat("keyword", F.lit(f":{seed}"))), "keyword"
     )
     drawn = board.select(F.min_by("keyword", order)).scalar()
     return board.filter(F.col("keyword") == drawn)

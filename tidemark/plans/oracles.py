@@ -505,6 +505,9 @@ ORACLES: dict[str, str] = {
     "board_filter": _with("board", f"""SELECT {_BOARD_COLUMNS} FROM board
         WHERE trend_label IN ('viral', 'emerging', 'stable') AND frequency >= 2 AND growth_rate >= 0
           AND source IN ('src0', 'src1', '__all__')"""),
+    "board_surprise": _with("board", f"""SELECT {_BOARD_COLUMNS} FROM board WHERE keyword = (
+        SELECT keyword FROM (SELECT keyword, min(CASE WHEN trend_label IN ('viral', 'emerging') THEN 0 ELSE 1 END) AS cold
+            FROM board GROUP BY keyword) ORDER BY cold, md5(keyword || ':7'), keyword LIMIT 1)"""),
     "watchlist_alerts": _with("board", f"""SELECT {_BOARD_COLUMNS} FROM board
         WHERE keyword IN ('ing', 'ble', 'tion', 'ther', 'rewh', 'orre') AND z_score > 3"""),
     "trend_ranking": _with("gboard", f"""SELECT {_BOARD_COLUMNS} FROM

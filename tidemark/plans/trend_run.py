@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import argparse
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -87,3 +88,28 @@ class TrendRun:
             "trends": trends,
             "features": self.build(frequency, trends, dt),
         }
+
+
+def main(argv: Sequence[str] | None = None) -> None:
+    """`python -m tidemark.plans.trend_run ROOT --dt DAY [--raw PATH ...] [--forecast] ...`"""
+    parser = argparse.ArgumentParser(prog="trend_run", description="Run the batch stages over a root folder.")
+    parser.add_argument("root", help="folder that holds one sub-folder per dataset")
+    parser.add_argument("--dt", required=True, help="day of the snapshots, yyyy-MM-dd")
+    parser.add_argument("--raw", nargs="+", default=[], help="raw JSON Lines folders to process first")
+    parser.add_argument("--forecast", action="store_true", help="write the day's predictions")
+    parser.add_argument("--seasonal", action="store_true", help="forecast with the seasonal model")
+    parser.add_argument("--anomalies", choices=anomaly.METHODS, help="write the day's anomalies")
+    args = parser.parse_args(argv)
+
+    spark = SparkSession.builder.appName("tidemark").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    job = TrendRun(spark, args.root)
+    if args.raw:
+        job.run(files.load_raw_posts(spark, args.raw), args.dt)
+    if args.anomalies:
+        job.find_anomalies(job.snapshot("features", args.dt), args.dt, args.anomalies)
+    if args.forecast or args.seasonal:
+        job.forecast(job.snapshot("features", args.dt), args.dt, args.seasonal)
+
+
+if __name__ == "__main__":
+    main()
