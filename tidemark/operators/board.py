@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from datetime import date, datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import settings as S
@@ -154,14 +154,15 @@ def growth_leaderboard(board: DataFrame, top_n: int = 18) -> DataFrame:
 def label_distribution(board: DataFrame) -> DataFrame:
     """Rows per label and their share; null labels are left out.
 
-    The total comes from the counted labels, a handful of rows, so the board is read once.
+    The total is summed over the counted labels, whose exchange Spark reuses: the board is read
+    once.
     """
     counts = (
         board.filter(F.col("trend_label").isNotNull())
         .groupBy("trend_label")
         .agg(F.count("*").alias("rows"))
     )
-    total = F.sum("rows").over(Window.partitionBy(F.lit(0)))
+    total = counts.select(F.sum("rows")).scalar()
     return counts.withColumn("share", F.round(F.col("rows") / total, 6))
 
 

@@ -38,8 +38,8 @@ def history(features: DataFrame, n: int | None = S.TOP_FORECAST_KEYWORDS) -> Dat
     """The points of the n candidates, or of all keywords if n is None."""
     if n is None:
         return _points(features)
-    # The broadcast side holds n keywords, a parameter.
-    top = F.broadcast(candidates(features, n).select("keyword"))
+    # No hint: a limit of n rows has a known size, and Spark broadcasts it while that is small.
+    top = candidates(features, n).select("keyword")
     return _points(features).join(top, "keyword", "left_semi")
 
 

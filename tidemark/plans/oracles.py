@@ -336,8 +336,8 @@ ORACLES: dict[str, str] = {
     "scan_jsonl": _with("unified", "SELECT * FROM unified"),
     "sink_jsonl": _with("forum", "SELECT * FROM forum"),
     "sink_parquet_partitioned": _with("event_mentions", _windows("event_mentions", S.WINDOWS, False)),
-    "partition_pruned_read": _with("posts", """
-        SELECT id, "timestamp", engagement, source FROM posts WHERE source = 'src3'
+    "partition_pruned_read": _with("event_mentions", """
+        SELECT keyword, "timestamp", source FROM event_mentions WHERE source = 'group1'
         AND "timestamp" >= TIMESTAMP '2024-01-15' AND "timestamp" < TIMESTAMP '2024-01-16'"""),
     "sink_dt_snapshot": _with("event_mentions", _snapshot_days("-1")),
     "sink_csv": _with("forum", "SELECT id, title, score, created_utc, url FROM forum"),

@@ -131,8 +131,8 @@ def sink_parquet_partitioned(spark, sf):
 @query
 def partition_pruned_read(spark, sf):
     path = scratch_path(spark, "dated")
-    files.write_dated(B.posts(spark, sf).select("id", "timestamp", "engagement", "source"), path)
-    return files.read_dated(spark, path, "src3", DAY).select("id", "timestamp", "engagement", "source")
+    files.write_dated(B.event_mentions(spark, sf), path, files_per_folder=1)
+    return files.read_dated(spark, path, "group1", DAY).select("keyword", "timestamp", "source")
 
 
 @query
@@ -543,7 +543,7 @@ def top_keywords(spark, sf):
 
 @query
 def tfidf_keywords(spark, sf):
-    return rounded(keywords.tfidf_keywords(B.processed(spark, sf)), 6, "avg_tfidf_score")
+    return rounded(keywords.ranked_tfidf(B.processed(spark, sf)), 6, "avg_tfidf_score")
 
 
 @query

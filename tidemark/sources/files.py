@@ -93,14 +93,17 @@ def dated_path(root: str, source: str, at: datetime) -> str:
     return f"{root.rstrip('/')}/source={source}/year={at:%Y}/month={at:%m}/day={at:%d}"
 
 
-def write_dated(df: DataFrame, root: str, timestamp: str = "timestamp", mode: str = "append") -> None:
+def write_dated(
+    df: DataFrame, root: str, timestamp: str = "timestamp", mode: str = "append", files_per_folder: int = 8
+) -> None:
     """Write by source and day, so that a read for some days opens only their folders.
 
-    Rows are first spread over tasks by folder and a few slices of it: each folder gets a few
-    files, and a source that holds a third of the data is still written by several tasks.
+    Rows are first spread over tasks by folder and a few slices of it: each folder gets at most
+    `files_per_folder` files, and a source that holds a third of the data is still written by
+    that many tasks a day.
     """
     dated = df.withColumns(date_parts(F.col(timestamp)))
-    slice_of = F.pmod(F.xxhash64(*df.columns), F.lit(8))
+    slice_of = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_folder))
     spread = dated.repartition(*DATE_COLUMNS, slice_of)
     spread.write.mode(mode).partitionBy(*DATE_COLUMNS).parquet(root)
 
