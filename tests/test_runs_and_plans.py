@@ -81,6 +81,13 @@ def test_whole_run(spark, raw, tmp_path):
     job.forecast(table, "2024-02-01", seasonal=True)
     assert job.read("models").count() == 20
     assert job.snapshot("predictions", "2024-01-31").count() == 480
+    top, tagged = job.extract_keywords(job.read("processed"))
+    assert top.columns == schemas.names(schemas.KEYWORD_TABLE) and top.count() == 500
+    assert tagged.filter("size(entities) > 0").isEmpty()
+    words = job.read("trends").select(F.col("keyword").alias("entity"), F.lit("EVENT").alias("label")).distinct()
+    _, tagged = job.extract_keywords(job.read("processed"), words, 1)
+    assert tagged.count() == job.read("processed").count()
+    assert not tagged.filter("size(entities) > 0").isEmpty()
     with pytest.raises(ValueError):
         job.path("other")
 

@@ -80,7 +80,7 @@ def tfidf_keywords(processed: DataFrame, min_doc_freq: int = S.MIN_DOC_FREQ) ->
     Terms are counted inside each row, so documents are never shuffled: the one exchange carries
     per-keyword sums that were already combined in each map task.
     """
-    ordered = processed.select(F.array_sort("tokens").alias("tokens"))
+    ordered = processed.select(F.sort_array("tokens").alias("tokens"))
     terms = ordered.select(F.inline(term_counts(F.col("tokens"))))
     n_docs = processed.select(F.count("*").alias("n")).scalar()
     return score_terms(terms, n_docs, min_doc_freq)

@@ -14,7 +14,9 @@ from tidemark.operators import anomaly, features, forecast, frequency, keywords,
 from tidemark.sources import files
 
 # One folder per dataset, side by side: none is nested in another's layout.
-DATASETS = ("processed", "frequency", "trends", "features", "anomalies", "predictions", "models")
+DATASETS = (
+    "processed", "frequency", "trends", "features", "anomalies", "predictions", "models", "keywords", "entities",
+)
 
 
 class TrendRun:
@@ -62,6 +64,19 @@ class TrendRun:
         files.write_snapshot(table, self.path("features"), dt)
         return self.snapshot("features", dt).select(*schemas.names(schemas.FEATURE))
 
+    def extract_keywords(
+        self, processed: DataFrame, dictionary: DataFrame | None = None, longest: int = 3
+    ) -> tuple[DataFrame, DataFrame]:
+        """Top keywords with their TF-IDF, and the entities of every post: of the dictionary
+        (entity, label), or none without one."""
+        top = quality.check(keywords.keyword_table(processed), schemas.struct(schemas.KEYWORD_TABLE), "keywords")
+        if dictionary is None:
+            none = F.array().cast(schemas.ENTITIES).alias("entities")
+            tagged = processed.select("id", "source", "timestamp", none)
+        else:
+            tagged = keywords.tag_entities(processed, dictionary, longest)
+        return self._write(top, "keywords"), self._write(tagged, "entities")
+
     def find_anomalies(self, feature_table: DataFrame, dt: str, method: str = "isolation_forest", **params) -> DataFrame:
         files.write_snapshot(anomaly.enrich(feature_table, method, **params), self.path("anomalies"), dt)
         return self.snapshot("anomalies", dt)
