@@ -18,6 +18,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(df: DataFrame, base: str) -> str:
+    """A column name that the table doesn't have."""
+    taken = {name.lower() for name in df.columns}
+    while base in taken:
+        base = "_" + base
+    return base
+
+
 def texts(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of each text; null counts as empty."""
     return [value or b"" for value in column.cast(pa.large_binary()).to_pylist()]

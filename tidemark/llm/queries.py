@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, packing, quality, rules
+from tidemark.llm import langid, packing, quality, rules, simhash
 from tidemark.llm.common import table
 from tidemark.session import materialize
 
@@ -23,6 +23,13 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its fingerprint and the smallest doc_id that links reach."""
+    found = simhash.similar(table(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document under the base rules and a learnt decision list."""
     stats = materialize(rules.statistics(table(spark, sf_dir, "documents")), "op5-stats")
@@ -55,6 +62,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 CATALOGUE = {
     "op1_packing": op1_packing,
+    "op3_simhash": op3_simhash,
     "op5_quality_rules": op5_quality_rules,
     "op6_language_id": op6_language_id,
     "op10_quality_classifier": op10_quality_classifier,
