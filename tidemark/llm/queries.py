@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, packing, quality, rules, simhash
+from tidemark.llm import decontam, langid, packing, pii, quality, rules, simhash
 from tidemark.llm.common import table
 from tidemark.session import materialize
 
@@ -51,6 +51,21 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts and spans."""
+    found = pii.find(table(spark, sf_dir, "documents"))
+    number = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *[number(kind) for kind in pii.BASE_KINDS],
+        F.sha2(pii.listed(F.col("base")), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"),
+    )
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that some document holds, with the document and the alignment's score."""
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its quality score."""
     stats = materialize(quality.statistics(table(spark, sf_dir, "documents")), "op10-stats")
@@ -65,6 +80,8 @@ CATALOGUE = {
     "op3_simhash": op3_simhash,
     "op5_quality_rules": op5_quality_rules,
     "op6_language_id": op6_language_id,
+    "op7_pii": op7_pii,
+    "op8_decontamination": op8_decontamination,
     "op10_quality_classifier": op10_quality_classifier,
 }
 ORACLES: dict[str, str] = {}
