@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, langid, packing, pii, quality, rules, simhash
+from tidemark.llm import decontam, langid, packing, pii, quality, rules, simhash, substrings, token_counts, warc
 from tidemark.llm.common import table
-from tidemark.session import materialize
+from tidemark.session import materialize, scratch_path
 
 
 def _remainder(divisor: int):
@@ -23,6 +23,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page through WARC archives and back."""
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its fingerprint and the smallest doc_id that links reach."""
     found = simhash.similar(table(spark, sf_dir, "documents"))
@@ -30,6 +35,28 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token totals after three batches over all documents: a load, a revision, and withdrawals.
+
+    The load inserts every document under the first tokenizer version. The revision moves the sources of even
+    number to the second version, old counts out and new ones in. The withdrawals delete every document that
+    holds no lower-case letter. The load is committed twice, as after a lost acknowledgement.
+    """
+    first, second = "byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken"
+    moved = F.coalesce(F.regexp_extract("source", "([0-9]+)$", 1).try_cast("long") % 2 == 0, F.lit(False))
+    gone = ~F.coalesce(F.col("text").rlike(r"\p{Ll}"), F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("*", moved.alias("_moved"), gone.alias("_gone"))
+    old = materialize(token_counts.counted(docs, first, "_moved", "_gone"), "op4-first")
+    new = materialize(token_counts.counted(docs.filter("_moved"), second, "_gone"), "op4-second")
+    root = scratch_path(spark, "op4-totals")
+    for _ in range(2):
+        token_counts.commit(spark, root, "load", token_counts.inserts(old))
+    token_counts.commit(spark, root, "revision", token_counts.revisions(old.filter("_moved"), new))
+    current = old.filter("NOT _moved").select(*new.columns).unionByName(new)
+    token_counts.commit(spark, root, "withdrawal", token_counts.deletes(current.filter("_gone")))
+    return token_counts.totals(spark, root)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document under the base rules and a learnt decision list."""
     stats = materialize(rules.statistics(table(spark, sf_dir, "documents")), "op5-stats")
@@ -66,6 +93,12 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the strings of 200 bytes that occur elsewhere."""
+    found = substrings.remove(table(spark, sf_dir, "documents"), with_bytes=False)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its quality score."""
     stats = materialize(quality.statistics(table(spark, sf_dir, "documents")), "op10-stats")
@@ -77,11 +110,14 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 CATALOGUE = {
     "op1_packing": op1_packing,
+    "op2_warc": op2_warc,
     "op3_simhash": op3_simhash,
+    "op4_token_counts": op4_token_counts,
     "op5_quality_rules": op5_quality_rules,
     "op6_language_id": op6_language_id,
     "op7_pii": op7_pii,
     "op8_decontamination": op8_decontamination,
+    "op9_substrings": op9_substrings,
     "op10_quality_classifier": op10_quality_classifier,
 }
 ORACLES: dict[str, str] = {}
