@@ -8,15 +8,24 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_LOCAL_ROOTS: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is set (tests)."""
+    """The shared folder that the cluster names in spark.checkpoint.dir.
+
+    Where the setting is missing a local session gets a temporary folder of its own; on a cluster, where
+    executors don't share such a folder, that is an error.
+    """
     root = spark.conf.get(CHECKPOINT_KEY, None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set(CHECKPOINT_KEY, root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
+    key = spark.sparkContext.applicationId
+    if key not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[key] = tempfile.mkdtemp(prefix="tidemark-")
+    return _LOCAL_ROOTS[key]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
