@@ -225,15 +225,17 @@ def within(a: Column, b: Column, similarity: float, lanes: int = NEAR_LANES) ->
     on stays within its share for every length. Pairs without such a chain go before the full check.
     """
     total = allowed_bits(similarity, 64 * lanes)
-    apart = [F.bit_count(a[k].bitwiseXOR(b[k])) for k in range(lanes)]
-    start = F.lit(False)
-    for first in range(lanes):
-        chain, so_far = F.lit(True), F.lit(0)
-        for length in range(1, lanes):
-            so_far = so_far + apart[(first + length - 1) % lanes]
-            chain &= so_far * lanes <= length * total
-        start |= chain
-    return start & (sum(apart[1:], apart[0]) <= total)
+    starts = F.array(*[F.lit(k) for k in range(1, lanes + 1)])
+    lengths = F.array(*[F.lit(k) for k in range(1, lanes)])
+    apart = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+
+    def differing(ring: Column, start: Column | int, length: Column | int) -> Column:
+        return F.aggregate(F.slice(F.concat(ring, ring), start, length), F.lit(0), lambda sum_, x: sum_ + x)
+
+    def chained(ring: Column) -> Column:
+        return F.exists(starts, lambda s: F.forall(lengths, lambda n: differing(ring, s, n) * lanes <= n * total))
+
+    return F.exists(F.array(apart), lambda ring: chained(ring) & (differing(ring, 1, lanes) <= total))
 
 
 def text_key(text: str) -> tuple[Column, Column]:
