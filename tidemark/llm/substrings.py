@@ -11,9 +11,9 @@ offset. An anchor stands for the run of windows that chose it, and for the bytes
    partitioned by range over their leading bytes, with splitters that Spark samples, and sorted; in each
    bucket the windows of neighbouring contexts with one key are sorted and compared. Equal leading bytes
    lie in one bucket, so no class crosses its boundary.
-3. A key with more than `wide` different contexts doesn't go to one bucket. Its windows are first taken
-   eight offsets at a time: the bytes that eight windows share tell most of them apart by counts, and
-   only the rest is counted window by window.
+3. A key with more than `wide` different contexts doesn't go to one bucket. Its windows are taken 32
+   offsets at a time: counts of the bytes that they share, and of all that they span, settle most of them,
+   and the rest goes on in halves down to single windows.
 
 Windows are compared by 64-bit hashes, documents by their hash and size.
 """
@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +36,8 @@ LENGTH = 200
 KEY = 40
 #: Contexts of a key that are compared in one task.
 WIDE = 1000
-#: Offsets that the first comparison of a wide key takes together.
-STEP = 8
+#: Offsets that the comparisons of a wide key take together.
+STEP_WIDTHS = (32, 16, 8, 4, 2, 1)
 #: Bytes of a text that are hashed at a time.
 PART = 1 << 19
 #: Contexts that are hashed at a time.
@@ -241,9 +241,9 @@ def runs(rows: list[dict], owner: np.ndarray, offset: np.ndarray, repeated: np.n
 STEPS = "key long, span long, n long, step int, low int, high int, shared long, own long"
 
 
-def steps(found: DataFrame, length: int, step: int) -> DataFrame:
-    """Windows of contexts, `step` offsets at a time: the hash of the bytes that a full step of windows shares,
-    and that of what these windows span."""
+def steps(rows: DataFrame, length: int, step: int) -> DataFrame:
+    """The wanted windows of contexts, `step` offsets at a time: the hash of the bytes that a full step of
+    windows shares, and that of what these windows span. ranges: the wanted offsets, null for all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -254,6 +254,12 @@ def steps(found: DataFrame, length: int, step: int) -> DataFrame:
     def part(rows: list[dict]) -> pa.RecordBatch:
         sums = Sums(joined(rows))
         owner, offset, start = offsets_of(rows)
+        wanted = np.zeros(len(owner), bool)
+        begins = np.searchsorted(owner, np.arange(len(rows)))
+        for begin, row in zip(begins, rows, strict=True):
+            for r in row["ranges"] or [row]:
+                wanted[begin + row["high"] - r["high"] : begin + row["high"] - r["low"] + 1] = True
+        owner, offset, start = owner[wanted], offset[wanted], start[wanted]
         number = offset // step
         begin = np.flatnonzero(np.diff(np.concatenate([[-1], owner])) | np.diff(np.concatenate([[-1], number])))
         end = np.concatenate([begin[1:], [len(owner)]]) - 1
@@ -262,48 +268,34 @@ def steps(found: DataFrame, length: int, step: int) -> DataFrame:
         shared = sums.hash(anchor - number[begin] * step, anchor - number[begin] * step - (step - 1) + length)
         own = mixed(sums.hash(anchor - high, anchor - low + length) ^ mixed((high << 20 | low).astype(np.uint64)))
         take = lambda name: np.array([r[name] for r in rows], np.int64)[owner[begin]]
-        columns = [take("key"), take("span"), take("n"), number[begin].astype(np.int32), low.astype(np.int32), high.astype(np.int32), shared.view(np.int64), own.view(np.int64)]
+        numbers = [x.astype(np.int32) for x in (number[begin], low, high)]
+        columns = [take("key"), take("span"), take("n"), *numbers, shared.view(np.int64), own.view(np.int64)]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[f.split()[0] for f in STEPS.split(", ")])
 
-    return found.select("key", "span", "n", "low", "high", "bytes").mapInArrow(run, STEPS)
+    return rows.select("key", "span", "n", "low", "high", "bytes", "ranges").mapInArrow(run, STEPS)
 
 
 def compare_wide(found: DataFrame, length: int) -> DataFrame:
-    """As compare, for keys of any number of contexts: by counts alone."""
-    coarse = materialize(steps(found, length, STEP), "substrings-steps")
-    met = ["key", "step", "shared"]
-    groups = coarse.groupBy(*met).agg(F.sum("n").alias("all"), F.min("own").alias("a"), F.max("own").alias("b")).filter("all > 1")
-    marked = coarse.join(groups, met).select("key", "span", "step", "low", "high", F.expr("a = b OR n > 1").alias("whole"))
-    marked = materialize(marked, "substrings-marked")
-    unsure = marked.filter(~F.col("whole")).select("key", "span", F.col("low").alias("from"), F.col("high").alias("to"))
-    # Of the windows of one context no two have the same offset: equal ones are of different contexts.
-    # Contexts of their step that are settled take part as well, for others to be equal to.
-    several = marked.groupBy("key", "step").agg(F.min("whole").alias("settled")).filter("NOT settled").select("key", "step")
-    taking = marked.join(several, ["key", "step"]).select("key", "span", F.col("low").alias("from"), F.col("high").alias("to"))
-    ranges = taking.groupBy("key", "span").agg(F.collect_list(F.struct("from", "to")).alias("ranges"))
-    rows = found.join(ranges, ["key", "span"]).select("key", "span", "low", "high", "bytes", "ranges")
+    """As compare, for keys of any number of contexts: by counts alone.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = batch.to_pylist()
-            for at in range(0, len(rows), BATCH):
-                part = rows[at : at + BATCH]
-                owner, offset, codes = window_codes(part, length)
-                wanted = np.zeros(len(owner), bool)
-                begins = np.searchsorted(owner, np.arange(len(part)))
-                for k, row in enumerate(part):
-                    for r in row["ranges"]:
-                        wanted[begins[k] + row["high"] - r["to"] : begins[k] + row["high"] - r["from"] + 1] = True
-                take = lambda name: np.array([r[name] for r in part], np.int64)[owner[wanted]]  # noqa: E731, B023
-                columns = [take("key"), take("span"), offset[wanted].astype(np.int32), codes[wanted].view(np.int64)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "span", "offset", "code"])
-
-    single = rows.mapInArrow(run, "key long, span long, offset int, code long")
-    single = materialize(single, "substrings-windows")
-    twice = single.groupBy("key", "code").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "code")
-    windows = single.join(twice, ["key", "code"]).select("key", "span", F.col("offset").alias("low"), F.col("offset").alias("high"))
-    whole = marked.filter("whole").select("key", "span", "low", "high")
-    return whole.unionByName(windows)
+    Offsets are taken in steps of falling width. Rows whose shared bytes occur once can't repeat; where all
+    that share them span the same bytes, all their windows repeat. Only the others go on to half the width.
+    """
+    span = F.struct("low", "high")
+    ranges = found.select("key", "span", F.lit(None).cast("array<struct<low:int,high:int>>").alias("ranges"))
+    settled = []
+    for step in STEP_WIDTHS:
+        rows = materialize(steps(found.join(ranges, ["key", "span"]), length, step), "substrings-steps")
+        met = ["key", "step", "shared"]
+        groups = rows.groupBy(*met).agg(F.sum("n").alias("all"), F.min("own").alias("a"), F.max("own").alias("b"))
+        # Written before the join, which Spark can then split where many contexts share their bytes
+        groups = materialize(groups.filter("all > 1").select(*met, F.expr("a != b").alias("mixed")), "substrings-groups")
+        marked = rows.join(groups, met).select("key", "span", "n", "low", "high", "mixed")
+        marked = materialize(marked, "substrings-marked")
+        settled.append(marked.filter("NOT mixed OR n > 1").select("key", "span", "low", "high"))
+        # Rows that are settled in a mixed group stay in it, for others to be equal to
+        ranges = marked.filter("mixed").groupBy("key", "span").agg(F.collect_list(span).alias("ranges"))
+    return reduce(DataFrame.unionByName, settled)
 
 
 def repeated(docs: DataFrame, length: int = LENGTH, key: int = KEY, wide: int = WIDE) -> DataFrame:
@@ -311,7 +303,8 @@ def repeated(docs: DataFrame, length: int = LENGTH, key: int = KEY, wide: int =
     start anywhere else too, unmerged. Texts without any are left out."""
     sampled = anchors(docs, length, key)
     keys = sampled.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("span").alias("a"), F.max("span").alias("b"))
-    keys = keys.filter("n > 1").select("key", F.expr("a = b").alias("equal"))
+    # Written before the join, which Spark can then split at keys with very many anchors
+    keys = materialize(keys.filter("n > 1").select("key", F.expr("a = b").alias("equal")), "substrings-keys")
     suspects = materialize(sampled.join(keys, "key"), "substrings-anchors")
     covered = suspects.filter("equal").select("text_hash", "size", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
 
@@ -323,7 +316,9 @@ def repeated(docs: DataFrame, length: int = LENGTH, key: int = KEY, wide: int =
     many = found.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > wide).select("key")
     many = materialize(many, "substrings-wide")
     alike = compare(found.join(many, "key", "left_anti"), length)
-    alike = materialize(alike.unionByName(compare_wide(found.join(many, "key", "left_semi"), length)), "substrings-classes")
+    if not many.isEmpty():
+        alike = alike.unionByName(compare_wide(found.join(many, "key", "left_semi"), length))
+    alike = materialize(alike, "substrings-classes")
 
     settled = unequal.join(alike, ["key", "span"])
     settled = settled.select(
