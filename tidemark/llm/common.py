@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from tidemark.session import materialize
 
-WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -26,9 +24,11 @@ def fresh(df: DataFrame, base: str) -> str:
     return base
 
 
-def texts(column: pa.Array) -> list[bytes]:
-    """The UTF-8 bytes of each text; null counts as empty."""
-    return [value or b"" for value in column.cast(pa.large_binary()).to_pylist()]
+def texts(column: pa.Array) -> Iterator[bytes]:
+    """The UTF-8 bytes of each text, a few rows at a time; null counts as empty."""
+    for at in range(0, len(column), 256):
+        for value in column.slice(at, 256).cast(pa.large_binary()).to_pylist():
+            yield value or b""
 
 
 def lower_words(text: bytes) -> list[bytes]:

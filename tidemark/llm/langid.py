@@ -159,7 +159,7 @@ def predicted(model: Model | None, text: Column) -> Column:
 
     def run(column: pa.Array) -> pa.Array:
         lang, score, ambiguous = [], [], []
-        values = texts(column)
+        values = list(texts(column))
         for at in range(0, len(values), 256):
             x = np.stack([features(t) for t in values[at : at + 256]])
             best, share, close = model.decode(x)

@@ -12,13 +12,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.textstats import ratios, text_statistics
+from tidemark.llm.common import texts
+from tidemark.llm.textstats import ratio_rows, ratios, text_statistics
+from tidemark.llm.textstats import statistics as text_counts
+from tidemark.session import materialize
 
 FEATURES = 128
 RIDGE = 1e-3
@@ -178,14 +182,20 @@ def predictions(stats: DataFrame, model: Model | None) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
-def reject(docs: DataFrame, labels: DataFrame, stats: DataFrame | None = None) -> DataFrame:
+def reject(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Documents that the classifier keeps, with all their columns.
 
     The model is fitted on all labelled documents; rows with a null doc_id or text are judged too.
     """
-    model = train(stats or statistics(docs), labels)
+    model = train(materialize(statistics(docs), "quality-stats"), labels)
     if model is None:
         return docs
-    mark = "_stats_of_text"
-    judged = docs.withColumn(mark, text_statistics("text"))
-    return judged.filter(score(model, list(ratios(mark).values())) >= THRESHOLD).drop(mark)
+
+    def run(column: pa.Array) -> pa.Array:
+        values = texts(column)
+        kept = []
+        while part := [text_counts(t) for t in islice(values, 256)]:
+            kept += (model.score(ratio_rows(part)) >= THRESHOLD).tolist()
+        return pa.array(kept, pa.bool_())
+
+    return docs.filter(F.arrow_udf(run, "boolean")(F.col("text").cast("string")))

@@ -43,10 +43,6 @@ SKETCH = 8
 #: Standard deviations of the sampled angle that a pair may lie beyond the threshold.
 ALLOWANCE = 1.0
 
-# Byte b as eight lanes of one byte each, its highest bit in the first lane in memory
-_LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).view(np.uint64).ravel()
-
-
 def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
     """XXH64 of each run of `size` words joined by spaces; fewer words are one run."""
     if not words:
@@ -57,17 +53,13 @@ def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
     return np.array([digest(joined[a:b], HASH_SEED) for a, b in zip(starts, ends)], np.uint64)
 
 
-def majority(hashes: np.ndarray) -> int:
-    """The bits set in over half the hashes; 0 for none."""
-    if not len(hashes):
-        return 0
-    octets = hashes.astype(">u8").view(np.uint8).reshape(-1, 8)
-    counts = np.zeros(64, np.int64)
-    for at in range(0, len(octets), 255):  # a lane holds up to 255
-        part = octets[at : at + 255]
-        lanes = np.stack([_LANES[part[:, k]].sum(dtype=np.uint64) for k in range(8)])
-        counts += lanes.view(np.uint8)
-    return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big")
+def majority(hashes: np.ndarray) -> list[int]:
+    """For each column of hashes the 64 bits set in over half of its rows; 0 for no rows."""
+    octets = hashes.astype(">u8").view(np.uint8)
+    counts = np.zeros(8 * octets.shape[1], np.int64)
+    for at in range(0, len(octets), 255):  # sums of so many bits fit into a byte
+        counts += np.add.reduce(np.unpackbits(octets[at : at + 255], axis=1), axis=0, dtype=np.uint8)
+    return np.packbits(2 * counts > len(octets)).view(">u8").tolist()
 
 
 def signed(value: int) -> int:
@@ -78,7 +70,7 @@ def fingerprint(text: Column, size: int = SHINGLE) -> Column:
     """The 64-bit fingerprint of a whole text as a long; 0 for a text without words, or null."""
 
     def run(column: pa.Array) -> pa.Array:
-        return pa.array([signed(majority(shingle_hashes(lower_words(t), size))) for t in texts(column)], pa.int64())
+        return pa.array([signed(majority(shingle_hashes(lower_words(t), size)[:, None])[0]) for t in texts(column)], pa.int64())
 
     return F.arrow_udf(run, "long")(text.cast("string"))
 
@@ -174,7 +166,7 @@ def sketch(text: Column, size: int, lanes: int = NEAR_LANES, keys: int = SKETCH)
         prints, smallest = [], []
         for text in texts(column):
             hashes = shingle_hashes(lower_words(text), size)
-            prints.append([signed(majority(_mixed(hashes, lane))) for lane in range(lanes)])
+            prints.append([signed(x) for x in majority(np.column_stack([_mixed(hashes, lane) for lane in range(lanes)]))])
             smallest.append(np.unique(hashes)[:keys].astype(np.int64).tolist())
         return pa.StructArray.from_arrays(
             [pa.array(prints, pa.list_(pa.int64())), pa.array(smallest, pa.list_(pa.int64()))], names=["lanes", "keys"]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -98,3 +99,24 @@ def ratios(s: str = "s") -> dict[str, Column]:
         "line_words": F.log1p(per("n_words", "n_lines")) / 10,
         "longest": F.log1p(c("longest_word")) / 10,
     }
+
+
+def ratio_rows(rows: list[tuple[int, ...]]) -> np.ndarray:
+    """The ratios of rows of counts, in the order of ratios()."""
+    counts = dict(zip(COUNTS, np.array(rows, float).reshape(-1, len(COUNTS)).T, strict=True))
+    per = lambda a, b: counts[a] / np.maximum(counts[b], 1)
+    columns = [
+        np.log1p(counts["n_words"]) / 10,
+        np.minimum(per("word_chars", "n_words") / 20, 2),
+        np.minimum(per("n_symbols", "n_words"), 4),
+        per("n_dup_lines", "n_lines"),
+        per("n_repeat_words", "n_words"),
+        per("n_distinct", "n_words"),
+        per("n_upper", "n_chars"),
+        per("n_digits", "n_chars"),
+        np.minimum(per("n_bangs", "n_words"), 4),
+        np.minimum(per("n_ends", "n_words"), 4),
+        np.log1p(per("n_words", "n_lines")) / 10,
+        np.log1p(counts["longest_word"]) / 10,
+    ]
+    return np.column_stack(columns)
