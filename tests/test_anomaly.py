@@ -127,3 +127,15 @@ def test_constant_table_has_no_outlier(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     for method in anomaly.METHODS:
         assert not flags(anomaly.detect(df, method)).any()
+
+
+def test_enrich_keeps_every_row(spark):
+    rows = [("a", None, *[1.0] * 5, "stable"), ("b", hour(1), *[2.0] * 5, "stable"), ("b", hour(1), *[9.0] * 5, "viral")]
+    rows += [(None, hour(2), *[None] * 5, None)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for method in anomaly.METHODS:
+        got = anomaly.enrich(df, method)
+        assert got.columns == [*df.columns, "is_anomaly", "anomaly_score"]
+        key = lambda r: str(tuple(r))
+        assert sorted(got.select(*df.columns).collect(), key=key) == sorted(df.collect(), key=key)
+        assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()

@@ -57,3 +57,13 @@ def test_source_counts(spark):
         for r in frequency.with_source_counts(events, ["1h", "6h"]).collect()
     }
     assert got == {("1h", 0): (2, 2), ("1h", 3): (1, 1), ("1h", 7): (1, 1), ("6h", 0): (3, 3), ("6h", 6): (1, 1)}
+
+
+def test_fine_slides_and_quiet_windows(spark):
+    rows = [("a", hour(0), "x"), ("a", hour(0), "x"), ("a", hour(5), "x"), ("b", hour(1), "x")]
+    events = spark.createDataFrame(rows, EVENT)
+    for fraction in (0.002, 0.0005):
+        table = frequency.all_windows(events.filter("keyword = 'b'"), ["24h"], fraction)
+        assert table.count() == pytest.approx(1 / fraction, rel=0.01)
+    kept = frequency.keyword_frequency(events, ["1h"], min_frequency=2)
+    assert sorted((r["frequency"], r["source"]) for r in kept.collect()) == [(1, "__all__"), (1, "x"), (2, "__all__"), (2, "x")]

@@ -118,3 +118,16 @@ def test_entities_in_text_order(spark):
         ("new york", "GPE"), ("york", "PERSON"), ("boston", "GPE"), ("new york", "GPE"), ("york", "PERSON"),
     ]
     assert got["2"] == got["3"] == []
+
+
+def test_entities_keep_rows_with_null_and_repeated_keys(spark):
+    rows = [("1", None, "in france"), ("1", None, "from spain"), (None, "s", "france france"), (None, "s", None), ("1", "s", "")]
+    docs = spark.createDataFrame(rows, "id string, source string, clean_text string")
+    labels = [("france", "GPE"), ("spain", "ORG"), ("from", "PERSON"), ("in france", "EVENT")]
+    words = spark.createDataFrame(labels, "entity string, label string")
+    got = keywords.tag_entities(docs, words, 2, ("id", "source")).collect()
+    found = sorted((str(r["id"]), str(r["source"]), [e["label"] for e in r["entities"]]) for r in got)
+    assert found == [
+        ("1", "None", ["EVENT", "GPE"]), ("1", "None", ["PERSON", "ORG"]), ("1", "s", []),
+        ("None", "s", []), ("None", "s", ["GPE", "GPE"]),
+    ]

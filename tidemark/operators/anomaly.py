@@ -75,6 +75,19 @@ def statistical_score(df: DataFrame, columns: Sequence[str] = S.ANOMALY_FEATURES
     return F.greatest(*[F.abs(_z(c, *moments[c])) for c in columns])
 
 
+def _scored(
+    filled: DataFrame, columns: Sequence[str], method: str, threshold: float, contamination: float,
+    n_trees: int, seed: int, max_samples: int,
+) -> DataFrame:
+    """is_anomaly and anomaly_score beside columns without gaps, row by row."""
+    if method not in METHODS:
+        raise ValueError(f"unknown method {method!r}; one of {', '.join(METHODS)}")
+    if method == "isolation_forest":
+        return forest.detect(filled, columns, n_trees, contamination, seed, max_samples)
+    flag = zscore_outlier(filled, threshold, columns) if method == "zscore" else iqr_outlier(filled, columns)
+    return filled.withColumns({"is_anomaly": flag, "anomaly_score": statistical_score(filled, columns)})
+
+
 def detect(
     features: DataFrame,
     method: str = "isolation_forest",
@@ -83,32 +96,40 @@ def detect(
     n_trees: int = 100,
     seed: int = 42,
     columns: Sequence[str] = S.ANOMALY_FEATURES,
+    max_samples: int = forest.SAMPLE,
 ) -> DataFrame:
     """(keyword, timestamp, imputed features, is_anomaly, anomaly_score) of a feature table.
 
     The narrow input is written once; every statistic is a pass over that table and comes back
     as a handful of numbers that the final projection uses as literals.
     """
-    if method not in METHODS:
-        raise ValueError(f"unknown method {method!r}; one of {', '.join(METHODS)}")
     kept = [c for c in columns if c in features.columns]
     narrow = materialize(features.select("keyword", "timestamp", *kept), "anomaly-input")
-    filled = impute(narrow, columns)
-    if method == "isolation_forest":
-        return forest.detect(filled, columns, n_trees, contamination, seed)
-    flag = (
-        zscore_outlier(filled, threshold, columns) if method == "zscore" else iqr_outlier(filled, columns)
-    )
-    return filled.withColumns(
-        {"is_anomaly": flag, "anomaly_score": statistical_score(filled, columns)}
-    )
+    return _scored(impute(narrow, columns), columns, method, threshold, contamination, n_trees, seed, max_samples)
 
 
-def enrich(features: DataFrame, method: str = "isolation_forest", **params) -> DataFrame:
-    """The feature table with boolean `is_anomaly` and `anomaly_score`; gaps stay as they were."""
-    stored = materialize(features, "features")
-    scored = detect(stored, method, **params).select("keyword", "timestamp", "is_anomaly", "anomaly_score")
-    return stored.drop("is_anomaly", "anomaly_score").join(scored, ["keyword", "timestamp"])
+def enrich(
+    features: DataFrame,
+    method: str = "isolation_forest",
+    threshold: float = S.ANOMALY_Z,
+    contamination: float = 0.05,
+    n_trees: int = 100,
+    seed: int = 42,
+    columns: Sequence[str] = S.ANOMALY_FEATURES,
+    max_samples: int = forest.SAMPLE,
+) -> DataFrame:
+    """The feature table with boolean `is_anomaly` and `anomaly_score`; gaps stay as they were.
+
+    Each row carries its own imputed values while it is scored, so there is no join: every row comes
+    back once, whatever its keyword and time, null and repeated ones too.
+    """
+    stored = materialize(features.drop("is_anomaly", "anomaly_score"), "features")
+    beside = {c: f"_imputed_{c}" for c in columns}
+    present = [c for c in columns if c in stored.columns]
+    doubled = stored.withColumns({beside[c]: F.col(c) for c in present})
+    filled = impute(doubled, list(beside.values()))
+    scored = _scored(filled, list(beside.values()), method, threshold, contamination, n_trees, seed, max_samples)
+    return scored.drop(*beside.values())
 
 
 def report(enriched: DataFrame) -> DataFrame:

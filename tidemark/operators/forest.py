@@ -134,10 +134,14 @@ def detect(
     n_trees: int = 100,
     contamination: float = 0.05,
     seed: int = 42,
+    max_samples: int = SAMPLE,
 ) -> DataFrame:
-    """Scores scaled to 0..1 and flags for the contamination share with the highest scores."""
+    """Scores scaled to 0..1 and flags for the contamination share with the highest scores.
+
+    Each tree grows on `max_samples` rows (all, if there are fewer); every row is scored.
+    """
     n_rows = filled.count()
-    size = min(SAMPLE, n_rows)
+    size = min(max_samples, n_rows)
     nodes = fit(samples(filled, columns, n_rows, n_trees, size, seed), columns, size, seed)
     scored = materialize(filled.withColumn("_score", scorer(nodes, columns, size)), "forest-scores")
     least, cut, most = exact_quantiles(scored, ["_score"], [0.0, 1.0 - contamination, 1.0])["_score"]

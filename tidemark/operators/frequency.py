@@ -54,21 +54,21 @@ def base_counts(events: DataFrame, grain: int, by_source: bool = True) -> DataFr
 
 
 def _spans(bucket: Column, labels: Sequence[str], slide_fraction: float) -> Column:
-    """Array of the windows (label number, start) that may hold a bucket.
+    """Array of the windows (label number, start) that hold a bucket.
 
-    Windows that overlap hold a bucket several times, windows with gaps may not hold it: the
-    start is null then.
+    One expression a label, whatever the slide: the starts are a sequence from the earliest window
+    that reaches the bucket to the last one that begins before it.
     """
-    spans = []
+    parts = []
     for number, label in enumerate(labels):
         size, slide = window_seconds(label), slide_seconds(label, slide_fraction)
         last = bucket_start(bucket, slide)
-        for back in range(math.ceil(size / slide)):
-            start = last - F.lit(back * slide) if back else last
-            if size % slide:
-                start = F.when(start + F.lit(size) > bucket, start)
-            spans.append(F.struct(F.lit(number).alias("label"), start.alias("start")))
-    return F.array(*spans)
+        first = bucket_start(bucket - F.lit(size), slide) + F.lit(slide)
+        starts = F.when(first <= last, F.sequence(first, last, F.lit(slide).cast("long")))
+        starts = F.coalesce(starts, F.array().cast("array<bigint>"))
+        named = F.lit(number).alias("label")
+        parts.append(F.transform(starts, lambda at: F.struct(named, at.alias("start"))))  # noqa: B023 - called at once
+    return F.concat(*parts)
 
 
 def roll_up(counts: DataFrame, labels: Sequence[str], slide_fraction: float, keys: list[str]) -> DataFrame:
@@ -82,7 +82,6 @@ def roll_up(counts: DataFrame, labels: Sequence[str], slide_fraction: float, key
     return (
         counts.repartition(*keys)
         .select(*keys, "frequency", spans)
-        .filter(F.col("start").isNotNull())
         .groupBy(*keys, "label", "start")
         .agg(F.sum("frequency").alias("frequency"))
     )
@@ -129,18 +128,21 @@ def keyword_frequency(
     """Global and per-source counts in one table; the global rows carry the marker source.
 
     Both halves start from the same per-source base counts, whose exchange Spark reuses: the
-    texts are tokenised once. `min_frequency` drops rows of rarer keywords when set.
+    texts are tokenised once. `min_frequency` drops keywords with fewer mentions in all; one that
+    is common enough keeps its quiet windows.
     """
-    global_half, source_half = frequency_halves(events, labels, slide_fraction)
-    both = global_half.unionByName(source_half)
-    return both.filter(F.col("frequency") >= min_frequency) if min_frequency > 0 else both
+    global_half, source_half = frequency_halves(events, labels, slide_fraction, min_frequency)
+    return global_half.unionByName(source_half)
 
 
 def frequency_halves(
-    events: DataFrame, labels: Sequence[str] = S.WINDOWS, slide_fraction: float = 1.0
+    events: DataFrame, labels: Sequence[str] = S.WINDOWS, slide_fraction: float = 1.0, min_frequency: int = 0
 ) -> tuple[DataFrame, DataFrame]:
     """The global and the per-source part of the frequency table, each kept by its own series."""
     counts = base_counts(events, _grain(labels, slide_fraction))
+    if min_frequency > 0:
+        totals = counts.groupBy("keyword").agg(F.sum("frequency").alias("total"))
+        counts = counts.join(totals.filter(F.col("total") >= min_frequency), "keyword", "left_semi")
     merged = counts.groupBy("keyword", "bucket").agg(F.sum("frequency").alias("frequency"))
     global_half = roll_up(merged, labels, slide_fraction, ["keyword"])
     source_half = roll_up(counts, labels, slide_fraction, ["keyword", "source"])

@@ -70,12 +70,17 @@ def score_terms(terms: DataFrame, n_docs: Column, min_doc_freq: int = S.MIN_DOC_
         F.col("df") >= min_doc_freq, F.log((n_docs + 1) / (F.col("df") + 1).cast("double"))
     ).otherwise(F.lit(0.0))
     return sums.select(
-        "keyword", (F.col("tf2") * idf / F.col("tf")).alias("avg_tfidf_score")
+        "keyword", (F.col("tf2") * idf / F.col("tf")).alias("avg_tfidf_score"), F.col("tf").alias("frequency")
     )
 
 
 def tfidf_keywords(processed: DataFrame, min_doc_freq: int = S.MIN_DOC_FREQ) -> DataFrame:
-    """Mean TF-IDF per keyword of processed posts (`tokens`), unordered.
+    """Mean TF-IDF per keyword of processed posts (`tokens`), unordered."""
+    return _scored_terms(processed, min_doc_freq).drop("frequency")
+
+
+def _scored_terms(processed: DataFrame, min_doc_freq: int) -> DataFrame:
+    """(keyword, avg_tfidf_score, frequency) of every token.
 
     Terms are counted inside each row, so documents are never shuffled: the one exchange carries
     per-keyword sums that were already combined in each map task.
@@ -93,11 +98,9 @@ def ranked_tfidf(processed: DataFrame, min_doc_freq: int = S.MIN_DOC_FREQ) -> Da
 def keyword_table(
     processed: DataFrame, n: int = S.TOP_KEYWORDS, min_doc_freq: int = S.MIN_DOC_FREQ
 ) -> DataFrame:
-    """Top keywords with their mean TF-IDF."""
-    top = top_keywords(filter_keywords(token_events(processed, ())), n)
-    return top.join(tfidf_keywords(processed, min_doc_freq), "keyword", "left").select(
-        *schemas.names(schemas.KEYWORD_TABLE)
-    )
+    """Top keywords with their mean TF-IDF; counts and scores come from the same pass."""
+    scored = filter_keywords(_scored_terms(processed, min_doc_freq))
+    return scored.orderBy(F.desc("frequency"), "keyword").limit(n).select(*schemas.names(schemas.KEYWORD_TABLE))
 
 
 def hashed_tfidf(
@@ -127,30 +130,22 @@ def tag_entities(
 ) -> DataFrame:
     """Entities of every document, in text order; documents without any keep an empty array.
 
-    Runs of 1 to `longest` words are matched against the dictionary (entity, label). The join
-    has no hint: Spark broadcasts the dictionary while it is small and shuffles when it is not.
-    Only hits are grouped per document; the second read for documents without hits needs the
-    key columns alone.
+    Runs of 1 to `longest` words are matched against the dictionary (entity, label) by a left join
+    without hint, which Spark broadcasts or shuffles by size and splits at hot runs. The runs of a
+    row meet again under a number of the row, so each row comes back once: null keys and rows that
+    repeat their keys stay apart, and a row without words or hits goes the same way.
     """
-    words = F.filter(F.split("clean_text", r"\s+"), lambda w: w != "")
-    split = processed.select(*keys, words.alias("words")).filter(F.size("words") > 0)
-    runs = split.select(*keys, F.posexplode(word_runs("words", longest)).alias("pos", "run"))
-    fields = [F.col("run")[f"w{n}"] if longest > 1 else F.col("run")["w1"] for n in range(1, longest + 1)]
+    words = F.filter(F.split(F.coalesce("clean_text", F.lit("")), r"\s+"), lambda w: w != "")
+    split = processed.select(*keys, words.alias("_words")).withColumn("_row", F.monotonically_increasing_id())
+    runs = split.select("_row", *keys, F.posexplode_outer(word_runs("_words", longest)).alias("_pos", "_run"))
+    fields = [F.col("_run")[f"w{n}"] if longest > 1 else F.col("_run")["w1"] for n in range(1, longest + 1)]
     entities = [
         F.when(fields[n - 1].isNotNull(), F.concat_ws(" ", *fields[:n])) for n in range(1, longest + 1)
     ]
-    hits = (
-        runs.select(*keys, "pos", F.explode(F.array(*entities)).alias("entity"))
-        .join(dictionary, "entity")
-        .groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "entity", "label"))).alias("hits"))
-    )
-    found = F.transform(
-        "hits", lambda h: F.struct(h["entity"].alias("entity"), h["label"].alias("label"))
-    )
-    none = F.array().cast(schemas.ENTITIES)
-    return (
-        processed.select(*keys)
-        .join(hits, list(keys), "left")
-        .select(*keys, F.coalesce(found, none).alias("entities"))
-    )
+    each = runs.select("_row", *keys, "_pos", F.explode(F.array(*entities)).alias("entity"))
+    each = each.filter(F.col("entity").isNotNull() | F.col("_pos").isNull())
+    hit = F.when(F.col("label").isNotNull(), F.struct("_pos", "entity", "label"))
+    found = each.join(dictionary, "entity", "left").groupBy("_row", *keys)
+    found = found.agg(F.array_sort(F.collect_list(hit)).alias("hits"))
+    entities_of = F.transform("hits", lambda h: F.struct(h["entity"].alias("entity"), h["label"].alias("label")))
+    return found.select(*keys, entities_of.cast(schemas.ENTITIES).alias("entities"))

@@ -121,10 +121,8 @@ _cte("event_mentions", "", """
 _cte("gfreq", "tok", _windows("tok", S.WINDOWS, False))
 _cte("sfreq", "tok", _windows("tok", S.WINDOWS, True))
 _cte("freq", "gfreq sfreq", "SELECT * FROM gfreq UNION ALL SELECT * FROM sfreq")
-_cte("hourly", "tok", _windows("tok", ["1h"], False))
 _cte("trend", "freq", _trend("freq"))
 _cte("gtrend", "gfreq", _trend("gfreq"))
-_cte("htrend", "hourly", _trend("hourly"))
 _cte("board", "trend", 'SELECT *, window_start AS "timestamp" FROM trend')
 _cte("gboard", "gtrend", 'SELECT *, window_start AS "timestamp" FROM gtrend')
 _cte("metrics", "gtrend", f"""
@@ -254,7 +252,7 @@ def _with(needs: str, select: str) -> str:
         add(name)
     if not ordered:
         return select
-    return "WITH " + ",\n".join(f"{n} AS ({_CTES[n][1]})" for n in ordered) + "\n" + select
+    return "WITH " + ",\n".join(f"{n} AS MATERIALIZED ({_CTES[n][1]})" for n in ordered) + "\n" + select
 
 
 _TREND_COLUMNS = (
@@ -431,14 +429,14 @@ ORACLES: dict[str, str] = {
                             + _windows("part_mentions", ["1d", "7d"], True)),
     "stream_window_freq": _simple_window("24h"),
     # signals
-    "growth_rate": _with("htrend", f"SELECT {_FREQ_COLUMNS}, source, growth_rate FROM htrend"),
+    "growth_rate": _with("trend", f"SELECT {_FREQ_COLUMNS}, source, growth_rate FROM trend"),
     "velocity_acceleration": _with(
-        "htrend", f"SELECT {_FREQ_COLUMNS}, source, growth_rate, velocity, acceleration FROM htrend"),
-    "zscore": _with("htrend", f"SELECT {_FREQ_COLUMNS}, source, growth_rate, floor(z_score * 1e6 + 0.5) / 1e6 AS z_score FROM htrend"),
-    "flag_anomalies": _with("htrend", f"""
-        SELECT {_FREQ_COLUMNS}, source, growth_rate, floor(z_score * 1e6 + 0.5) / 1e6 AS z_score, is_anomaly, spike_direction FROM htrend"""),
-    "classify_trend": _with("htrend", f"""
-        SELECT {_FREQ_COLUMNS}, source, growth_rate, floor(z_score * 1e6 + 0.5) / 1e6 AS z_score, trend_label FROM htrend"""),
+        "trend", f"SELECT {_FREQ_COLUMNS}, source, growth_rate, velocity, acceleration FROM trend"),
+    "zscore": _with("trend", f"SELECT {_FREQ_COLUMNS}, source, growth_rate, floor(z_score * 1e6 + 0.5) / 1e6 AS z_score FROM trend"),
+    "flag_anomalies": _with("trend", f"""
+        SELECT {_FREQ_COLUMNS}, source, growth_rate, floor(z_score * 1e6 + 0.5) / 1e6 AS z_score, is_anomaly, spike_direction FROM trend"""),
+    "classify_trend": _with("trend", f"""
+        SELECT {_FREQ_COLUMNS}, source, growth_rate, floor(z_score * 1e6 + 0.5) / 1e6 AS z_score, trend_label FROM trend"""),
     "classify_trend_strict": _with("gfreq", f"""
         SELECT {_FREQ_COLUMNS}, source, growth_rate, floor(z_score * 1e6 + 0.5) / 1e6 AS z_score, trend_label
         FROM ({_trend('gfreq', "z > 2 AND " + '"window"' + " = '24h'")})"""),
@@ -446,23 +444,23 @@ ORACLES: dict[str, str] = {
     "part_trends": _with("part_mentions", f"SELECT {_TREND_COLUMNS} FROM ({_trend('(' + _windows('part_mentions', ['1d', '7d'], False) + ' UNION ALL ' + _windows('part_mentions', ['1d', '7d'], True) + ')')})"),
     "trend_summary": _with("trend", """SELECT count(*) AS total_rows, count(*) FILTER (is_anomaly = 1) AS anomalies,
         count(*) FILTER (trend_label = 'viral') AS viral FROM trend"""),
-    "growth_rate_clamped": _with("hourly", f"""
+    "growth_rate_clamped": _with("freq", f"""
         SELECT {_FREQ_COLUMNS}, source, (CAST(greatest(frequency, 0) AS DOUBLE) - greatest(p, 0)) / (greatest(p, 0) + 1) AS growth_rate
         FROM (SELECT * REPLACE (frequency - 2 AS frequency),
               CASE WHEN lag(frequency) OVER w IS NOT NULL THEN lag(frequency) OVER w - 2 END AS p
-              FROM hourly WINDOW w AS (PARTITION BY keyword ORDER BY window_start))
+              FROM freq WINDOW w AS (PARTITION BY keyword, "window", source ORDER BY window_start))
         WHERE p IS NOT NULL UNION ALL
         SELECT {_FREQ_COLUMNS}, source, NULL FROM (SELECT * REPLACE (frequency - 2 AS frequency),
-              lag(frequency) OVER (PARTITION BY keyword ORDER BY window_start) AS p FROM hourly) WHERE p IS NULL"""),
-    "peer_zscore": _with("htrend", f"""
+              lag(frequency) OVER (PARTITION BY keyword, "window", source ORDER BY window_start) AS p FROM freq) WHERE p IS NULL"""),
+    "peer_zscore": _with("trend", f"""
         SELECT {_FREQ_COLUMNS}, source, growth_rate, floor(1e6 * CASE WHEN n < 2 OR s IS NULL OR s < 1e-12 OR growth_rate IS NULL
             THEN 0 ELSE round((growth_rate - m) / s, 9) END + 0.5) / 1e6 AS peer_z
         FROM (SELECT *, avg(growth_rate) OVER b AS m, stddev_pop(growth_rate) OVER b AS s, count(growth_rate) OVER b AS n
-              FROM htrend WINDOW b AS (PARTITION BY window_start))"""),
-    "acceleration_zero_first": _with("htrend", f"""
+              FROM trend WINDOW b AS (PARTITION BY "window", source, window_start))"""),
+    "acceleration_zero_first": _with("trend", f"""
         SELECT {_FREQ_COLUMNS}, source, growth_rate,
-               coalesce(growth_rate - lag(growth_rate) OVER (PARTITION BY keyword ORDER BY window_start), 0) AS acceleration
-        FROM (SELECT * FROM htrend WHERE growth_rate IS NOT NULL)"""),
+               coalesce(growth_rate - lag(growth_rate) OVER (PARTITION BY keyword, "window", source ORDER BY window_start), 0) AS acceleration
+        FROM (SELECT * FROM trend WHERE growth_rate IS NOT NULL)"""),
     "source_diversity": _with("tok", """SELECT keyword, count(DISTINCT trim(source)) AS source_diversity
         FROM tok WHERE source <> '' GROUP BY keyword"""),
     # features

@@ -65,9 +65,9 @@ def global_trends(spark, sf):
     return signals.global_trends_of_events(B.mentions(spark, sf))
 
 
-def hourly(spark, sf):
-    """Hourly series over all sources, the smallest input of the signal operators."""
-    return frequency.all_windows(B.mentions(spark, sf), ["1h"])
+def series(spark, sf):
+    """Series of all windows, over all sources and each: the input of the signal operators."""
+    return frequency.keyword_frequency(B.mentions(spark, sf))
 
 
 def feature_table(spark, sf):
@@ -131,7 +131,7 @@ def sink_parquet_partitioned(spark, sf):
 @query
 def partition_pruned_read(spark, sf):
     path = scratch_path(spark, "dated")
-    files.write_dated(B.event_mentions(spark, sf), path, files_per_folder=1)
+    files.write_dated(B.event_mentions(spark, sf), path)
     return files.read_dated(spark, path, "group1", DAY).select("keyword", "timestamp", "source")
 
 
@@ -426,16 +426,16 @@ def part_frequency(spark, sf):
 
 @query
 def growth_rate(spark, sf):
-    return signals.growth_rate(hourly(spark, sf))
+    return signals.growth_rate(series(spark, sf))
 
 
 @query
 def velocity_acceleration(spark, sf):
-    return signals.velocity_acceleration(signals.growth_rate(hourly(spark, sf)))
+    return signals.velocity_acceleration(signals.growth_rate(series(spark, sf)))
 
 
 def _scored(spark, sf):
-    return signals.zscore(signals.growth_rate(hourly(spark, sf)))
+    return signals.zscore(signals.growth_rate(series(spark, sf)))
 
 
 @query
@@ -480,18 +480,18 @@ def trend_summary(spark, sf):
 @query
 def growth_rate_clamped(spark, sf):
     """Growth of corrected counts, some of which fall below 0."""
-    corrected = hourly(spark, sf).withColumn("frequency", F.col("frequency") - 2)
+    corrected = series(spark, sf).withColumn("frequency", F.col("frequency") - 2)
     return signals.growth_rate_clamped(corrected)
 
 
 @query
 def peer_zscore(spark, sf):
-    return rounded(signals.peer_zscore(signals.growth_rate(hourly(spark, sf))), 6, "peer_z")
+    return rounded(signals.peer_zscore(signals.growth_rate(series(spark, sf))), 6, "peer_z")
 
 
 @query
 def acceleration_zero_first(spark, sf):
-    rated = signals.growth_rate(hourly(spark, sf)).filter(F.col("growth_rate").isNotNull())
+    rated = signals.growth_rate(series(spark, sf)).filter(F.col("growth_rate").isNotNull())
     return signals.acceleration_zero_first(rated)
 
 

@@ -43,20 +43,3 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-# A scan below this size may be one row group, and so one task.
-SMALL_SCAN = 1 << 30
-
-
-def spread_small(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a small table over the cores before costly per-row work, by the given keys.
-
-    Decided on the size Spark estimates for the scan: a table of more than 1 GiB has splits
-    enough and is returned as it is, so large data is never shuffled here.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(str(size)) > SMALL_SCAN or cores == 1:
-        return df
-    return df.repartition(cores, *keys)

@@ -94,18 +94,15 @@ def dated_path(root: str, source: str, at: datetime) -> str:
 
 
 def write_dated(
-    df: DataFrame, root: str, timestamp: str = "timestamp", mode: str = "append", files_per_folder: int = 8
+    df: DataFrame, root: str, timestamp: str = "timestamp", mode: str = "append"
 ) -> None:
     """Write by source and day, so that a read for some days opens only their folders.
 
-    Rows are first spread over tasks by folder and a few slices of it: each folder gets at most
-    `files_per_folder` files, and a source that holds a third of the data is still written by
-    that many tasks a day.
+    Rows are first brought together by folder; Spark splits folders that are large and joins small
+    ones by their size, so a source that holds a third of the data is written by many tasks.
     """
     dated = df.withColumns(date_parts(F.col(timestamp)))
-    slice_of = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_folder))
-    spread = dated.repartition(*DATE_COLUMNS, slice_of)
-    spread.write.mode(mode).partitionBy(*DATE_COLUMNS).parquet(root)
+    dated.hint("rebalance", *DATE_COLUMNS).write.mode(mode).partitionBy(*DATE_COLUMNS).parquet(root)
 
 
 def read_dated(spark: SparkSession, root: str, source: str | None = None, day: datetime | None = None) -> DataFrame:
