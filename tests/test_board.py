@@ -73,7 +73,8 @@ def test_metrics_and_summary(table):
     assert board.summary_text(table.limit(0)).first()["summary"] == "No data available to summarize."
     one = board.keyword_summary_text(table, "AI chips").first()["summary"]
     assert one == (
-        "AI chips is currently viral: exploding right now. Current frequency: 50 mentions | Growth: +400.0% "
+        "AI chips is currently 🔥 Viral. Exploding right now — sharp spike in mentions "
+        "Current frequency: 50 mentions | Growth: +400.0% "
         "Alert: unusual spike (Z-score: 3.50)"
     )
     assert board.keyword_summary_text(table, "none").first()["summary"] == "No data found for 'none'."
@@ -171,7 +172,7 @@ def test_priority(made, spark):
 
 def test_lifecycle_velocity_topics(made):
     stages = {r["trend_class"]: (r["stage"], r["stage_value"]) for r in outlook.lifecycle(made).collect()}
-    assert stages["viral"] == ("Rising to Peak", 0.8) and stages["odd"] == ("Unknown", 0.0)
+    assert stages["viral"] == ("Rising → Peak", 0.8) and stages["odd"] == ("Unknown", 0.0)
     pace = {r["keyword"]: (r["velocity"], r["acceleration"]) for r in outlook.projected_velocity(made).collect()}
     assert pace["crypto ai"] == (1.0, pytest.approx(0.1))
     topics = {r["topic"]: r["rows"] for r in outlook.topic_buckets(made).collect()}

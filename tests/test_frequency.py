@@ -1,9 +1,13 @@
 from __future__ import annotations
 
+from functools import reduce
+
 import pytest
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tests.helpers import hour
+from tidemark.functions import times
 from tidemark.operators import frequency
 from tidemark.sources import bindings as B
 
@@ -20,10 +24,14 @@ def same(a, b):
 @pytest.mark.parametrize("labels,fraction", [(["1h", "6h", "24h", "7d"], 1.0), (["6h", "24h"], 0.25), (["90m"], 0.4)])
 def test_roll_up_equals_direct_counts(spark, sf, labels, fraction):
     events = B.event_mentions(spark, sf)
-    direct = frequency.window_frequency(events, labels[0], fraction)
-    for label in labels[1:]:
-        direct = direct.unionByName(frequency.window_frequency(events, label, fraction))
-    same(frequency.all_windows(events, labels, fraction).drop("source"), direct)
+    direct = []
+    for label in labels:
+        length, slide = (f"{n} seconds" for n in (times.window_seconds(label), times.slide_seconds(label, fraction)))
+        counted = events.groupBy("keyword", F.window("timestamp", length, slide).alias("w")).agg(F.count("*").alias("frequency"))
+        named = counted.select("keyword", "w.start", "w.end", "frequency", F.lit(label)).toDF(*frequency.COLUMNS[:-1])
+        direct.append(named)
+        same(frequency.window_frequency(events, label, fraction), named)
+    same(frequency.all_windows(events, labels, fraction).drop("source"), reduce(DataFrame.unionByName, direct))
 
 
 def test_sources_add_up(spark, sf):

@@ -42,7 +42,9 @@ def test_no_raw_data(spark, tmp_path):
 
 def test_unknown_source():
     with pytest.raises(ValueError):
-        normalize.source_of("/data/other")
+        normalize.by_source(["/data/other"])
+    routed = normalize.by_source(["/raw/News/a", "/raw/reddit/b", "/raw/news/twitter", "/raw/news/c"])
+    assert routed == {"twitter": ["/raw/news/twitter"], "reddit": ["/raw/reddit/b"], "news": ["/raw/News/a", "/raw/news/c"]}
 
 
 def test_snapshot_replaces_its_day_only(spark, tmp_path):

@@ -2,40 +2,31 @@
 
 from __future__ import annotations
 
-import re
+from datetime import timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unit letters of a window label, in seconds.
-UNIT_SECONDS = {"s": 1, "m": 60, "h": 3600, "d": 86400}
+# Unit letters of a window label, and the written forms of a post's time.
+UNITS = {"s": "seconds", "m": "minutes", "h": "hours", "d": "days"}
+TIME_FORMS = ("yyyy-MM-dd'T'HH:mm:ssX", "yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd HH:mm:ss")
 
 ISO_OUT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
 def window_seconds(label: str) -> int:
-    """Length of a window label such as `6h`, in seconds."""
-    match = re.fullmatch(r"(\d+)([a-z]+)", label.strip().lower())
-    if match is None:
-        raise ValueError(f"window label {label!r} is not a number and a unit")
-    amount, unit = match.groups()
-    if unit not in UNIT_SECONDS:
-        raise ValueError(f"window label {label!r} has unknown unit {unit!r}")
-    seconds = int(amount) * UNIT_SECONDS[unit]
-    if seconds <= 0:
-        raise ValueError(f"window label {label!r} has no length")
-    return seconds
+    """Length of a window label, a whole number above 0 and a unit letter such as `6h`, in seconds."""
+    number, unit = label.strip().lower()[:-1], UNITS.get(label.strip().lower()[-1:])
+    if unit is None or not (number.isascii() and number.isdigit()) or int(number) == 0:
+        raise ValueError(f"{label!r} is no window label: a number above 0, then one of {', '.join(UNITS)}")
+    return timedelta(**{unit: int(number)}) // timedelta(seconds=1)
 
 
 def slide_seconds(label: str, fraction: float = 1.0) -> int:
-    """Distance between window starts: the given share of the length, at least a second."""
+    """Whole seconds between window starts, a share of the length; shares below a second count as one."""
     return max(1, int(window_seconds(label) * fraction))
 
 
-def interval(seconds: int) -> str:
-    return f"{seconds} seconds"
-
-
 def bucket_start(epoch_seconds: Column, seconds: int) -> Column:
     """Start of the epoch-aligned bucket of a bigint time, also before 1970."""
     return epoch_seconds - F.pmod(epoch_seconds, F.lit(seconds))
@@ -43,13 +34,8 @@ def bucket_start(epoch_seconds: Column, seconds: int) -> Column:
 
 def parse_timestamp(raw: Column) -> Column:
     """ISO with zone, `yyyy-MM-dd HH:mm:ss` or epoch seconds as text; anything else is null."""
-    epoch = F.trim(raw).try_cast("bigint")
-    return F.coalesce(
-        F.try_to_timestamp(raw, F.lit("yyyy-MM-dd'T'HH:mm:ssX")),
-        F.try_to_timestamp(raw, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")),
-        F.try_to_timestamp(raw, F.lit("yyyy-MM-dd HH:mm:ss")),
-        F.timestamp_seconds(epoch),
-    )
+    written = [F.try_to_timestamp(raw, F.lit(form)) for form in TIME_FORMS]
+    return F.coalesce(*written, F.timestamp_seconds(F.trim(raw).try_cast("bigint")))
 
 
 def parse_feed_date(raw: Column, to_utc: bool = False) -> Column:

@@ -43,9 +43,13 @@ def prepare(df: DataFrame, stand_ins: Sequence[tuple[str, str]] = STAND_INS) ->
 
 
 def combine(frames: Sequence[DataFrame]) -> DataFrame:
-    """Stored tables of different columns as one, gaps null, then prepared."""
-    union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    return prepare(union)
+    """Stored tables of different columns as one, gaps null, then prepared.
+
+    Times are parsed before the union, where one table may hold text and another timestamps; columns
+    stand in for others only where no table has those.
+    """
+    parsed = [prepare(df, ()) for df in frames]
+    return prepare(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parsed))
 
 
 def newest(board: DataFrame, time: str = "timestamp") -> Column:
@@ -209,6 +213,15 @@ SUMMARY = (
 )
 
 
+# Title and explanation of each label for a single keyword.
+EXPLAINED = {
+    "viral": ("🔥 Viral", "Exploding right now — sharp spike in mentions"),
+    "emerging": ("📈 Emerging", "Gaining momentum — steady growth building up"),
+    "stable": ("➡️ Stable", "Consistent attention — steady baseline activity"),
+    "declining": ("📉 Declining", "Losing steam — conversation is fading"),
+}
+
+
 def summary_text(board: DataFrame) -> DataFrame:
     """The snapshot in a sentence, with the counts it is made of."""
     counts = board.agg(
@@ -243,20 +256,21 @@ def summary_text(board: DataFrame) -> DataFrame:
 
 
 def keyword_summary_text(board: DataFrame, keyword: str) -> DataFrame:
-    """One keyword's latest row in a sentence; growth is a percentage of the stored fraction."""
+    """One keyword's latest row in words: label, what it means, counts; growth is a percentage of the
+    stored fraction."""
     at = F.struct(*[c for c in ("timestamp", "window", "source") if c in board.columns])
     wanted = ("trend_label", "frequency", "growth_rate", "z_score", "is_anomaly")
     last = board.filter(F.col("keyword") == keyword).agg(
         F.max_by(F.struct(*wanted), at).alias("last"), F.count("*").alias("rows")
     )
     row = {c: F.col(f"last.{c}") for c in wanted}
-    explained = F.coalesce(
-        *[F.when(F.lower(row["trend_label"]) == name, F.lit(text)) for name, text in SUMMARY],
-        F.lit("unknown trend pattern"),
-    )
+    label = F.lower(row["trend_label"])
+    known = [(label == name, title, text) for name, (title, text) in EXPLAINED.items()]
+    titled = F.coalesce(*[F.when(fits, F.lit(title)) for fits, title, _ in known], label, F.lit("unknown"))
     told = F.concat_ws(
         " ",
-        F.concat(F.lit(f"{keyword} is currently "), F.lower(row["trend_label"]), F.lit(":"), F.lit(" "), explained, F.lit(".")),
+        F.concat(F.lit(f"{keyword} is currently "), titled, F.lit(".")),
+        F.coalesce(*[F.when(fits, F.lit(text)) for fits, _, text in known], F.lit("Unknown trend pattern")),
         F.concat(
             F.lit("Current frequency: "), row["frequency"].cast("string"), F.lit(" mentions | Growth: "),
             signed_percent(F.coalesce(row["growth_rate"], F.lit(0.0))),

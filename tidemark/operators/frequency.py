@@ -9,29 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import settings as S
-from tidemark.functions.times import bucket_start, interval, slide_seconds, window_seconds
+from tidemark.functions.times import bucket_start, slide_seconds, window_seconds
 
 COLUMNS = ("keyword", "window_start", "window_end", "frequency", "window", "source")
 
 
-def window_frequency(events: DataFrame, label: str, slide_fraction: float = 1.0) -> DataFrame:
-    """Mentions per keyword in the windows of one label, over all sources."""
-    span = F.window(
-        "timestamp", interval(window_seconds(label)), interval(slide_seconds(label, slide_fraction))
-    )
-    return (
-        events.groupBy(span.alias("span"), "keyword")
-        .agg(F.count("*").alias("frequency"))
-        .select(
-            "keyword",
-            F.col("span.start").alias("window_start"),
-            F.col("span.end").alias("window_end"),
-            "frequency",
-            F.lit(label).alias("window"),
-        )
-    )
-
-
 def _grain(labels: Sequence[str], slide_fraction: float) -> int:
     """Longest bucket that every window starts and ends on."""
     spans = [window_seconds(x) for x in labels] + [slide_seconds(x, slide_fraction) for x in labels]
@@ -110,6 +92,11 @@ def all_windows(
     return rolled.withColumn("source", F.lit(S.ALL_SOURCES)).select(*COLUMNS)
 
 
+def window_frequency(events: DataFrame, label: str, slide_fraction: float = 1.0) -> DataFrame:
+    """Mentions per keyword in the windows of one label, over all sources."""
+    return all_windows(events, [label], slide_fraction).drop("source")
+
+
 def per_source(
     events: DataFrame, labels: Sequence[str] = S.WINDOWS, slide_fraction: float = 1.0
 ) -> DataFrame:

@@ -9,9 +9,9 @@ from tidemark.operators.normalize import latest_rows
 
 # Lifecycle stage and progress of each label, topic rules in order.
 STAGES = {
-    "emerging": ("Pre-emergence to Rising", 0.4),
-    "viral": ("Rising to Peak", 0.8),
-    "stable": ("Peak to Declining", 0.6),
+    "emerging": ("Pre-emergence → Rising", 0.4),
+    "viral": ("Rising → Peak", 0.8),
+    "stable": ("Peak → Declining", 0.6),
     "declining": ("Declining", 0.2),
 }
 TOPICS = (

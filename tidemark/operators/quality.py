@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable
+from collections.abc import Collection, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,14 +14,13 @@ from tidemark import settings as S
 log = logging.getLogger(__name__)
 
 
-def require_columns(df: DataFrame, required: StructType | Iterable) -> bool:
-    """Raise ValueError unless every required column is present."""
-    if isinstance(required, str) or not isinstance(required, Iterable):
-        raise TypeError("required columns are a list of names or a StructType")
-    wanted = [getattr(c, "name", str(c)) for c in required]
-    missing = [c for c in wanted if c not in df.columns]
-    if missing:
-        raise ValueError(f"missing columns: {', '.join(missing)}")
+def require_columns(df: DataFrame, required: StructType | Collection[str]) -> bool:
+    """Raise ValueError unless the frame has all columns of a schema or a collection of names."""
+    if isinstance(required, str):
+        raise TypeError(f"a collection of names is needed, not the text {required!r}")
+    absent = set(required.names if isinstance(required, StructType) else required).difference(df.columns)
+    if absent:
+        raise ValueError(f"columns {sorted(absent)} are not among {df.columns}")
     return True
 
 

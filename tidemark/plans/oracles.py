@@ -179,8 +179,9 @@ _cte("tweets", "", f"""
            CASE WHEN user_id % 3 > 0 THEN CAST(user_id AS INTEGER) END AS reply_count, event_type
     FROM documents LEFT JOIN events ON event_id = doc_id""")
 _cte("forum", "", """
-    SELECT 'rd_' || CAST(conv_id AS VARCHAR) || '_' || CAST(turn AS VARCHAR) AS id, role AS title,
-           CASE WHEN role <> 'system' THEN text END AS selftext, 'r' || CAST(conv_id % 7 AS VARCHAR) AS subreddit,
+    SELECT 'rd_' || CAST(conv_id AS VARCHAR) || '_' || CAST(turn AS VARCHAR) AS id,
+           CASE WHEN (conv_id * 8 + turn) % 5 = 0 THEN concat_ws(' ', role, text) ELSE role END AS title,
+           CASE WHEN (conv_id * 8 + turn) % 5 <> 0 THEN text END AS selftext, 'r' || CAST(conv_id % 7 AS VARCHAR) AS subreddit,
            CAST(turn * 3 AS INTEGER) AS score, CASE WHEN role = 'user' THEN CAST(turn AS INTEGER) END AS num_comments,
            1704067200 + (conv_id * 8 + turn) * 104729 % 2592000 AS created_utc,
            'https://forum.example/' || CAST(conv_id AS VARCHAR) AS url, 'reddit' AS data_source
@@ -189,7 +190,7 @@ _NEWS_ID = "'n_' || substr(sha1(url), 1, 14)"
 _TITLE = "regexp_extract(html, '<title>([^<]*)</title>', 1)"
 _HOST = "regexp_extract(url, '^https?://([^/]+)', 1)"
 _cte("news", "", f"""
-    SELECT {_NEWS_ID} AS id, {_TITLE} AS title, regexp_extract(html, '<h1>([^<]*)</h1>', 1) AS summary,
+    SELECT {_NEWS_ID} AS id, {_TITLE} AS title, regexp_replace(html, '<[^>]*>', ' ', 'g') AS summary,
            {_iso('page_id')} AS published, {_HOST} AS source, url AS link FROM pages""")
 _cte("npost_t", "tweets", """
     SELECT id, text, created_at AS "timestamp", 'twitter' AS source,
@@ -277,7 +278,7 @@ def _sliding(size: int, slide: int, label: str) -> str:
     """Every window of `size` hours, `slide` hours apart, that holds a mention."""
     start = f"time_bucket(INTERVAL {slide} HOUR, \"timestamp\", TIMESTAMP '1970-01-01') - to_hours(CAST(back * {slide} AS INTEGER))"
     return f"""SELECT keyword, s AS window_start, s + INTERVAL {size} HOUR AS window_end, count(*) AS frequency,
-        '{label}' AS "window" FROM (SELECT keyword, {start} AS s FROM event_mentions
+        '{label}' AS "window" FROM (SELECT keyword, {start} AS s FROM tok
         CROSS JOIN (SELECT unnest(range(0, {size // slide})) AS back)) GROUP BY ALL"""
 
 
@@ -315,7 +316,7 @@ def _last_known(column: str) -> str:
 
 
 def _snapshot_days(factor_of_second: str) -> str:
-    base = _windows("event_mentions", ["24h"], False)
+    base = _windows("tok", ["24h"], False)
     return (
         f"SELECT keyword, window_start, frequency, '2024-01-01' AS dt FROM ({base}) UNION ALL "
         f"SELECT keyword, window_start, {factor_of_second} * frequency AS frequency, '2024-01-02' AS dt FROM ({base})"
@@ -333,16 +334,21 @@ ORACLES: dict[str, str] = {
     # sources and sinks
     "scan_jsonl": _with("unified", "SELECT * FROM unified"),
     "sink_jsonl": _with("forum", "SELECT * FROM forum"),
-    "sink_parquet_partitioned": _with("event_mentions", _windows("event_mentions", S.WINDOWS, False)),
+    "sink_parquet_partitioned": _with("gfreq", "SELECT * FROM gfreq"),
     "partition_pruned_read": _with("event_mentions", """
         SELECT keyword, "timestamp", source FROM event_mentions WHERE source = 'group1'
         AND "timestamp" >= TIMESTAMP '2024-01-15' AND "timestamp" < TIMESTAMP '2024-01-16'"""),
-    "sink_dt_snapshot": _with("event_mentions", _snapshot_days("-1")),
+    "sink_dt_snapshot": _with("tok", _snapshot_days("-1")),
     "sink_csv": _with("forum", "SELECT id, title, score, created_utc, url FROM forum"),
     "scan_csv": "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer",
-    "board_load": _with("feat", """
+    "board_load": _with("feat typed part_mentions", """
         SELECT keyword, "timestamp", freq_24h AS frequency, growth_rate_24h AS growth_rate,
-               floor(z_score_24h * 1e6 + 0.5) / 1e6 AS z_score, trend_label FROM feat"""),
+               floor(z_score_24h * 1e6 + 0.5) / 1e6 AS z_score, trend_label FROM feat UNION ALL
+        SELECT keyword, TRY_CAST("timestamp" AS TIMESTAMP), NULL, NULL, NULL, lower(trim(trend_label)) FROM typed UNION ALL
+        SELECT DISTINCT keyword, CAST(NULL AS TIMESTAMP), NULL, NULL, NULL, lower(source) FROM part_mentions"""),
+    "board_load_trends": _with("trend", """
+        SELECT keyword, window_start AS "timestamp", "window", nullif(source, '__all__') AS source, frequency,
+               CASE WHEN source <> '__all__' THEN growth_rate END AS growth_rate, trend_label FROM trend"""),
     "export_board": _with("gboard", _EXPORT),
     "export_board_json": _with("gboard", _EXPORT),
     # normalisation
@@ -417,9 +423,9 @@ ORACLES: dict[str, str] = {
         GROUP BY keyword"""),
     # windows
     **{f"window_freq_{w}": _simple_window(w) for w in S.WINDOWS},
-    "window_freq_sliding": _with("event_mentions", _sliding(24, 6, "24h")),
+    "window_freq_sliding": _with("tok", _sliding(24, 6, "24h")),
     "freq_all_windows_sliding": _with(
-        "event_mentions",
+        "tok",
         f"SELECT *, '__all__' AS source FROM ({_sliding(6, 3, '6h')} UNION ALL {_sliding(24, 12, '24h')})",
     ),
     "freq_all_windows": _with("gfreq", "SELECT * FROM gfreq"),
@@ -534,9 +540,11 @@ ORACLES: dict[str, str] = {
         (SELECT *, row_number() OVER (PARTITION BY keyword ORDER BY "timestamp" DESC, "window" DESC, source DESC) AS rn
          FROM board WHERE keyword IN ('ing', 'ble')) WHERE rn = 1"""),
     "board_summary_text": _with("board", _summary()),
-    "keyword_summary_text": _with("gboard", f"""SELECT keyword, 'ing is currently ' || trend_label || ': ' ||
-        CASE trend_label WHEN 'viral' THEN 'exploding right now' WHEN 'emerging' THEN 'gaining steady momentum'
-             WHEN 'stable' THEN 'consistent activity' ELSE 'losing steam' END || '. Current frequency: ' ||
+    "keyword_summary_text": _with("gboard", f"""SELECT keyword, 'ing is currently ' ||
+        CASE trend_label WHEN 'viral' THEN '🔥 Viral. Exploding right now — sharp spike in mentions'
+             WHEN 'emerging' THEN '📈 Emerging. Gaining momentum — steady growth building up'
+             WHEN 'stable' THEN '➡️ Stable. Consistent attention — steady baseline activity'
+             ELSE '📉 Declining. Losing steam — conversation is fading' END || ' Current frequency: ' ||
         CAST(frequency AS VARCHAR) || ' mentions | Growth: ' || {_percent('coalesce(growth_rate, 0)')} ||
         CASE WHEN is_anomaly = 1 THEN ' Alert: unusual spike (Z-score: ' || printf('%.2f', z_score) || ')' ELSE '' END AS summary
         FROM (SELECT * FROM gboard WHERE keyword = 'ing' ORDER BY "timestamp" DESC, "window" DESC LIMIT 1)"""),
@@ -560,6 +568,9 @@ ORACLES: dict[str, str] = {
         (SELECT * FROM gboard ORDER BY frequency DESC, z_score DESC, {_BOARD_TIE} LIMIT 20)"""),
     "board_facets": _with("board", """SELECT DISTINCT 'source' AS facet, source AS value FROM board UNION ALL
         SELECT DISTINCT 'window', "window" FROM board UNION ALL SELECT DISTINCT 'keyword', keyword FROM board"""),
+    "forecast_facets": _with("pred", """SELECT DISTINCT 'forecast_period' AS facet, forecast_period AS value FROM pred
+        UNION ALL SELECT DISTINCT 'keyword', keyword FROM pred"""),
+    "forecast_board_load": _with("pred", f"SELECT {_PRED_COLUMNS} FROM pred"),
     "board_limits": _with("board", "SELECT max(frequency) AS max_frequency, max(growth_rate) AS max_growth FROM board"),
     "dataset_status": _with("cleaned freq feat", """
         SELECT 'processed' AS dataset, max("timestamp") AS latest, count(*) AS "rows" FROM cleaned UNION ALL
@@ -586,8 +597,8 @@ ORACLES: dict[str, str] = {
     "forecast_filter": _with("pred", f"""SELECT {_PRED_COLUMNS} FROM pred
         WHERE forecast_period = '24h' AND CAST(CAST(confidence AS FLOAT) AS DOUBLE) >= 0.5"""),
     "lifecycle_stage": _with("pred", """SELECT DISTINCT keyword, trend_class,
-        CASE trend_class WHEN 'emerging' THEN 'Pre-emergence to Rising' WHEN 'viral' THEN 'Rising to Peak'
-             WHEN 'stable' THEN 'Peak to Declining' WHEN 'declining' THEN 'Declining' ELSE 'Unknown' END AS stage,
+        CASE trend_class WHEN 'emerging' THEN 'Pre-emergence → Rising' WHEN 'viral' THEN 'Rising → Peak'
+             WHEN 'stable' THEN 'Peak → Declining' WHEN 'declining' THEN 'Declining' ELSE 'Unknown' END AS stage,
         CASE trend_class WHEN 'emerging' THEN 0.4::DOUBLE WHEN 'viral' THEN 0.8 WHEN 'stable' THEN 0.6
              WHEN 'declining' THEN 0.2 ELSE 0 END AS stage_value FROM pred"""),
     "projected_velocity": _with("pred", """SELECT keyword, round(p / 24, 6) AS velocity, round(p / 24 * 0.1, 6) AS acceleration

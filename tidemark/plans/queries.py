@@ -124,7 +124,7 @@ def sink_jsonl(spark, sf):
 @query
 def sink_parquet_partitioned(spark, sf):
     path = scratch_path(spark, "by-window")
-    files.write_parquet(frequency.all_windows(B.event_mentions(spark, sf)), path, "overwrite", ["window"])
+    files.write_parquet(frequency.all_windows(B.mentions(spark, sf)), path, "overwrite", ["window"])
     return files.read_parquet(spark, path).select(*frequency.COLUMNS)
 
 
@@ -139,7 +139,7 @@ def partition_pruned_read(spark, sf):
 def sink_dt_snapshot(spark, sf):
     """Two days' snapshots, then one of them again: only that day is replaced."""
     path = scratch_path(spark, "snapshot")
-    daily = frequency.all_windows(B.event_mentions(spark, sf), ["24h"]).select("keyword", "window_start", "frequency")
+    daily = frequency.all_windows(B.mentions(spark, sf), ["24h"]).select("keyword", "window_start", "frequency")
     files.write_snapshot(daily, path, "2024-01-01")
     files.write_snapshot(daily, path, "2024-01-02")
     files.write_snapshot(daily.withColumn("frequency", -F.col("frequency")), path, "2024-01-02")
@@ -151,7 +151,7 @@ def sink_csv(spark, sf):
     path = scratch_path(spark, "csv")
     shown = B.raw_forum(spark, sf).select("id", "title", "score", "created_utc", "url")
     files.write_csv(shown, path)
-    return files.read_csv(spark, path, "id string, title string, score int, created_utc bigint, url string")
+    return files.read_csv(spark, path, "id string, title string, score int, created_utc bigint, url string", multiline=True)
 
 
 @query
@@ -164,17 +164,36 @@ def scan_csv(spark, sf):
 
 @query
 def board_load(spark, sf):
-    """Stored feature tables of nested folders, read as one board."""
+    """Feature tables, typed rows with text times and bare keywords of three folders, as one board."""
     root = scratch_path(spark, "board")
-    table = feature_table(spark, sf)
-    files.write_parquet(table.drop("is_anomaly"), f"{root}/dt=2024-01-31", "overwrite")
-    loaded = board.prepare(files.read_folder(spark, root))
+    typed = upload.tidy_names(B.typed_upload(spark, sf, "Keyword ", "TIMESTAMP", "Trend_Label"))
+    words = B.part_mentions(spark, sf).select("keyword", F.col("source").alias("trend_label")).distinct()
+    stored = {
+        "features/dt=2024-01-31": feature_table(spark, sf).drop("is_anomaly"),
+        "typed/late/rows": typed,
+        "words": words,
+    }
+    for name, table in stored.items():
+        files.write_parquet(table, f"{root}/{name}", "overwrite")
+    loaded = board.combine([files.read_folder(spark, f"{root}/{name.split('/')[0]}") for name in stored])
     return rounded(
         loaded.select("keyword", "timestamp", "frequency", "growth_rate", "z_score", "trend_label"),
         6, "z_score",
     )
 
 
+@query
+def board_load_trends(spark, sf):
+    """Stored trend tables of differing columns without a board time: their window start stands in."""
+    root = scratch_path(spark, "board-trends")
+    table = trends(spark, sf)
+    own = F.col("source") == S.ALL_SOURCES
+    files.write_parquet(table.filter(own).drop("source", "growth_rate"), f"{root}/all/dt=2024-01-31", "overwrite")
+    files.write_parquet(table.filter(~own).drop("velocity"), f"{root}/each/dt=2024-01-31", "overwrite")
+    loaded = board.prepare(files.read_folder(spark, root))
+    return loaded.select("keyword", "timestamp", "window", "source", "frequency", "growth_rate", "trend_label")
+
+
 def _exported(spark, sf):
     shown = board.choose(global_board(spark, sf), ["viral", "emerging"])
     return shown.select("keyword", "timestamp", "window", "frequency", "growth_rate", "trend_label")
@@ -202,25 +221,25 @@ def export_board_json(spark, sf):
 
 @query
 def normalize_tweets(spark, sf):
-    return normalize.tweets_to_posts(B.raw_tweets(spark, sf))
+    return normalize.to_posts(B.raw_tweets(spark, sf), "twitter")
 
 
 @query
 def normalize_forum(spark, sf):
-    return normalize.forum_to_posts(B.raw_forum(spark, sf))
+    return normalize.to_posts(B.raw_forum(spark, sf), "reddit")
 
 
 @query
 def normalize_news(spark, sf):
-    return normalize.news_to_posts(B.raw_news(spark, sf))
+    return normalize.to_posts(B.raw_news(spark, sf), "news")
 
 
 def _unified(spark, sf):
     return normalize.unify(
         [
-            normalize.tweets_to_posts(B.raw_tweets(spark, sf)),
-            normalize.forum_to_posts(B.raw_forum(spark, sf)),
-            normalize.news_to_posts(B.raw_news(spark, sf)),
+            normalize.to_posts(B.raw_tweets(spark, sf), "twitter"),
+            normalize.to_posts(B.raw_forum(spark, sf), "reddit"),
+            normalize.to_posts(B.raw_news(spark, sf), "news"),
         ]
     )
 
@@ -391,13 +410,13 @@ for _label in S.WINDOWS:
 
 @query
 def window_freq_sliding(spark, sf):
-    return frequency.window_frequency(B.event_mentions(spark, sf), "24h", 0.25)
+    return frequency.window_frequency(B.mentions(spark, sf), "24h", 0.25)
 
 
 @query
 def freq_all_windows_sliding(spark, sf):
     """Sliding windows of several lengths from one set of base counts."""
-    return frequency.all_windows(B.event_mentions(spark, sf), ["6h", "24h"], 0.5)
+    return frequency.all_windows(B.mentions(spark, sf), ["6h", "24h"], 0.5)
 
 
 @query
@@ -782,6 +801,28 @@ def board_facets(spark, sf):
     return board.facets(trend_board(spark, sf), ["source", "window", "keyword"])
 
 
+@query
+def forecast_facets(spark, sf):
+    """Choices of the forecast board: periods and keywords of its predictions."""
+    return board.facets(predictions(spark, sf), ["forecast_period", "keyword"])
+
+
+@query
+def forecast_board_load(spark, sf):
+    """Predictions of two folders, one with its times as text, read as one forecast board."""
+    root = scratch_path(spark, "predictions")
+    table = predictions(spark, sf)
+    early = F.col("trend_class").eqNullSafe("stable")
+    shown = {
+        "kept": table.filter(early),
+        "text": table.filter(~early).withColumn("predicted_at", F.date_format("predicted_at", times.ISO_OUT)),
+    }
+    for name, part in shown.items():
+        files.write_parquet(part, f"{root}/{name}/dt=2024-01-31", "overwrite")
+    loaded = board.combine([files.read_folder(spark, f"{root}/{name}") for name in shown])
+    return shown_predictions(loaded.select(*table.columns))
+
+
 @query
 def board_limits(spark, sf):
     return board.limits(trend_board(spark, sf))

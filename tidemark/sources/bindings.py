@@ -104,12 +104,13 @@ def raw_tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_forum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversation turns in the forum layout; system turns have no body."""
+    """Conversation turns in the forum layout; every fifth has its text in the title and no body."""
     turns = table(spark, sf_dir, "conversations")
+    bare = F.pmod(F.col("conv_id") * 8 + F.col("turn"), F.lit(5)) == 0
     return turns.select(
         F.concat_ws("_", F.lit("rd"), F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"),
-        F.col("role").alias("title"),
-        F.when(F.col("role") != "system", F.col("text")).alias("selftext"),
+        F.when(bare, F.concat_ws(" ", "role", "text")).otherwise(F.col("role")).alias("title"),
+        F.when(~bare, F.col("text")).alias("selftext"),
         F.concat(F.lit("r"), (F.col("conv_id") % 7).cast("string")).alias("subreddit"),
         (F.col("turn") * 3).cast("int").alias("score"),
         F.when(F.col("role") == "user", F.col("turn").cast("int")).alias("num_comments"),
@@ -146,12 +147,12 @@ def feed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_news(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages in the news layout: title and first heading."""
+    """Pages in the news layout: title and the whole page, tags taken out."""
     pages = table(spark, sf_dir, "pages")
     return pages.select(
         text.link_id(F.col("url")).alias("id"),
         _first_group("html", "<title>([^<]*)</title>").alias("title"),
-        _first_group("html", "<h1>([^<]*)</h1>").alias("summary"),
+        F.regexp_replace("html", "<[^>]*>", " ").alias("summary"),
         _iso(_seconds(F.col("page_id"))).alias("published"),
         _first_group("url", "^https?://([^/]+)").alias("source"),
         F.col("url").alias("link"),

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
-from tidemark.operators.normalize import POSTS_OF, source_of, unify
+from tidemark.operators.normalize import by_source, to_posts, unify
 
 log = logging.getLogger(__name__)
 
@@ -24,12 +24,14 @@ DATE_COLUMNS = ("source", "year", "month", "day")
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path or glob holds anything, on whichever file system it names."""
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
-    system = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = system.globStatus(hadoop_path)
-    return found is not None and len(found) > 0
+    """Whether a path or glob holds anything, on whichever file system it names. Lists, reads nothing."""
+    try:
+        spark.read.text(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def read_jsonl(spark: SparkSession, paths: Sequence[str] | str, ddl: str, strict: bool = True) -> DataFrame:
@@ -49,17 +51,20 @@ def load_raw_posts(spark: SparkSession, paths: Sequence[str], strict: bool = Tru
     """All raw post folders as unified posts.
 
     Folders that are missing or hold no `.json` or `.jsonl` file are skipped; none left is an error.
+    All folders of a source are one read, so a year of daily folders plans no more than three scans.
+    With `strict=False` a malformed line becomes a post without text and is dropped like every such
+    post; `read_jsonl` shows those lines.
     """
-    frames = []
-    for path in paths:
-        pattern = f"{path.rstrip('/')}/*.{{json,jsonl}}"
-        if not path_exists(spark, pattern):
-            log.warning("no JSON Lines files in %s, skipped", path)
-            continue
-        source = source_of(path)
-        frames.append(POSTS_OF[source](read_jsonl(spark, pattern, RAW_SCHEMAS[source], strict)))
-    if not frames:
+    patterns = {path: f"{path.rstrip('/')}/*.{{json,jsonl}}" for path in paths}
+    held = [path for path, pattern in patterns.items() if path_exists(spark, pattern)]
+    if skipped := sorted(patterns.keys() - set(held)):
+        log.warning("no JSON Lines files in %s, skipped", ", ".join(skipped))
+    if not held:
         raise RuntimeError("none of the raw paths holds data")
+    frames = []
+    for source, folders in by_source(held).items():
+        raw = read_jsonl(spark, [patterns[path] for path in folders], RAW_SCHEMAS[source], strict)
+        frames.append(to_posts(raw, source))
     return unify(frames)
 
 
@@ -133,9 +138,12 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
 
-def read_csv(spark: SparkSession, path: str, ddl: str | None = None) -> DataFrame:
-    """CSV with a header; types are inferred (an extra pass) unless a schema is given."""
-    reader = spark.read.option("header", True)
+def read_csv(spark: SparkSession, path: str, ddl: str | None = None, multiline: bool = False) -> DataFrame:
+    """CSV with a header; types are inferred (an extra pass) unless a schema is given.
+
+    Values that hold line breaks need `multiline`; each file is then read by one task.
+    """
+    reader = spark.read.option("header", True).option("multiLine", multiline)
     return reader.schema(ddl).csv(path) if ddl else reader.option("inferSchema", True).csv(path)
 
 

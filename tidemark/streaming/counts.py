@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.frequency import window_frequency
+from tidemark.functions.times import slide_seconds, window_seconds
 from tidemark.operators.keywords import keyword_events
 
 POST_DDL = "id string, text string, timestamp timestamp, source string, engagement int, lang string"
@@ -24,8 +24,13 @@ def stream_window_frequency(
 ) -> DataFrame:
     """Windowed counts of a post stream. A mention later than the lateness is dropped and the
     state of its window released; state is one row per open window and keyword."""
-    on_time = posts.withWatermark("timestamp", lateness)
-    return window_frequency(keyword_events(on_time, ("timestamp",)), label, slide_fraction)
+    on_time = keyword_events(posts.withWatermark("timestamp", lateness), ("timestamp",))
+    length, slide = (f"{n} seconds" for n in (window_seconds(label), slide_seconds(label, slide_fraction)))
+    counted = on_time.groupBy("keyword", F.window("timestamp", length, slide)).count()
+    return counted.select(
+        "keyword", F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+        F.col("count").alias("frequency"), F.lit(label).alias("window"),
+    )
 
 
 def run_available(counts: DataFrame, path: str, checkpoint: str) -> None:
