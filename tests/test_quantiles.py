@@ -37,6 +37,15 @@ def test_few_bins_still_exact(spark, monkeypatch):
     assert got == pytest.approx(float(np.median(values)))
 
 
+def test_ranks_outside_the_sketch(spark, monkeypatch):
+    """Brackets that miss their ranks widen to the side where the rank lies."""
+    monkeypatch.setattr(quantiles, "REACH", -0.3)
+    values = samples()["normal"][:800]
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    got = quantiles.exact_quantiles(df, ["v"], PROBS)["v"]
+    assert got == pytest.approx([float(np.percentile(values, 100 * p)) for p in PROBS], rel=1e-12, abs=1e-12)
+
+
 def test_gaps_and_empty_columns(spark):
     rows = [(1.0, None), (float("nan"), None), (float("inf"), None), (None, None), (3.0, None)]
     df = spark.createDataFrame(rows, "a double, b double")

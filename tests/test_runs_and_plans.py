@@ -63,8 +63,14 @@ def raw(spark, sf, tmp_path_factory):
 
 def test_whole_run(spark, raw, tmp_path):
     root = str(tmp_path / "lake")
-    trend_run.main([root, "--dt", "2024-01-31", "--raw", *raw, "--forecast", "--anomalies", "zscore"])
+    words = str(tmp_path / "words")
+    spark.createDataFrame([("the first", "EVENT"), ("news", "ORG")], "entity string, label string").write.parquet(words)
+    trend_run.main(
+        [root, "--dt", "2024-01-31", "--raw", *raw, "--forecast", "--anomalies", "zscore", "--keywords", "--dictionary", words]
+    )
     job = TrendRun(spark, root)
+    assert job.read("keywords").count() == 500
+    assert job.read("entities").count() == job.read("processed").count()
     assert [f.name for f in job.read("processed").schema] == schemas.names(schemas.PROCESSED)
     assert {r["source"] for r in job.read("processed").select("source").distinct().collect()} == {
         "twitter", "reddit", "news",
@@ -72,6 +78,8 @@ def test_whole_run(spark, raw, tmp_path):
     assert job.read("frequency").columns == list(frequency.COLUMNS)
     assert set(job.read("trends").columns) == set(schemas.names(schemas.TREND))
     table = job.snapshot("features", "2024-01-31")
+    joined = job.build(job.read("frequency"), job.read("trends"), "2024-01-30")
+    assert joined.exceptAll(table.select(joined.columns)).isEmpty() and joined.count() == table.count()
     assert set(table.columns) == set(schemas.names(schemas.FEATURE))
     direct = features.features_of_events(keywords.token_events(job.read("processed")))
     assert table.select(direct.columns).exceptAll(direct).isEmpty()

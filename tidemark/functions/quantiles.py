@@ -10,11 +10,17 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import finite
 
-BINS = 1 << 16
+#: Bins that a pass counts in each open span.
+BINS = 1 << 12
+#: Accuracy of the sketch that gives the first spans, and how far in probability these reach beyond it.
+ACCURACY = 1000
+REACH = 2 / ACCURACY
 
 
 def _bin(value: Column, low: float, high: float) -> Column:
     """Bin of a value between two bounds. Halved first, so the width cannot overflow."""
+    if low == high:
+        return F.lit(0).cast("bigint")
     share = (value / 2 - low / 2) / (high / 2 - low / 2)
     return F.least(F.floor(share * BINS), F.lit(BINS - 1))
 
@@ -22,15 +28,19 @@ def _bin(value: Column, low: float, high: float) -> Column:
 def _narrow(df: DataFrame, spans: dict[tuple, tuple]) -> dict[tuple, tuple]:
     """One counting pass: every open (column, rank) span shrinks to the bin that holds its rank.
 
-    A span is (low, high, below): its value bounds and how many values lie under them.
+    A span is (low, high, below): its value bounds and how many values lie under them. Of a sketched
+    span that is unknown; values under and over it are counted in a bin each, and a rank that lies there
+    goes on with that bin.
     """
     shared = sorted({(column, *span) for (column, _), span in spans.items()})
     slots = {key: i for i, key in enumerate(shared)}
     entries = []
-    for (column, low, high, _), slot in slots.items():
+    for (column, low, high, below), slot in slots.items():
         value = finite(F.col(column))
         inside = F.when(value.between(low, high), _bin(value, low, high))
-        entries.append(F.struct(F.lit(slot).alias("slot"), inside.alias("bin"), value.alias("v")))
+        if below is None:
+            inside = F.when(value < low, F.lit(-1)).when(value > high, F.lit(BINS)).otherwise(inside)
+        entries.append(F.struct(F.lit(slot).alias("slot"), inside.cast("bigint").alias("bin"), value.alias("v")))
     bins = (
         df.select(F.inline(F.array(*entries)))
         .filter(F.col("bin").isNotNull())
@@ -38,11 +48,11 @@ def _narrow(df: DataFrame, spans: dict[tuple, tuple]) -> dict[tuple, tuple]:
         .agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
     )
     upto = F.sum("n").over(Window.partitionBy("slot").orderBy("bin"))
-    ranked = bins.withColumn("before", upto - F.col("n"))  # at most BINS rows per slot
+    ranked = bins.withColumn("before", upto - F.col("n"))  # at most BINS + 2 rows per slot
     picks, order = [], list(spans)
     for i, (column, rank) in enumerate(order):
         span = spans[(column, rank)]
-        at = F.lit(rank - span[2])
+        at = F.lit(rank - (span[2] or 0))
         hit = (
             (F.col("slot") == slots[(column, *span)])
             & (at >= F.col("before"))
@@ -55,7 +65,7 @@ def _narrow(df: DataFrame, spans: dict[tuple, tuple]) -> dict[tuple, tuple]:
         .collect()  # one row per open span
     )
     return {
-        order[row["pick"]]: (row["low"], row["high"], spans[order[row["pick"]]][2] + row["before"])
+        order[row["pick"]]: (row["low"], row["high"], (spans[order[row["pick"]]][2] or 0) + row["before"])
         for row in found
     }
 
@@ -65,34 +75,35 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of the finite values of several columns.
 
-    A histogram descent: count values in equal bins between the bounds, step into the bin that
-    holds the wanted rank, repeat until a bin holds a single value. All columns and ranks share
-    each pass; a pass only counts, so memory is bounded by the bins, not by distinct values.
+    A sketch of each column, merged from one per task, brackets every rank; a histogram descent makes
+    it exact: count values in equal bins of the bracket, step into the bin that holds the rank, repeat
+    until a bin holds a single value. All columns and ranks share each pass; a pass only counts, so memory
+    is bounded by the bins, not by distinct values.
     The input is read once per pass: hand in a materialised table. A column without finite
     values has None.
     """
     columns, probabilities = list(columns), list(probabilities)
+    near = [min(max(p + side * REACH, 0.0), 1.0) for p in probabilities for side in (-1, 1)]
     facts = []
     for i, c in enumerate(columns):
         v = finite(F.col(c))
-        facts += [F.count(v).alias(f"n{i}"), F.min(v).alias(f"lo{i}"), F.max(v).alias(f"hi{i}")]
-    row = df.agg(*facts).first()
+        facts += [F.count(v).alias(f"n{i}"), F.percentile_approx(v, near, ACCURACY).alias(f"near{i}")]
+    row = df.agg(*facts).first() if columns else None
 
     spans, wanted = {}, {}
     for i, c in enumerate(columns):
         n = row[f"n{i}"]
-        for p in probabilities if n else ():
+        for j, p in enumerate(probabilities if n else ()):
             at = p * (n - 1)
             wanted[(c, p)] = (math.floor(at), math.ceil(at), at - math.floor(at))
             for rank in wanted[(c, p)][:2]:
-                spans[(c, rank)] = (row[f"lo{i}"], row[f"hi{i}"], 0)
+                spans[(c, rank)] = (*row[f"near{i}"][2 * j : 2 * j + 2], None)
 
     found: dict[tuple, float] = {}
     while spans:
+        spans = _narrow(df, spans)
         found.update({key: span[0] for key, span in spans.items() if span[0] == span[1]})
         spans = {key: span for key, span in spans.items() if span[0] != span[1]}
-        if spans:
-            spans = _narrow(df, spans)
 
     def value(c: str, p: float) -> float | None:
         if (c, p) not in wanted:

@@ -28,9 +28,11 @@ def impute(features: DataFrame, columns: Sequence[str] = S.ANOMALY_FEATURES) ->
     """Feature columns as doubles without gaps: absent columns are 0, other gaps the median of
     the finite values (0 if there are none). Reads the input several times."""
     present = [c for c in columns if c in features.columns]
-    medians = {c: q[0] for c, q in exact_quantiles(features, present, [0.5]).items()}
+    gaps = [F.count_if(finite(F.col(c)).isNull()).alias(c) for c in present]
+    count = features.agg(*gaps).first() if gaps else {}
+    medians = exact_quantiles(features, [c for c in present if count[c]], [0.5])
     filled = {
-        c: F.coalesce(finite(F.col(c)), F.lit(medians[c] or 0.0)) if c in present else F.lit(0.0)
+        c: F.coalesce(finite(F.col(c)), F.lit(medians.get(c, [None])[0] or 0.0)) if c in present else F.lit(0.0)
         for c in columns
     }
     return features.withColumns(filled)

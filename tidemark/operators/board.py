@@ -326,7 +326,8 @@ def distinct_labels(board: DataFrame) -> DataFrame:
 
 
 def latest_per_keyword(board: DataFrame) -> DataFrame:
-    """Each keyword's newest row. One combined aggregate, no sort of the series."""
+    """Each keyword's newest row. Combined before the shuffle, so a keyword with very many rows leaves each task
+    as one; the rows hold text, so Spark sorts them by keyword on both sides."""
     rest = [c for c in board.columns if c != "keyword"]
     at = F.struct(*[c for c in ("timestamp", "window", "source") if c in board.columns])
     last = board.groupBy("keyword").agg(F.max_by(F.struct(*rest), at).alias("last"))

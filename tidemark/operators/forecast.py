@@ -182,14 +182,47 @@ def fit_seasonal(past: DataFrame) -> DataFrame:
     return past.groupBy("keyword").applyInPandas(fit, MODEL)
 
 
+def _terms(hour: Column, scale: Column) -> list[Column]:
+    """The regressors of `_design` as expressions."""
+    terms = [F.lit(1.0), hour / scale]
+    for period, k in _angles():
+        angle = hour * (2 * math.pi * k / period)
+        terms += [F.sin(angle), F.cos(angle)]
+    return terms
+
+
+def _fitted(terms: list[Column]) -> Column:
+    return sum((F.get("coef", F.lit(i)) * t for i, t in enumerate(terms)), F.lit(0.0))
+
+
+def check_seasonal(models: DataFrame, past: DataFrame, tolerance: float = 1e-6) -> DataFrame:
+    """Whether the rows of a model table, fitted now or long ago, are the fits of these series.
+
+    Coefficients solve the ridge problem where its gradient vanishes; they and the deviation are held
+    against sums over the points, relative to the sum of the values.
+    """
+    hour = (F.unix_seconds("ts") - F.unix_seconds("last_ts")) / 3600.0
+    met = past.select("keyword", "ts", "y").join(models, "keyword").withColumn("hour", hour)
+    terms = _terms(F.col("hour"), F.col("scale_hours"))
+    rest = met.withColumns({"term": F.array(*terms), "rest": F.col("y") - _fitted(terms)})
+    penalty = [1e-6] + [RIDGE] * (len(terms) - 1)
+    slopes = [
+        F.abs(F.sum(F.get("term", F.lit(i)) * F.col("rest")) - F.any_value(F.get("coef", F.lit(i))) * ridge)
+        for i, ridge in enumerate(penalty)
+    ]
+    size = F.lit(tolerance) * (F.sum(F.abs("y")) + 1)
+    spread = F.abs(F.stddev_pop("rest") - F.any_value("sigma"))
+    return rest.groupBy("keyword", "trend_class", "last_ts", "scale_hours").agg(
+        F.count("*").alias("points"),
+        (F.greatest(*slopes) <= size).alias("solved"),
+        (spread <= size).alias("spread_agrees"),
+    )
+
+
 def predict_seasonal(models: DataFrame, hours: int = S.FORECAST_HOURS) -> DataFrame:
     """Forecast rows of a model table, fitted now or read back."""
     step = F.col("step").cast("double")
-    terms = [F.lit(1.0), step / F.col("scale_hours")]
-    for period, k in _angles():
-        angle = step * (2 * math.pi * k / period)
-        terms += [F.sin(angle), F.cos(angle)]
-    yhat = sum((F.get("coef", F.lit(i)) * t for i, t in enumerate(terms)), F.lit(0.0))
+    yhat = _fitted(_terms(step, F.col("scale_hours")))
     band = F.col("sigma") * BAND_Z
     return models.select("*", _steps(hours)).withColumn("yhat", yhat).select(
         "keyword",

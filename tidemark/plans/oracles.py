@@ -497,6 +497,12 @@ ORACLES: dict[str, str] = {
     # forecasts
     "forecast_candidates": _with("cand", "SELECT * FROM cand"),
     "forecast_linear": _with("pred20", f"SELECT {_PRED_COLUMNS} FROM pred20"),
+    "forecast_model_check": _with("feat", """
+        SELECT keyword, max_by(trend_label, "timestamp") AS trend_class, max("timestamp") AS last_ts,
+               greatest(date_diff('second', min("timestamp"), max("timestamp")) / 3600.0, 1.0) AS scale_hours,
+               count(*) AS points, true AS solved, true AS spread_agrees
+        FROM feat WHERE keyword IN (SELECT keyword FROM feat GROUP BY keyword ORDER BY sum(freq_1h) DESC, keyword LIMIT 20)
+        GROUP BY keyword"""),
     "forecast_all": _with("pred", f"SELECT {_PRED_COLUMNS} FROM pred"),
     # trend board
     "board_lookback": _with("board", f"""SELECT {_BOARD_COLUMNS} FROM board

@@ -660,6 +660,15 @@ def forecast_model_table(spark, sf):
     return files.read_parquet(spark, path)
 
 
+@query
+def forecast_model_check(spark, sf):
+    """Stored seasonal coefficients, read back and held against the series they were fitted on."""
+    path = scratch_path(spark, "checked-models")
+    past = materialize(forecast.history(feature_table(spark, sf)), "series")
+    files.write_parquet(forecast.fit_seasonal(past), path, "overwrite")
+    return forecast.check_seasonal(files.read_parquet(spark, path), past)
+
+
 # --- trend board ---------------------------------------------------------------------------
 
 

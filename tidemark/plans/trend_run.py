@@ -61,6 +61,13 @@ class TrendRun:
 
     def build(self, frequency: DataFrame, trends: DataFrame, dt: str) -> DataFrame:
         table = features.build_features(frequency, trends)
+        return self._write_features(table, dt)
+
+    def build_from_posts(self, processed: DataFrame, dt: str) -> DataFrame:
+        """The same table out of one pass over the tokens, without a join of the stored tables."""
+        return self._write_features(features.features_of_events(keywords.token_events(processed)), dt)
+
+    def _write_features(self, table: DataFrame, dt: str) -> DataFrame:
         files.write_snapshot(table, self.path("features"), dt)
         return self.snapshot("features", dt).select(*schemas.names(schemas.FEATURE))
 
@@ -69,13 +76,14 @@ class TrendRun:
     ) -> tuple[DataFrame, DataFrame]:
         """Top keywords with their TF-IDF, and the entities of every post: of the dictionary
         (entity, label), or none without one."""
-        top = quality.check(keywords.keyword_table(processed), schemas.struct(schemas.KEYWORD_TABLE), "keywords")
+        top = self._write(keywords.keyword_table(processed), "keywords")
+        quality.check(top, schemas.struct(schemas.KEYWORD_TABLE), "keywords")
         if dictionary is None:
             none = F.array().cast(schemas.ENTITIES).alias("entities")
             tagged = processed.select("id", "source", "timestamp", none)
         else:
             tagged = keywords.tag_entities(processed, dictionary, longest)
-        return self._write(top, "keywords"), self._write(tagged, "entities")
+        return top, self._write(tagged, "entities")
 
     def find_anomalies(self, feature_table: DataFrame, dt: str, method: str = "isolation_forest", **params) -> DataFrame:
         files.write_snapshot(anomaly.enrich(feature_table, method, **params), self.path("anomalies"), dt)
@@ -101,7 +109,7 @@ class TrendRun:
             "processed": processed,
             "frequency": frequency,
             "trends": trends,
-            "features": self.build(frequency, trends, dt),
+            "features": self.build_from_posts(processed, dt),
         }
 
 
@@ -113,6 +121,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--raw", nargs="+", default=[], help="raw JSON Lines folders to process first")
     parser.add_argument("--forecast", action="store_true", help="write the day's predictions")
     parser.add_argument("--seasonal", action="store_true", help="forecast with the seasonal model")
+    parser.add_argument("--keywords", action="store_true", help="write the top keywords and the entities of the posts")
+    parser.add_argument("--dictionary", help="Parquet folder of (entity, label) for --keywords")
+    parser.add_argument("--longest", type=int, default=3, help="words of the longest entity looked for")
     parser.add_argument("--anomalies", choices=anomaly.METHODS, help="write the day's anomalies")
     args = parser.parse_args(argv)
 
@@ -120,6 +131,9 @@ def main(argv: Sequence[str] | None = None) -> None:
     job = TrendRun(spark, args.root)
     if args.raw:
         job.run(files.load_raw_posts(spark, args.raw), args.dt)
+    if args.keywords:
+        dictionary = files.read_parquet(spark, args.dictionary) if args.dictionary else None
+        job.extract_keywords(job.read("processed"), dictionary, args.longest)
     if args.anomalies:
         job.find_anomalies(job.snapshot("features", args.dt), args.dt, args.anomalies)
     if args.forecast or args.seasonal:
