@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from tidemark.operators import features, frequency, keywords, normalize, signals
 from tidemark.plans import trend_run
 from tidemark.plans.queries import CATALOGUE
 from tidemark.plans.trend_run import TrendRun
-from tidemark.session import CHECKPOINT_KEY, materialize, scratch_root
+from tidemark.session import CHECKPOINT_KEY, materialize, scratch, scratch_root
 from tidemark.sources import bindings as B
 from tidemark.sources import files
 from tidemark.streaming import counts as streams
@@ -52,6 +54,21 @@ def test_scratch_follows_the_session(spark):
     assert "Range" not in plan(stored)
 
 
+def test_scratch_tables_are_removed(spark):
+    root = Path(scratch_root(spark))
+    before = set(root.iterdir())
+    with scratch():
+        assert materialize(spark.range(3), "kept").count() == 3
+        assert set(root.iterdir()) > before
+    assert set(root.iterdir()) == before
+    with pytest.raises(ZeroDivisionError), scratch():
+        materialize(spark.range(3), "lost")
+        1 / 0
+    assert set(root.iterdir()) == before
+    outside = Path(materialize(spark.range(3), "outside").inputFiles()[0].removeprefix("file://")).parent
+    assert outside.parent == root and outside.exists()
+
+
 @pytest.fixture(scope="module")
 def raw(spark, sf, tmp_path_factory):
     root = tmp_path_factory.mktemp("raw")
@@ -147,3 +164,26 @@ def test_hot_keyword_leaves_small_series(spark):
     rolled = frequency.all_windows(events, ["1h", "24h"])
     assert rolled.filter("keyword = 'hot'").count() == 25
     assert rolled.filter("keyword = 'hot' and window = '24h'").first()["frequency"] == 180_000
+
+
+def test_compacted_stream_counts(spark, tmp_path):
+    """Compaction keeps the newest counts; later batches go on top of it, earlier ones are not opened."""
+    out, small, smaller = (str(tmp_path / n) for n in ("out", "small", "smaller"))
+    ddl = "keyword string, window_start timestamp, window_end timestamp, frequency long, window string"
+
+    def batch(number, **counts):
+        rows = [(k, hour(0), hour(1), n, "1h") for k, n in counts.items()]
+        spark.createDataFrame(rows, ddl).write.parquet(f"{out}/batch={number}")
+
+    def counts(*args):
+        return {r["keyword"]: r["frequency"] for r in streams.current_counts(spark, *args).collect()}
+
+    batch(0, a=1, b=5)
+    batch(2, a=3)
+    assert streams.compact(spark, out, small) == 2
+    assert counts(small) == counts(out, small) == {"a": 3, "b": 5}
+    batch(10, b=6, c=1)
+    assert counts(out, small) == counts(out) == {"a": 3, "b": 6, "c": 1}
+    assert plan(streams.current_counts(spark, out, small)).count("PartitionFilters: [isnotnull(batch") == 1
+    assert streams.compact(spark, out, smaller, small) == 10
+    assert counts(smaller) == {"a": 3, "b": 6, "c": 1}

@@ -674,7 +674,8 @@ def forecast_model_check(spark, sf):
 
 @query
 def board_lookback(spark, sf):
-    return rounded(board.lookback(trend_board(spark, sf), 48), 6, "z_score")
+    stored = materialize(trend_board(spark, sf), "board")  # read for its newest time, then for its rows
+    return rounded(board.lookback(stored, 48), 6, "z_score")
 
 
 @query
@@ -700,7 +701,8 @@ def board_filter(spark, sf):
 
 @query
 def board_surprise(spark, sf):
-    return rounded(board.surprise(trend_board(spark, sf), 7), 6, "z_score")
+    stored = materialize(trend_board(spark, sf), "board")  # read for its draw, then for its rows
+    return rounded(board.surprise(stored, 7), 6, "z_score")
 
 
 WATCHLIST = ("ing", "ble", "tion", "ther", "rewh", "orre")
@@ -839,13 +841,12 @@ def board_limits(spark, sf):
 
 @query
 def dataset_status(spark, sf):
-    events = B.mentions(spark, sf)
+    """The stored datasets of a run: each is written once, the later ones out of the earlier."""
+    processed = materialize(B.processed(spark, sf), "processed")
+    counted = materialize(frequency.keyword_frequency(keywords.token_events(processed)), "frequency")
+    table = materialize(features.build_features(counted, signals.detect_trends(counted)), "features")
     return board.dataset_status(
-        {
-            "processed": (B.processed(spark, sf), "timestamp"),
-            "frequency": (frequency.keyword_frequency(events), "window_start"),
-            "features": (feature_table(spark, sf), "timestamp"),
-        }
+        {"processed": (processed, "timestamp"), "frequency": (counted, "window_start"), "features": (table, "timestamp")}
     )
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark import settings as S
 from tidemark.operators import anomaly, features, forecast, frequency, keywords, normalize, quality, signals
+from tidemark.session import scratch
 from tidemark.sources import files
 
 # One folder per dataset, side by side: none is nested in another's layout.
@@ -86,7 +87,8 @@ class TrendRun:
         return top, self._write(tagged, "entities")
 
     def find_anomalies(self, feature_table: DataFrame, dt: str, method: str = "isolation_forest", **params) -> DataFrame:
-        files.write_snapshot(anomaly.enrich(feature_table, method, **params), self.path("anomalies"), dt)
+        with scratch():
+            files.write_snapshot(anomaly.enrich(feature_table, method, **params), self.path("anomalies"), dt)
         return self.snapshot("anomalies", dt)
 
     def forecast(self, feature_table: DataFrame, dt: str, seasonal: bool = False, n: int | None = S.TOP_FORECAST_KEYWORDS) -> DataFrame:

@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import logging
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
+from pyarrow.fs import FileSystem, FileType
 from pyspark.sql import DataFrame, SparkSession
 
+log = logging.getLogger(__name__)
+
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 _LOCAL_ROOTS: dict[str, str] = {}
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -30,14 +38,46 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the scratch root that no earlier write has used."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    if (written := _written.get()) is not None:
+        written.append(path)
+    return path
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Scratch tables that are made inside are removed at the end, after an error too.
+
+    Frames that read them must have been written or collected by then. A folder on a file system that pyarrow
+    doesn't reach is left in place, with a warning.
+    """
+    paths: list[str] = []
+    token = _written.set(paths)
+    try:
+        yield
+    finally:
+        _written.reset(token)
+        for path in paths:
+            _remove(path)
+
+
+def _remove(path: str) -> None:
+    try:
+        system, inside = FileSystem.from_uri(path)
+        if system.get_file_info(inside).type is FileType.Directory:
+            system.delete_dir(inside)
+            return
+    except (OSError, ValueError, NotImplementedError) as error:
+        log.warning("scratch folder %s stays: %s", path, error)
+        return
+    log.warning("scratch folder %s is not to be found from the driver and may stay", path)
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write a stage once as Parquet and continue from the written table.
 
     Used where a result is read several times (quantile passes, scoring): the table outlives
-    lost executors and later passes read only the columns they need.
+    lost executors and later passes read only the columns they need. `scratch` removes it.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)

@@ -53,8 +53,34 @@ def run_available(counts: DataFrame, path: str, checkpoint: str) -> None:
     run.awaitTermination()
 
 
-def current_counts(spark: SparkSession, path: str) -> DataFrame:
-    """The newest count of every window and keyword."""
-    rows = spark.read.parquet(path)
+def current_counts(spark: SparkSession, path: str, compacted: str | None = None) -> DataFrame:
+    """The newest count of every window and keyword, (keyword, window_start, window_end, window, frequency).
+
+    With a compacted table only the batches after it are opened.
+    """
+    return _newest(spark.read.parquet(path), compacted)
+
+
+def compact(spark: SparkSession, path: str, target: str, compacted: str | None = None) -> int:
+    """Write the current counts to `target`, a new folder, under the number of their last batch; returns it.
+
+    Batches up to that number, and the table compacted before, are no longer needed by readers of `target`.
+    Stream and compaction may run side by side: a batch that arrives meanwhile has a higher number.
+    """
+    last = _last_batch(spark.read.parquet(path))
+    # The listing of a new read may hold later batches, which must stay with the stream
+    rows = spark.read.parquet(path).filter(F.col("batch") <= last)
+    _newest(rows, compacted).write.mode("overwrite").parquet(f"{target}/batch={last}")
+    return last
+
+
+def _newest(rows: DataFrame, compacted: str | None) -> DataFrame:
+    if compacted is not None:
+        base = rows.sparkSession.read.parquet(compacted)
+        rows = rows.filter(F.col("batch") > _last_batch(base)).unionByName(base)
     keys = ["keyword", "window_start", "window_end", "window"]
     return rows.groupBy(*keys).agg(F.max_by("frequency", "batch").alias("frequency"))
+
+
+def _last_batch(rows: DataFrame) -> int:
+    return rows.agg(F.max("batch")).first()[0]
