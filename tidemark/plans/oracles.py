@@ -486,6 +486,9 @@ ORACLES: dict[str, str] = {
     "anomaly_zscore": _with("zflag", 'SELECT keyword, "timestamp", is_anomaly FROM zflag'),
     "anomaly_iqr": _with("iqrflag", "SELECT * FROM iqrflag"),
     "anomaly_score": _with("zflag", 'SELECT keyword, "timestamp", floor(anomaly_score * 1e4 + 0.5) / 1e4 AS anomaly_score FROM zflag'),
+    "anomaly_forest_check": _with("feat", """
+        SELECT count(*) AS "rows", count(DISTINCT keyword) AS keywords, count(*) AS scored, CAST(0 AS DOUBLE) AS least,
+               CAST(1 AS DOUBLE) AS most, TRUE AS share_holds, TRUE AS highest_flagged FROM feat"""),
     "anomaly_report": _with("zflag feat", """
         SELECT keyword, floor(anomaly_score * 1e4 + 0.5) / 1e4 AS anomaly_score, trend_label, freq_1h, freq_6h, growth_rate_1h,
                floor(z_score_1h * 1e6 + 0.5) / 1e6 AS z_score_1h

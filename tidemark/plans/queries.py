@@ -616,6 +616,23 @@ def anomaly_isolation_forest(spark, sf):
     return _flags(spark, sf, "isolation_forest")
 
 
+@query
+def anomaly_forest_check(spark, sf):
+    """What any isolation forest must keep, over all rows: each scored once, scores from 0 to 1, no more flags
+    than the contamination allows, and those on the highest scores."""
+    found = materialize(_flags(spark, sf, "isolation_forest"), "forest-flags")
+    flagged, score = F.col("is_anomaly"), F.col("anomaly_score")
+    return found.agg(
+        F.count("*").alias("rows"),
+        F.count_distinct("keyword").alias("keywords"),
+        F.count(score).alias("scored"),
+        F.min(score).alias("least"),
+        F.max(score).alias("most"),
+        F.count_if(flagged).between(1, F.ceil(0.05 * F.count("*"))).alias("share_holds"),
+        (F.min(F.when(flagged, score)) >= F.max(F.when(~flagged, score))).alias("highest_flagged"),
+    )
+
+
 @query
 def anomaly_report(spark, sf):
     shown = anomaly.report(anomaly.enrich(feature_table(spark, sf), "zscore"))
