@@ -43,6 +43,7 @@ SKETCH = 8
 #: Standard deviations of the sampled angle that a pair may lie beyond the threshold.
 ALLOWANCE = 1.0
 
+
 def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
     """XXH64 of each run of `size` words joined by spaces; fewer words are one run."""
     if not words:
@@ -128,7 +129,7 @@ def links(prints: DataFrame, bits: int = MAX_BITS, segments: int = SEGMENTS, wid
 
 
 def similar(docs: DataFrame, size: int = SHINGLE, bits: int = MAX_BITS) -> DataFrame:
-    """(doc_id, fp, component_id, links): every document with the smallest doc_id that links reach from it.
+    """(doc_id, fp, component_id): every document with the smallest doc_id that links reach from it.
 
     Texts without words, null ones too, have fingerprint 0 and are linked like any other. Documents with a
     null doc_id keep their row and name no component, unless all of its ids are null. Repeated rows are one
