@@ -206,6 +206,59 @@ def test_near_copies_leave_one(spark, odd, none):
     assert simhash.similar(odd).count() == odd.count() and simhash.similar(none).count() == 0
 
 
+def brute_groups(rows, size=5, similarity=0.8):
+    """The smallest doc_id of each connected class of texts with that Jaccard similarity of shingle sets."""
+    sets = [set(simhash.shingle_hashes(t.lower().encode().split(), size).tolist()) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    for a in range(len(rows)):
+        for b in range(a):
+            if find(a) != find(b) and len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]) > 0:
+                root[find(a)] = find(b)
+    first = {}
+    for k, (d, _) in enumerate(rows):
+        first[find(k)] = min(d, first.get(find(k), d))
+    return sorted(first.values())
+
+
+def kept_near(spark, rows):
+    return sorted(r.doc_id for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+
+
+def test_edited_copies_of_one_text_are_one_group(spark):
+    rng = np.random.default_rng(11)
+    base = [f"b{k}" for k in range(200)]
+    rows = [(5000, " ".join(base))]
+    for k in range(1000):
+        edited = list(base)
+        for at in (np.arange(4) * 47 + 10 + rng.integers(0, 30, 4)).tolist():
+            edited[at] = f"e{k}x{at}"
+        rows.append((k, " ".join(edited)))
+    assert kept_near(spark, rows) == [0]
+
+
+def test_shared_passages_hide_no_copy(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "CROWDED", 4)  # both ways are taken
+    monkeypatch.setattr(simhash, "BLOCK", 20)
+    rng = np.random.default_rng(12)
+    own = lambda n: [f"v{k}" for k in rng.integers(0, 10**6, n)]
+    passages = [own(60) for _ in range(3)]
+    rows = []
+    for k in range(120):
+        text = passages[k % 3] + own(rng.integers(8, 40))
+        rows.append((2 * k, " ".join(text)))
+        text[int(rng.integers(0, len(text)))] = "changed"
+        if k % 4:
+            text[int(rng.integers(0, len(text)))] = "again"
+        rows.append((2 * k + 1, " ".join(text)))
+    assert kept_near(spark, rows) == brute_groups(rows)
+
+
 # 4
 
 

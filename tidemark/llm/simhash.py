@@ -12,8 +12,9 @@ neighbour at most one bit from each, so its members are linked by the neighbours
 65 rows a fingerprint however many there are. Both ways together find every link.
 
 For documents with a similar wording (`near_duplicates`) the distance grows past what any run of equal
-bits could index, so candidates come from the rarest-hashed shingles that two texts share; chains and
-the Hamming distance of 512-bit fingerprints then decide.
+bits could index, so candidates come from a prefix filter: of two texts with that share of shingles in
+common, the rarest shingles of each hold a common one. Sizes and parity bits drop pairs that can't be
+similar, and the Jaccard similarity of the two shingle sets decides.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,10 +40,14 @@ HASH_SEED = 42
 
 NEAR_SHINGLE = 5
 SIMILARITY = 0.8
-NEAR_LANES = 8
-SKETCH = 8
-#: Standard deviations of the sampled angle that a pair may lie beyond the threshold.
-ALLOWANCE = 1.0
+#: Longs of parity bits.
+PARITIES = 8
+#: One in so many distinct texts is counted for the order of shingles, and so many shingles at most have a count.
+SAMPLED = 32
+COMMON = 1 << 18
+#: Texts of a key whose pairs are listed; those of a larger key are compared in blocks of about BLOCK.
+CROWDED = 48
+BLOCK = 2048
 
 
 def shingle_hashes(words: list[bytes], size: int) -> np.ndarray:
@@ -150,85 +156,176 @@ def similar(docs: DataFrame, size: int = SHINGLE, bits: int = MAX_BITS) -> DataF
 # Near duplicates at a similarity of wording
 
 
-def _mixed(hashes: np.ndarray, lane: int) -> np.ndarray:
-    """Another 64 bits out of each hash (a multiply-xorshift mix, one constant per lane)."""
-    if lane == 0:
-        return hashes
-    x = hashes + np.uint64((0x9E3779B97F4A7C15 * lane) & (1 << 64) - 1)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+def shingle_set(text: bytes, size: int) -> np.ndarray:
+    """The distinct shingle hashes of a text, ascending."""
+    return np.unique(shingle_hashes(lower_words(text), size))
 
 
-def sketch(text: Column, size: int, lanes: int = NEAR_LANES, keys: int = SKETCH) -> Column:
-    """struct<lanes, keys>: a fingerprint of 64 * lanes bits, and the smallest distinct shingle hashes."""
+def prefix(shingles: int, similarity: float) -> int:
+    """Of two sets that similar, the first so many shingles in any common order share one."""
+    return shingles - math.ceil(shingles * similarity - 1e-9) + 1 if shingles else 0
 
-    def run(column: pa.Array) -> pa.Array:
-        prints, smallest = [], []
-        for text in texts(column):
-            hashes = shingle_hashes(lower_words(text), size)
-            prints.append([signed(x) for x in majority(np.column_stack([_mixed(hashes, lane) for lane in range(lanes)]))])
-            smallest.append(np.unique(hashes)[:keys].astype(np.int64).tolist())
-        return pa.StructArray.from_arrays(
-            [pa.array(prints, pa.list_(pa.int64())), pa.array(smallest, pa.list_(pa.int64()))], names=["lanes", "keys"]
-        )
 
-    return F.arrow_udf(run, "struct<lanes:array<bigint>,keys:array<bigint>>")(text.cast("string"))
+def parities(hashes: np.ndarray) -> np.ndarray:
+    """64 * PARITIES bits, each the parity of the hashes that fall on it: two sets differ in as many hashes at least."""
+    odd = np.bincount((hashes % np.uint64(64 * PARITIES)).astype(np.int64), minlength=64 * PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def allowed_bits(similarity: float, total: int) -> int:
-    """Differing bits of `total` up to which a pair counts as that similar (Jaccard similarity of shingles).
+def sketch(text: Column, size: int, similarity: float, common: Broadcast) -> Column:
+    """struct<n, cold, bits, keys>: the number of distinct shingles, parities, and the prefix in the order of `common`.
 
-    Texts with equal shingle counts and similarity s have a cosine of 2s / (1 + s); each bit differs with
-    probability angle / pi. The allowance covers the spread of the sample of bits.
+    `common` holds hashes, ascending, and their counts in a sample; others count 0. The rarer come first, ties by
+    hash. `cold` is how many of the prefix are not in `common`.
     """
-    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return int(total * p + ALLOWANCE * math.sqrt(total * p * (1 - p)))
 
+    def run(column: pa.Array) -> pa.Array:
+        hot, counts = common.value
+        out = []
+        for text in texts(column):
+            hashes = shingle_set(text, size)
+            ranks = np.zeros(len(hashes), np.int64)
+            if len(hot):
+                at = np.minimum(np.searchsorted(hot, hashes), len(hot) - 1)
+                ranks = np.where(hot[at] == hashes, counts[at], 0)
+            first = np.argsort(ranks, kind="stable")[: prefix(len(hashes), similarity)]
+            out.append((len(hashes), int((ranks[first] == 0).sum()), parities(hashes), hashes[first].view(np.int64)))
+        n, cold, bits, keys = zip(*out, strict=True) if out else ((), (), (), ())
+        lists = [pa.array(x, pa.list_(pa.int64())) for x in (bits, keys)]
+        return pa.StructArray.from_arrays([pa.array(n, pa.int32()), pa.array(cold, pa.int32()), *lists], names=["n", "cold", "bits", "keys"])
 
-def near_duplicates(docs: DataFrame, size: int = NEAR_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """(text_hash, text_size, group): the class of each distinct text among texts of similar wording.
+    return F.arrow_udf(run, "struct<n:int,cold:int,bits:array<bigint>,keys:array<bigint>>")(text.cast("string"))
 
-    Equal texts are one row from the start. Two texts are candidates if they share one of their smallest
-    shingle hashes and one of them stands first in its key by one of four orders, so a key of any size yields
-    four candidates for each member and never its pairs. Texts without words are only equal to each other.
-    """
-    rows = docs.select(*text_key("text"), F.col("text").cast("string").alias("text"))
-    prints = rows.select("text_hash", "text_size", sketch(F.col("text"), size).alias("s"))
-    prints = prints.select("text_hash", "text_size", F.col("s.lanes").alias("lanes"), F.col("s.keys").alias("keys"))
-    prints = materialize(prints, "near-prints")
-    # Equal texts have equal sketches: the smallest struct of a text is any of its rows
-    node = F.struct("text_hash", "text_size").alias("node")
-    nodes = prints.groupBy("text_hash", "text_size").agg(F.first("lanes").alias("lanes"), F.first("keys").alias("keys"))
-    nodes = materialize(nodes.select(node, "lanes", F.explode("keys").alias("key")), "near-keys")
-    order = lambda seed: F.min(F.struct(F.xxhash64(F.lit(seed), "node").alias("o"), "node", "lanes"))
-    leaders = nodes.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *[order(k).alias(f"l{k}") for k in range(4)])
-    leaders = leaders.filter("n > 1").select("key", F.array_distinct(F.array(*[f"l{k}" for k in range(4)])).alias("leaders"))
-    met = nodes.join(leaders, "key").select("node", "lanes", F.explode("leaders").alias("l"))
-    met = met.select(F.col("node").alias("a"), "lanes", F.col("l.node").alias("b"), F.col("l.lanes").alias("lanes_b"))
-    pairs = met.filter("a != b").filter(within(F.col("lanes"), F.col("lanes_b"), similarity))
-    classes = components(pairs.select("a", "b").distinct(), "near")
-    return classes.select("node.text_hash", "node.text_size", F.col("component").alias("group"))
 
+def common_shingles(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that several of a sample of the distinct texts hold, ascending, and in how many.
 
-def within(a: Column, b: Column, similarity: float, lanes: int = NEAR_LANES) -> Column:
-    """Fingerprints of several lanes lie within the similarity.
+    They only order the shingles: any order finds all pairs, and this one keeps what many texts share out of the
+    prefixes. Hence a sample does, and no more than COMMON of them.
+    """
 
-    Lanes are the ring's segments; if the whole stays within the distance t, some chain from one of them
-    on stays within its share for every length. Pairs without such a chain go before the full check.
+    def run(column: pa.Array) -> pa.Array:
+        return pa.array([shingle_set(t, size).view(np.int64) for t in texts(column)], pa.list_(pa.int64()))
+
+    sample = rows.filter(F.pmod(F.xxhash64(F.lit(1), "text_hash"), F.lit(SAMPLED)) == 0)
+    held = F.arrow_udf(run, "array<bigint>")(F.col("text"))
+    held = sample.select("text_hash", "text_size", F.explode(held).alias("key")).distinct()
+    counted = held.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    found = counted.orderBy(F.desc("n"), "key").limit(COMMON).collect()
+    hashes = np.array([r["key"] for r in found], np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    return hashes[order], np.array([r["n"] for r in found], np.int64)[order]
+
+
+def alike(n_a: Column, n_b: Column, similarity: float) -> Column:
+    """Sets of these sizes can be that similar."""
+    return F.least(n_a, n_b) >= F.greatest(n_a, n_b) * similarity - 1e-9
+
+
+def verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, size: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose shingle sets have that Jaccard similarity; the parities only drop what can't."""
+    side = lambda name: nodes.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("bits").alias(f"bits_{name}"))
+    near = pairs.join(side("a"), "a").join(side("b"), "b")
+    apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    most = (F.col("n_a") + F.col("n_b")) * (1 - similarity) / (1 + similarity) + 1e-9
+    near = materialize(near.filter(alike(F.col("n_a"), F.col("n_b"), similarity) & (apart <= most)).select("a", "b"), "near-pairs")
+    needed = near.select("a").union(near.select("b")).distinct().select("a.*")
+    whole = rows.join(needed, ["text_hash", "text_size"], "left_semi").dropDuplicates(["text_hash", "text_size"])
+    whole = materialize(whole.select(F.struct("text_hash", "text_size").alias("node"), "text"), "near-texts")
+
+    def run(left: pa.Array, right: pa.Array) -> pa.Array:
+        known: dict[bytes, np.ndarray] = {}  # a leader's text comes again and again
+        out = []
+        for a, b in zip(texts(left), texts(right), strict=True):
+            if len(known) > 512:
+                known.clear()
+            sets = [known[t] if t in known else known.setdefault(t, shingle_set(t, size)) for t in (a, b)]
+            shared = len(sets[0]) + len(sets[1]) - len(np.union1d(*sets))
+            out.append(shared >= similarity * (len(sets[0]) + len(sets[1]) - shared) - 1e-9)
+        return pa.array(out, pa.bool_())
+
+    texts_of = lambda name: whole.select(F.col("node").alias(name), F.col("text").alias(f"text_{name}"))
+    both = near.join(texts_of("a"), "a").join(texts_of("b"), "b")
+    return both.filter(F.arrow_udf(run, "boolean")(F.col("text_a"), F.col("text_b"))).select("a", "b")
+
+
+def close_in_blocks(table: pa.Table, similarity: float) -> pa.Table:
+    """The pairs (a, b) of one block with another, or of a block with itself, that sizes and parities leave open."""
+    n = table["n"].to_numpy()
+    bits = np.array(table["bits"].combine_chunks().flatten().to_numpy()).reshape(len(n), -1)
+    _, component = np.unique(table["label"].combine_chunks().to_numpy(zero_copy_only=False), return_inverse=True)
+    block = table["block"].to_numpy()
+    left = np.flatnonzero(block == block.min())
+    right = np.flatnonzero(block == block.max())
+    found = []
+    for at in left.tolist():
+        others = right[right > at] if block.min() == block.max() else right
+        sizes = n[others]
+        others = others[(component[others] != component[at]) & (np.minimum(sizes, n[at]) >= np.maximum(sizes, n[at]) * similarity - 1e-9)]
+        apart = np.bitwise_count(bits[others] ^ bits[at]).sum(1, dtype=np.int64)
+        others = others[apart <= (n[others] + n[at]) * (1 - similarity) / (1 + similarity) + 1e-9]
+        found += [(at, k) for k in others.tolist()]
+    nodes = table["node"].combine_chunks()
+    pairs = np.array(found, np.int64).reshape(-1, 2)
+    return pa.table({"a": nodes.take(pa.array(pairs[:, 0])), "b": nodes.take(pa.array(pairs[:, 1]))})
+
+
+def across(met: DataFrame, found: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): pairs that meet in a key and lie in different classes of `found` (node, component).
+
+    A key that one class fills has no such pairs. Keys of up to CROWDED texts list them; the texts of a larger key
+    are dealt out in blocks, and each two blocks are compared by a task of their own that lists what may be similar.
     """
-    total = allowed_bits(similarity, 64 * lanes)
-    starts = F.array(*[F.lit(k) for k in range(1, lanes + 1)])
-    lengths = F.array(*[F.lit(k) for k in range(1, lanes)])
-    apart = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    labelled = met.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labelled = materialize(labelled, "near-labelled")
+    open_ = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("m"))
+    open_ = materialize(open_.filter("low != high and m > 2").select("key", "m"), "near-open")
+    rows = labelled.join(open_, "key")
+    few = rows.filter(F.col("m") <= CROWDED)
+    a = few.select("key", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
+    b = few.select("key", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
+    pairs = a.join(b, ["key"]).filter((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & alike(F.col("n_a"), F.col("n_b"), similarity))
+    pairs = pairs.select("a", "b")
+
+    number = F.ceil(F.col("m") / BLOCK).cast("int")
+    many = rows.filter(F.col("m") > CROWDED).join(nodes.select("node", "bits"), "node")
+    many = many.withColumn("block", F.pmod(F.xxhash64("key", "node"), number).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), number - 1)))
+    many = many.select(
+        "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "n", "bits",
+        F.xxhash64("component").alias("label"),
+    )
+    node = "struct<text_hash:bigint,text_size:int>"
+    blocks = many.groupBy("key", "i", "j").applyInArrow(lambda t: close_in_blocks(t, similarity), f"a {node}, b {node}")
+    ordered = blocks.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return pairs.union(ordered).distinct()
 
-    def differing(ring: Column, start: Column | int, length: Column | int) -> Column:
-        return F.aggregate(F.slice(F.concat(ring, ring), start, length), F.lit(0), lambda sum_, x: sum_ + x)
 
-    def chained(ring: Column) -> Column:
-        return F.exists(starts, lambda s: F.forall(lengths, lambda n: differing(ring, s, n) * lanes <= n * total))
+def near_duplicates(docs: DataFrame, size: int = NEAR_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """(text_hash, text_size, group): the class of each distinct text among texts of similar wording.
 
-    return F.exists(F.array(apart), lambda ring: chained(ring) & (differing(ring, 1, lanes) <= total))
+    Classes are the connected components of all pairs of texts whose sets of shingles reach the similarity.
+    Equal texts are one row from the start. Two such sets share a shingle of their prefixes, so texts that share
+    none are never compared. In each key the text with the fewest rare shingles is compared with the others first;
+    what then lies in different classes of a key is compared pair by pair. Texts without words are only equal to
+    each other.
+    """
+    rows = docs.select(*text_key("text"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(rows, size))
+    prints = rows.select("text_hash", "text_size", sketch(F.col("text"), size, similarity, common).alias("s"))
+    # Equal texts have equal sketches: any row of a text will do
+    nodes = prints.groupBy("text_hash", "text_size").agg(F.first("s").alias("s"))
+    nodes = materialize(nodes.select(F.struct("text_hash", "text_size").alias("node"), "s.*"), "near-nodes")
+    keyed = nodes.select("node", "n", "cold", F.explode("keys").alias("key"))
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("key")
+    met = materialize(keyed.join(shared, "key"), "near-met")
+    leaders = met.groupBy("key").agg(F.min(F.struct("cold", F.xxhash64("node").alias("o"), "node", "n")).alias("l"))
+    star = met.join(leaders, "key").filter((F.col("node") != F.col("l.node")) & alike(F.col("n"), F.col("l.n"), similarity))
+    star = star.select(F.col("l.node").alias("a"), F.col("node").alias("b")).distinct()
+    links = materialize(verified(star, nodes, rows, size, similarity), "near-star")
+    rest = across(met, components(links, "near"), nodes, similarity)
+    links = links.union(materialize(verified(rest, nodes, rows, size, similarity), "near-across"))
+    classes = components(links, "near")
+    return classes.select("node.text_hash", "node.text_size", F.col("component").alias("group"))
 
 
 def text_key(text: str) -> tuple[Column, Column]:
