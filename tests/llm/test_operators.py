@@ -242,6 +242,18 @@ def test_edited_copies_of_one_text_are_one_group(spark):
     assert kept_near(spark, rows) == [0]
 
 
+def test_repeated_lines_count_once(spark):
+    rng = np.random.default_rng(13)
+    own = lambda n: [f"r{k}" for k in rng.integers(0, 10**6, n)]
+    line = own(12)
+    text, other = own(100), own(100)
+    rows = [(1, " ".join(text + line)), (2, " ".join(text + line * 20)), (3, " ".join(own(100) + line * 20)), (4, " ".join(other + line * 20))]
+    fifth = own(100)
+    rows += [(5, " ".join(fifth)), (6, " ".join(fifth[:90])), (7, " ".join(own(4) + fifth[:86]))]  # 86 of 96; then 82 of 100
+    rows += [(8, " ".join(fifth[:40] + ["x"] + fifth[41:75])), (9, " ".join(own(60) + text[:50]))]
+    assert kept_near(spark, rows) == brute_groups(rows) and set(brute_groups(rows)) >= {1, 3, 4, 5}
+
+
 def test_shared_passages_hide_no_copy(spark, monkeypatch):
     monkeypatch.setattr(simhash, "CROWDED", 4)  # both ways are taken
     monkeypatch.setattr(simhash, "BLOCK", 20)
