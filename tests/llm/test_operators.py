@@ -486,6 +486,34 @@ def test_leaks_copied_and_edited(spark, odd, none):
     assert decontam.leaks(odd, bench.filter("false")).count() == 0 and decontam.clean(odd, bench).count() == odd.count()
 
 
+def test_leaks_equal_full_alignment(spark):
+    """Every fourth to sixth word changed, two of three intact, words put in between, random edits: as without seeds."""
+    rng = np.random.default_rng(14)
+    words = lambda n: [f"w{k}" for k in rng.integers(0, 60, n)]
+    items = [words(n) for n in (3, 4, 7, 20, 40, 100)]
+    rows = []
+    for item in items:
+        copies = [[w if k % step else "new" for k, w in enumerate(item, 1)] for step in (3, 4, 5, 6)]
+        copies.append([w for k in item for w in (k, "new")])
+        for share in (0.15, 0.2, 0.25, 0.3):
+            edited = [w if rng.random() > share else ["new", "old and", ""][rng.integers(0, 3)] for w in item]
+            copies.append(" ".join(edited).split())
+        rows += [(f"{k}", " ".join(words(30) + copy + words(30))) for k, copy in enumerate(copies)]
+    rows = [(k, text) for k, (_, text) in enumerate(rows)]
+    want = set()
+    for d, text in rows:
+        for i, item in enumerate(items):
+            numbers = {}
+            a, b = (np.array([numbers.setdefault(w, len(numbers)) for w in x]) for x in (item, text.split()))
+            score = brute_align(a, b) / (2 * len(item))
+            if score >= 0.5:
+                want.add((d, i, round(score, 9)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    assert {(r.doc_id, r.item_id, round(r.score, 9)) for r in decontam.leaks(frame, bench).collect()} == want
+    assert {r.doc_id for r in decontam.clean(frame, bench).collect()} == {d for d, _ in rows} - {d for d, _, _ in want}
+
+
 def test_verbatim_leaks_of_the_tables(spark, sf, docs):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     got = {(r.doc_id, r.item_id) for r in queries.op8_decontamination(spark, sf).collect()}

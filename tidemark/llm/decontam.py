@@ -1,10 +1,10 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare words and word pairs as seeds, then Smith-Waterman alignment.
 
 Test items are cut into segments of bounded length. A first pass over all documents counts in how many
-of them each word trigram of a segment occurs; of every run of neighbouring trigrams the rarest one
-becomes a seed, so any copied stretch that is as long as a run and a trigram holds a seed, however
-often the passage was copied. A second pass looks the seeds up in each document, aligns the words around
-them with the segment and scores the alignment against the segment's own.
+of them each word and each pair of neighbouring words of a segment occurs. The rarest become seeds, as many
+as it takes for every alignment that reaches the score to hold one (`Block.choose_seeds`). A second pass looks
+the seeds up in each document, drops what can't reach the score by a bound over its words (`stretches`), and
+aligns the rest with the segment; the alignment is scored against the segment's own.
 
 Documents are never shuffled or paired: both passes run where the texts are read. What is sent to the
 tasks is a block of items of bounded size; a larger benchmark is worked off block by block.
@@ -15,7 +15,7 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +24,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import fresh, texts
 
-GRAM = 3
-#: Neighbouring trigrams of which the rarest is a seed.
-RUN = 4
+#: Words of the shortest segment.
+SHORTEST = 3
 #: Words of a segment; a longer item is several segments.
 SEGMENT = 128
 #: Words of the items in one block.
@@ -49,7 +48,11 @@ def words_of(text: bytes) -> list[bytes]:
 class Segment:
     item: int
     ids: np.ndarray
-    seeds: dict[int, list[int]] = field(default_factory=dict)
+
+    @property
+    def needed(self) -> int:
+        """The least score that counts."""
+        return math.ceil(MIN_SCORE * MATCH * len(self.ids))
 
 
 class Block:
@@ -62,46 +65,57 @@ class Block:
             words = words_of(text)
             ids = np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words], np.int64)
             pieces = max(1, math.ceil(len(ids) / SEGMENT))
-            self.segments += [Segment(item, part) for part in np.array_split(ids, pieces) if len(part) >= GRAM]
+            self.segments += [Segment(item, part) for part in np.array_split(ids, pieces) if len(part) >= SHORTEST]
         self.base = len(self.vocabulary) + 1
         if self.base >= 1 << 20:
             raise ValueError("a block's vocabulary must stay below 2**20 words")
         self.grams = np.unique(np.concatenate([self.codes(s.ids) for s in self.segments] or [np.zeros(0, np.int64)]))
         self.seed_codes = self.grams[:0]
-        self.where: dict[int, list[tuple[int, int]]] = {}
+        self.where: dict[int, list[int]] = {}
 
     def codes(self, ids: np.ndarray) -> np.ndarray:
-        """One number for each trigram; 0 where a word isn't in the vocabulary."""
-        a, b, c = ids[:-2], ids[1:-1], ids[2:]
-        return np.where((a > 0) & (b > 0) & (c > 0), (a * self.base + b) * self.base + c, 0)
+        """The distinct numbers of the known words, and of the pairs of them that stand side by side."""
+        a, b = ids[:-1], ids[1:]
+        return np.unique(np.concatenate([ids[ids > 0], (a * self.base + b)[(a > 0) & (b > 0)]]))
 
     def ids(self, words: list[bytes]) -> np.ndarray:
         get = self.vocabulary.get
         return np.array([get(w, 0) for w in words], np.int64)
 
     def grams_of(self, text: bytes) -> np.ndarray:
-        """Places in `grams` of the trigrams that a text holds."""
-        codes = np.unique(self.codes(self.ids(words_of(text))))
+        """Places in `grams` of the words and pairs that a text holds."""
+        codes = self.codes(self.ids(words_of(text)))
         at = np.searchsorted(self.grams, codes)
         at[at == len(self.grams)] = 0
         return at[self.grams[at] == codes] if len(self.grams) else at[:0]
 
     def choose_seeds(self, documents: np.ndarray) -> None:
-        """Of each run of trigrams the one in the fewest documents; ties go to the first."""
+        """Of each segment the words and pairs in the fewest documents, so that every sufficient alignment holds one.
+
+        Say that of n words M match and the score is s = 2 M - faults. Where M >= m, any n - m + 1 words hold a
+        matching one. Otherwise at most 2 M - s of the M - 1 neighbouring matches are parted by a fault, so s - m
+        pairs at least are whole, and any n - s + m of the n - 1 pairs hold a whole one. Of all m the one whose seeds
+        occur in the fewest documents is taken. Seeds that occur nowhere count too, and cost nothing.
+        """
         where = defaultdict(list)
         for number, segment in enumerate(self.segments):
-            codes = self.codes(segment.ids)
-            counts = documents[np.searchsorted(self.grams, codes)]
-            run = min(RUN, len(codes))
-            for at in sorted({k + int(np.argmin(counts[k : k + run])) for k in range(len(codes) - run + 1)}):
-                where[int(codes[at])].append((number, at))
+            ids, size, needed = segment.ids, len(segment.ids), segment.needed
+            words, pairs = (self._rarest(codes, documents) for codes in (ids, ids[:-1] * self.base + ids[1:]))
+            least = math.ceil(needed / MATCH)
+            ways = [(size - m + 1, 0 if m == least else size - needed + m) for m in range(least, size + 1) if m == least or m < needed]
+            ways = [[*words[0][:a], *pairs[0][:b]] for a, b in ways]
+            costs = dict(zip([*words[0], *pairs[0]], [*words[1], *pairs[1]], strict=True))
+            for code in set(min(ways, key=lambda way: sum(costs[c] for c in set(way)))):
+                if costs[code]:
+                    where[code].append(number)
         self.where = dict(where)
         self.seed_codes = np.array(sorted(where), np.int64)
-        self.needed = [0] * len(self.segments)
-        for places in where.values():
-            for number, _ in places:
-                self.needed[number] += 1
-        self.needed = [1 if n < 8 else 2 for n in self.needed]
+
+    def _rarest(self, codes: np.ndarray, documents: np.ndarray) -> tuple[list[int], list[int]]:
+        """The codes and the number of documents that hold each, rarest first."""
+        counts = documents[np.searchsorted(self.grams, codes)]
+        order = np.argsort(counts, kind="stable")
+        return codes[order].tolist(), counts[order].tolist()
 
     def find(self, text: bytes) -> list[tuple[int, float, int, int]]:
         """(item, score, first word, last word) of the best alignment with each item that reaches MIN_SCORE."""
@@ -116,39 +130,43 @@ class Block:
         return [(item, *found) for item, found in sorted(best.items())]
 
     def _find(self, ids: np.ndarray) -> Iterator[tuple[int, float, int, int]]:
-        if len(ids) < GRAM or not len(self.seed_codes):
+        if not len(self.seed_codes):
             return
         codes = self.codes(ids)
         at = np.searchsorted(self.seed_codes, codes)
         at[at == len(self.seed_codes)] = 0
-        hits = defaultdict(list)
-        for place in np.flatnonzero(self.seed_codes[at] == codes).tolist():
-            for number, offset in self.where[int(codes[place])]:
-                hits[number].append((place, offset))
-        for number, places in hits.items():
-            size = len(self.segments[number].ids)
-            group = [places[0]]
-            for hit in [*places[1:], None]:
-                if hit is not None and hit[0] - group[-1][0] <= size:
-                    group.append(hit)
-                    continue
-                if len({offset for _, offset in group}) >= self.needed[number]:
-                    yield from self._aligned(ids, number, group)
-                group = [hit]
-
-    def _aligned(self, ids: np.ndarray, number: int, group: list[tuple[int, int]]) -> Iterator[tuple[int, float, int, int]]:
-        segment = self.segments[number]
-        size = len(segment.ids)
-        pad = size // 4 + 2
-        first = max(0, min(p - o for p, o in group) - pad)
-        last = min(len(ids), max(p - o for p, o in group) + size + pad)
-        window = ids[first:last]
-        if np.isin(segment.ids, window).sum() < MIN_SCORE * size:  # no alignment can reach the score
-            return
-        score, end = align(segment.ids, window)
-        share = score / (MATCH * size)
-        if share >= MIN_SCORE:
-            yield segment.item, share, first, first + end
+        member = np.zeros(self.base, bool)
+        for number in sorted({n for code in codes[self.seed_codes[at] == codes].tolist() for n in self.where[code]}):
+            segment = self.segments[number]
+            member[segment.ids] = True
+            inside = member[ids]
+            member[segment.ids] = False
+            for first, last in stretches(inside, segment.needed):
+                score, end = align(segment.ids, ids[first:last])
+                if score >= segment.needed:
+                    yield segment.item, score / (MATCH * len(segment.ids)), first, first + end
+
+
+def stretches(inside: np.ndarray, needed: int) -> list[tuple[int, int]]:
+    """Stretches of a text that hold all alignments with the score; `inside` tells the words that the segment has.
+
+    An alignment gains MATCH by such a word at most, and loses one by any other. The sum of that along the text, begun
+    anew wherever it falls to zero, bounds every alignment's score, and one that goes on beyond such a place
+    is no worse without what lies before it.
+    """
+    if MATCH * np.count_nonzero(inside) < needed:
+        return []
+    sums = np.concatenate([[0], np.cumsum(np.where(inside, MATCH, -1))])
+    lows = np.minimum.accumulate(sums)
+    high = np.flatnonzero(sums - lows >= needed)
+    if not len(high):
+        return []
+    zeros = np.flatnonzero(sums == lows)
+    begins = np.searchsorted(zeros, high, "right") - 1
+    out = []
+    for k in np.unique(begins).tolist():
+        out.append((int(zeros[k]), int(zeros[k + 1]) if k + 1 < len(zeros) else len(inside)))
+    return out
 
 
 def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int]:
@@ -191,7 +209,7 @@ def blocks(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS
 
         counted = docs.select(F.col("text").cast("string")).mapInArrow(run, "gram long, n long")
         documents = np.zeros(len(block.grams), np.int64)
-        for row in counted.groupBy("gram").agg(F.sum("n").alias("n")).collect():  # the block's trigrams at most
+        for row in counted.groupBy("gram").agg(F.sum("n").alias("n")).collect():  # the block's words and pairs at most
             documents[row["gram"]] = row["n"]
         block.choose_seeds(documents)
         yield block
