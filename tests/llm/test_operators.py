@@ -514,6 +514,20 @@ def test_leaks_equal_full_alignment(spark):
     assert {r.doc_id for r in decontam.clean(frame, bench).collect()} == {d for d, _ in rows} - {d for d, _, _ in want}
 
 
+def test_leaks_of_scripts_without_spaces_and_short_items(spark):
+    chinese, japanese, thai = "请问中国的首都是哪一座城市", "日本で一番高い山は何ですか", "ประเทศไทยมีกี่จังหวัด"
+    items = [(1, chinese), (2, japanese), (3, thai), (4, "«Größe» – “naïve”"), (5, "quokka"), (6, "blue whale"), (7, " . ")]
+    rows = [
+        (1, f"前言。{chinese}？后记"), (2, f"（{japanese}）"), (3, f"ถาม:{thai}"), (4, "xx GRÖSSE größe — naïve"), (5, "a Quokka, here"),
+        (6, "the blue-whale"), (7, "whale blue"), (8, chinese.replace("首都", "河流")), (9, "今天天气很好我们去公园散步吧"), (10, "quokkas"),
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for size in (10, 200_000):
+        assert sorted((r.doc_id, r.item_id) for r in decontam.leaks(frame, bench, size).collect()) == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 5), (6, 6), (8, 1)]
+    assert decontam.words_of("Été 2024, l’œuvre x_y".encode()) == [w.encode() for w in ("été", "2024", "l", "œuvre", "x", "y")]
+
+
 def test_verbatim_leaks_of_the_tables(spark, sf, docs):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     got = {(r.doc_id, r.item_id) for r in queries.op8_decontamination(spark, sf).collect()}

@@ -13,6 +13,8 @@ tasks is a block of items of bounded size; a larger benchmark is worked off bloc
 from __future__ import annotations
 
 import math
+import re
+import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import fresh, texts
 
-#: Words of the shortest segment.
+#: Segments of fewer words are found as they are only.
 SHORTEST = 3
 #: Words of a segment; a longer item is several segments.
 SEGMENT = 128
@@ -39,9 +41,35 @@ _SPACES = bytes(b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b i
 FOUND = "array<struct<item_id:bigint,score:double,first_word:bigint,last_word:bigint>>"
 
 
+#: Scripts written without spaces: each of their characters is a word.
+UNSPACED = ("Han", "Hiragana", "Katakana", "Bopomofo", "Thai", "Lao", "Khmer", "Myanmar")
+_NAMES = ("CJK ", "HIRAGANA", "KATAKANA", "BOPOMOFO", "THAI ", "LAO ", "KHMER ", "MYANMAR ", "IDEOGRAPHIC ", "HALFWIDTH KATAKANA")
+#: Beyond these the class of a character is looked up.
+_LATIN = re.compile("[^\x00-\x7f\xc0-\xd6\xd8-\xf6\xf8-\u024f]")
+
+
+class _Parted(dict):
+    """What each character of a lower-case text becomes: itself, a space, or a word of its own."""
+
+    def __missing__(self, code: int) -> str:
+        char = chr(code)
+        if unicodedata.category(char)[0] not in "LMN":
+            part = " "
+        else:
+            part = f" {char} " if unicodedata.name(char, "").startswith(_NAMES) else char
+        self[code] = part
+        return part
+
+
+_PARTED = _Parted()
+
+
 def words_of(text: bytes) -> list[bytes]:
-    """Lower-case words of letters and digits; ASCII signs part words."""
-    return text.decode("utf-8", "replace").lower().encode().translate(_SPACES).split()
+    """Lower-case words of letters and digits, or single characters of a script without spaces; all signs part words."""
+    lower = text.decode("utf-8", "replace").lower()
+    if not lower.isascii() and _LATIN.search(lower):
+        lower = lower.translate(_PARTED)
+    return lower.encode().translate(_SPACES).split()
 
 
 @dataclass
@@ -51,8 +79,8 @@ class Segment:
 
     @property
     def needed(self) -> int:
-        """The least score that counts."""
-        return math.ceil(MIN_SCORE * MATCH * len(self.ids))
+        """The least score that counts; few words count only if all stand side by side."""
+        return math.ceil((MIN_SCORE if len(self.ids) >= SHORTEST else 1) * MATCH * len(self.ids))
 
 
 class Block:
@@ -65,7 +93,7 @@ class Block:
             words = words_of(text)
             ids = np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words], np.int64)
             pieces = max(1, math.ceil(len(ids) / SEGMENT))
-            self.segments += [Segment(item, part) for part in np.array_split(ids, pieces) if len(part) >= SHORTEST]
+            self.segments += [Segment(item, part) for part in np.array_split(ids, pieces) if len(part)]
         self.base = len(self.vocabulary) + 1
         if self.base >= 1 << 20:
             raise ValueError("a block's vocabulary must stay below 2**20 words")
@@ -187,11 +215,13 @@ def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int]:
 def blocks(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[Block]:
     """Blocks of items with their seeds chosen over all documents.
 
-    Items of fewer than three words, null and empty ones can't be told from chance and have no seeds.
+    Items of one or two words are found where all of their words stand side by side. Null items and items without
+    words can't be found.
     """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     items = items.filter(F.col("item_id").isNotNull() & F.col("text").isNotNull())
-    size = items.agg(F.sum(F.size(F.split("text", r"[^\p{L}\p{N}]+")))).first()[0] or 0
+    alone = F.lit("[" + "".join(rf"\p{{Is{script}}}" for script in UNSPACED) + "]")
+    size = items.agg(F.sum(F.size(F.split("text", r"[^\p{L}\p{N}]+")) + F.regexp_count("text", alone))).first()[0] or 0
     number = math.ceil(size / block_words)
     part = F.pmod(F.xxhash64("item_id"), F.lit(max(number, 1)))
     for k in range(number):
