@@ -254,6 +254,19 @@ def test_repeated_lines_count_once(spark):
     assert kept_near(spark, rows) == brute_groups(rows) and set(brute_groups(rows)) >= {1, 3, 4, 5}
 
 
+def test_parities_bound_the_difference():
+    rng = np.random.default_rng(15)
+    some = lambda n: np.unique(rng.integers(0, 2**64, n, np.uint64))
+    for n in (3, 300, 2000, 20_000):
+        for k in (0, 1, n // 10, n):
+            a = some(n)
+            b = np.union1d(a[k:], some(k + n // 9))
+            bits = [simhash.parities(x) for x in (a, b)]
+            for width in (simhash.PARITIES, min(map(len, bits))):
+                apart = np.bitwise_count(simhash.folded(bits[0], width) ^ simhash.folded(bits[1], width)).sum()
+                assert apart <= len(np.setxor1d(a, b))
+
+
 def test_shared_passages_hide_no_copy(spark, monkeypatch):
     monkeypatch.setattr(simhash, "CROWDED", 4)  # both ways are taken
     monkeypatch.setattr(simhash, "BLOCK", 20)

@@ -40,7 +40,7 @@ HASH_SEED = 42
 
 NEAR_SHINGLE = 5
 SIMILARITY = 0.8
-#: Longs of parity bits.
+#: Longs of parity bits of a short text.
 PARITIES = 8
 #: One in so many distinct texts is counted for the order of shingles, and so many shingles at most have a count.
 SAMPLED = 32
@@ -167,11 +167,42 @@ def prefix(shingles: int, similarity: float) -> int:
 
 
 def parities(hashes: np.ndarray) -> np.ndarray:
-    """64 * PARITIES bits, each the parity of the hashes that fall on it: two sets differ in as many hashes at least."""
-    odd = np.bincount((hashes % np.uint64(64 * PARITIES)).astype(np.int64), minlength=64 * PARITIES) & 1
+    """Bits that tell the parity of the hashes that fall on them: two sets differ in as many hashes at least.
+
+    64 * PARITIES bits, doubled until there is one for each hash.
+    """
+    width = 64 * PARITIES
+    while width < len(hashes):
+        width *= 2
+    odd = np.bincount((hashes % np.uint64(width)).astype(np.int64), minlength=width) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def folded(bits: np.ndarray, width: int) -> np.ndarray:
+    """The parities of a set with that many longs instead."""
+    return np.bitwise_xor.reduce(bits.view(np.uint64).reshape(-1, width), axis=0)  # bits of signed numbers are counted without sign
+
+
+def most_apart(n_a: np.ndarray, n_b: np.ndarray, similarity: float) -> np.ndarray:
+    """The hashes in one of two sets only, of these sizes and that similar, at most."""
+    return (n_a + n_b) * (1 - similarity) / (1 + similarity) + 1e-9
+
+
+def near_enough(bits_a: Column, bits_b: Column, n_a: Column, n_b: Column, similarity: float) -> Column:
+    """The parities of two sets leave that similarity open."""
+
+    def run(left: pa.Array, right: pa.Array, n_left: pa.Array, n_right: pa.Array) -> pa.Array:
+        most = most_apart(n_left.to_numpy(zero_copy_only=False), n_right.to_numpy(zero_copy_only=False), similarity)
+        out = []
+        for at in range(len(left)):
+            a, b = left[at].values.to_numpy(), right[at].values.to_numpy()
+            width = min(len(a), len(b))
+            out.append(int(np.bitwise_count(folded(a, width) ^ folded(b, width)).sum()) <= most[at])
+        return pa.array(out, pa.bool_())
+
+    return F.arrow_udf(run, "boolean")(bits_a, bits_b, n_a, n_b)
+
+
 def sketch(text: Column, size: int, similarity: float, common: Broadcast) -> Column:
     """struct<n, cold, bits, keys>: the number of distinct shingles, parities, and the prefix in the order of `common`.
 
@@ -226,9 +257,8 @@ def verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, size: int, sim
     """The pairs (a, b) whose shingle sets have that Jaccard similarity; the parities only drop what can't."""
     side = lambda name: nodes.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("bits").alias(f"bits_{name}"))
     near = pairs.join(side("a"), "a").join(side("b"), "b")
-    apart = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-    most = (F.col("n_a") + F.col("n_b")) * (1 - similarity) / (1 + similarity) + 1e-9
-    near = materialize(near.filter(alike(F.col("n_a"), F.col("n_b"), similarity) & (apart <= most)).select("a", "b"), "near-pairs")
+    near = near.filter(near_enough(*[F.col(c) for c in ("bits_a", "bits_b", "n_a", "n_b")], similarity))
+    near = materialize(near.select("a", "b"), "near-pairs")
     needed = near.select("a").union(near.select("b")).distinct().select("a.*")
     whole = rows.join(needed, ["text_hash", "text_size"], "left_semi").dropDuplicates(["text_hash", "text_size"])
     whole = materialize(whole.select(F.struct("text_hash", "text_size").alias("node"), "text"), "near-texts")
@@ -252,7 +282,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, size: int, sim
 def close_in_blocks(table: pa.Table, similarity: float) -> pa.Table:
     """The pairs (a, b) of one block with another, or of a block with itself, that sizes and parities leave open."""
     n = table["n"].to_numpy()
-    bits = np.array(table["bits"].combine_chunks().flatten().to_numpy()).reshape(len(n), -1)
+    bits = np.array([folded(x.values.to_numpy(), PARITIES) for x in table["bits"]])
     _, component = np.unique(table["label"].combine_chunks().to_numpy(zero_copy_only=False), return_inverse=True)
     block = table["block"].to_numpy()
     left = np.flatnonzero(block == block.min())
@@ -263,7 +293,7 @@ def close_in_blocks(table: pa.Table, similarity: float) -> pa.Table:
         sizes = n[others]
         others = others[(component[others] != component[at]) & (np.minimum(sizes, n[at]) >= np.maximum(sizes, n[at]) * similarity - 1e-9)]
         apart = np.bitwise_count(bits[others] ^ bits[at]).sum(1, dtype=np.int64)
-        others = others[apart <= (n[others] + n[at]) * (1 - similarity) / (1 + similarity) + 1e-9]
+        others = others[apart <= most_apart(n[others], n[at], similarity)]
         found += [(at, k) for k in others.tolist()]
     nodes = table["node"].combine_chunks()
     pairs = np.array(found, np.int64).reshape(-1, 2)
