@@ -450,6 +450,15 @@ def test_pii_adds_and_keeps(spark, sf, docs, odd, none):
     assert any("[EMAIL]" in (r.text or "") for r in clean.collect()) and pii.redact(none).count() == 0
 
 
+def test_long_secrets_are_candidates():
+    rng = np.random.default_rng(16)
+    letters = list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/")
+    for size in (15, 16, 512, 513, 3000):
+        text = "the key=" + "".join(rng.choice(letters, size - 1)) + "7 ends"
+        found = [(k, a, b) for k, a, b, *_ in pii.candidates(text, []) if k == "secret"]
+        assert found == ([("secret", 8, 8 + size)] if size >= 16 else [])
+
+
 def test_weak_supervision_tells_good_from_bad():
     rows = [("secret", 2 + 6 + 18 + 54 + 81, 0b101011, 40), ("secret", 1 + 0 + 0 + 27 + 0, 0b010100, 60), ("secret", 1 + 3 + 18 + 54 + 81, 0b101000, 10)]
     model = pii.learn(rows)

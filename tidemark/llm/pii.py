@@ -75,7 +75,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 # Candidates of the added kinds
-SECRET = re.compile(r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*[0-9])[A-Za-z0-9_+/-]{16,512}+(?![A-Za-z0-9_+/-])")
+SECRET = re.compile(r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*[0-9])[A-Za-z0-9_+/-]{16,}+(?![A-Za-z0-9_+/-])")
 CONTACT = re.compile(
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?[\[(]at[\])] ?[A-Za-z0-9-]{1,63}+"
     r"(?: ?[\[(]dot[\])] ?[A-Za-z0-9-]{1,63}+)++"
