@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, langid, packing, pii, quality, rules, simhash, substrings, token_counts, warc
+from tidemark.llm import decontam, langid, negatives, packing, pii, prefix_trie, quality, rules, simhash, substrings, token_counts, toxicity, warc
 from tidemark.llm.common import table
+from tidemark.llm.oracles import ORACLES
 from tidemark.session import materialize, scratch_path
 
 
@@ -108,6 +109,26 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its toxicity score."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = _remainder(5) == 0
+    network = toxicity.train(docs.filter(~held_out), table(spark, sf_dir, "labels"))
+    return toxicity.predictions(docs, network, held_out.alias("held_out"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten hard negatives for every hundredth vector and each of its five positives."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows.select("vec_id", label.alias("label"), "embedding"), F.col("vec_id") % 100 == 0)
+
+
 CATALOGUE = {
     "op1_packing": op1_packing,
     "op2_warc": op2_warc,
@@ -119,5 +140,9 @@ CATALOGUE = {
     "op8_decontamination": op8_decontamination,
     "op9_substrings": op9_substrings,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_toxicity": op12_toxicity,
+    "op13_hard_negatives": op13_hard_negatives,
 }
-ORACLES: dict[str, str] = {}
+
+__all__ = ["CATALOGUE", "ORACLES"]
