@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import texts
 from tidemark.llm.sampling import drawn
+from tidemark.session import materialize
 
 #: Labelled texts of each label that teach, at most, and the bytes of the longest of them.
 SAMPLE_EACH = 800
@@ -343,11 +344,14 @@ def train(docs: DataFrame, labels: DataFrame, each: int = SAMPLE_EACH, most_byte
     """
     marks = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL")
     marks = marks.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.filter(F.col("text").isNotNull()).join(marks, "doc_id")
+    texts_ = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts_ = texts_.filter("doc_id IS NOT NULL AND text IS NOT NULL").withColumn("text_hash", F.xxhash64("text"))
+    # The texts stay where they are: only their hashes and sizes meet the labels
+    rows = texts_.select("doc_id", "text_hash", F.octet_length("text").alias("size")).join(marks, "doc_id")
     shares = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    short = rows.filter(F.octet_length("text") <= most_bytes)
-    sample = drawn(short, "toxic", ["text"], each, 2).select("toxic", "text").collect()
+    chosen = drawn(rows.filter(F.col("size") <= most_bytes), "toxic", ["text_hash"], each, 2)
+    chosen = materialize(chosen.select("doc_id", "text_hash", "toxic"), "toxicity-sample")  # 2 * each rows
+    sample = texts_.join(chosen, ["doc_id", "text_hash"]).select("toxic", "text").distinct().collect()
     sample = sorted((r["text"].encode(), r["toxic"]) for r in sample)
     rng = np.random.default_rng(SEED)
     sample = [sample[k] for k in rng.permutation(len(sample))]
