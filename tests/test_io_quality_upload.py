@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 from pathlib import Path
 
@@ -9,10 +10,10 @@ from pyspark.sql import functions as F
 from tests.helpers import hour
 from tidemark import schemas
 from tidemark.operators import normalize, quality, upload
+from tidemark.plans.trend_run import TrendRun
 from tidemark.sources import files
 
 
-
 def at():
     return F.lit(datetime(2024, 2, 1)).cast("timestamp")
 
@@ -164,3 +165,78 @@ def test_counts_of_empty_source(spark):
     frames = {"twitter": spark.range(3), "news": spark.range(0)}
     got = {r["source"]: r["records"] for r in normalize.ingest_counts(frames).collect()}
     assert got == {"twitter": 3, "news": 0, "total": 3}
+
+
+def jobs_of(spark, run) -> int:
+    """How many jobs a call starts."""
+    group = f"count-{uuid.uuid4()}"
+    spark.sparkContext.setJobGroup(group, "counted")
+    try:
+        run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_watched_write_adds_no_job(spark, tmp_path, caplog):
+    rows = spark.createDataFrame([(1, None, "a"), (2, None, "b"), (3, "x", None)], "n int, s string, `odd.name` string").repartition(3)
+    plain = jobs_of(spark, lambda: rows.write.parquet(str(tmp_path / "plain")))
+    seen = quality.watch(rows, ["n"], "ctx", ["s", "n"], max_fraction=0.5)
+    assert jobs_of(spark, lambda: (seen.frame.write.parquet(str(tmp_path / "seen")), seen.settle())) == plain
+    assert seen.rows == 3 and spark.read.parquet(str(tmp_path / "seen")).count() == 3
+    assert "66.7% of s" in caplog.text and "of n is null" not in caplog.text
+    told = {f["column"]: (f["null_count"], f["null_fraction"], f["passed"]) for f in seen.facts()}
+    assert told == {"n": (0, 0.0, True), "s": (2, 0.6667, False), "odd.name": (1, 0.3333, True)}
+    assert seen.report().filter("NOT passed").first()["column"] == "s"
+
+
+def test_watch_of_no_rows(spark, tmp_path):
+    none = spark.createDataFrame([], "n int, s string")
+    for needs in (True, False):
+        seen = quality.watch(none, needs_rows=needs, null_checks=["s"])
+        seen.frame.write.parquet(str(tmp_path / str(needs)))
+        assert seen.facts()[0] == {"column": "n", "row_count": 0, "null_count": 0, "null_fraction": 0.0, "passed": True}
+        if needs:
+            with pytest.raises(ValueError):
+                seen.settle()
+        else:
+            seen.settle()
+    with pytest.raises(ValueError):
+        quality.watch(none, ["other"])
+
+
+def test_watch_behind_a_shuffle_counts_every_row(spark, tmp_path):
+    halves = spark.range(1000, numPartitions=4).withColumn("k", F.when(F.col("id") % 2 == 0, F.col("id"))).repartition(3)
+    seen = quality.watch(halves)
+    seen.frame.write.parquet(str(tmp_path / "a"))
+    assert seen.rows == 1000 and seen.facts()[1]["null_count"] == 500
+
+
+def test_malformed_lines_are_counted_and_set_apart(spark, tmp_path):
+    for source, lines in {
+        "twitter": ['{"id":"1","text":"one","data_source":"twitter"}', '{"id":"2"', "no json", ""],
+        "reddit": ['{"id":"3","title":"three","score":"much"}', '{"id":"4","title":"four","score":1}'],
+        "news": ['{"id":"5","title":"five"}'],
+    }.items():
+        folder = tmp_path / f"source={source}"
+        folder.mkdir()
+        (folder / "a.jsonl").write_text("\n".join(lines))
+    paths = [str(tmp_path / f"source={s}") for s in ("twitter", "reddit", "news")]
+    bad = files.BadLines()
+    posts = files.load_raw_posts(spark, paths, bad_lines=bad)
+    assert sorted(r["id"] for r in posts.collect()) == ["1", "4", "5"]
+    assert bad.counts() == {"twitter": 2, "reddit": 1, "news": 0}
+    out = str(tmp_path / "rejected")
+    assert bad.divert(out) == 3
+    kept = spark.read.parquet(out).collect()
+    assert sorted((r["source"], r["line"]) for r in kept) == [
+        ("reddit", '{"id":"3","title":"three","score":"much"}'), ("twitter", "no json"), ("twitter", '{"id":"2"'),
+    ]
+    assert all(r["file"].endswith("a.jsonl") for r in kept)
+    clean = files.BadLines()
+    files.load_raw_posts(spark, paths[2:], bad_lines=clean).collect()
+    assert clean.divert(str(tmp_path / "none")) == 0 and not (tmp_path / "none").exists()
+    job = TrendRun(spark, str(tmp_path / "lake"))
+    assert job.process_raw(paths, strict=False).count() == 3 and job.read("rejected").count() == 3
+    with pytest.raises(Exception, match="(?i)malformed|parse"):
+        job.process_raw(paths)

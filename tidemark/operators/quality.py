@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Collection, Iterable
+from dataclasses import dataclass
+from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -66,23 +68,81 @@ def profile(df: DataFrame) -> DataFrame:
     )
 
 
+@dataclass
+class Watch:
+    """A frame whose rows are counted by whatever first consumes them, and what is expected of the counts.
+
+    The counts belong to the job that writes or collects `frame`: they add no job, no pass and no shuffle. They
+    must be taken where the job's last stage runs, so hand `frame` itself to the write; rows that a retried task
+    repeats are then counted once.
+    """
+
+    frame: DataFrame
+    observed: Observation
+    columns: tuple[str, ...]
+    context: str = ""
+    null_checks: tuple[str, ...] = ()
+    max_fraction: float = S.MAX_NULL_FRACTION
+    needs_rows: bool = True
+
+    @property
+    def rows(self) -> int:
+        """How many rows passed. Waits for the job that consumes the frame."""
+        return self.observed.get["rows"]
+
+    def facts(self) -> list[dict[str, Any]]:
+        """A line for each column: its nulls, their share, and whether that is within bounds."""
+        told = self.observed.get
+        shares = [(c, told[f"n{i}"], told[f"n{i}"] / told["rows"] if told["rows"] else 0.0) for i, c in enumerate(self.columns)]
+        return [
+            {"column": c, "row_count": told["rows"], "null_count": n, "null_fraction": round(share, 4), "passed": share <= self.max_fraction}
+            for c, n, share in shares
+        ]
+
+    def report(self) -> DataFrame:
+        """The facts as a table."""
+        layout = "column string, row_count bigint, null_count bigint, null_fraction double, passed boolean"
+        return self.frame.sparkSession.createDataFrame([tuple(f.values()) for f in self.facts()], layout)
+
+    def settle(self) -> None:
+        """Raise ValueError if no row passed; warn of null shares out of bounds."""
+        if self.needs_rows and not self.rows:
+            raise ValueError(f"{self.context or 'frame'} has no rows")
+        for fact in self.facts():
+            if fact["column"] in self.null_checks and not fact["passed"]:
+                log.warning("%s: %.1f%% of %s is null", self.context, 100 * fact["null_fraction"], fact["column"])
+        log.info("%s: %d rows, %d columns", self.context, self.rows, len(self.columns))
+
+
+def watch(
+    df: DataFrame,
+    required: StructType | Collection[str] = (),
+    context: str = "",
+    null_checks: Iterable[str] = (),
+    max_fraction: float = S.MAX_NULL_FRACTION,
+    needs_rows: bool = True,
+) -> Watch:
+    """Check columns now; rows and null shares once the watch's frame has been consumed."""
+    require_columns(df, required)
+    observed = Observation()
+    nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)]
+    counted = df.observe(observed, F.count(F.lit(1)).alias("rows"), *nulls)
+    return Watch(counted, observed, tuple(df.columns), context, tuple(null_checks), max_fraction, needs_rows)
+
+
 def check(
     df: DataFrame,
-    required: StructType | Iterable,
+    required: StructType | Collection[str],
     context: str = "",
     null_checks: Iterable[str] = (),
     max_fraction: float = S.MAX_NULL_FRACTION,
 ) -> DataFrame:
-    """Columns, rows and null shares in one job; returns the frame unchanged.
+    """Columns, rows and null shares of a frame that isn't about to be written, in a pass of its own.
 
-    Missing columns and an empty frame raise; null shares out of bounds only warn.
+    Missing columns and an empty frame raise; null shares out of bounds only warn. Returns the frame
+    unchanged. What is written goes through `watch`, whose counts come with the write.
     """
-    require_columns(df, required)
-    report = profile(df).collect()  # one row per column of the frame
-    if not report or report[0]["row_count"] == 0:
-        raise ValueError(f"{context or 'frame'} has no rows")
-    for row in report:
-        if row["column"] in set(null_checks) and row["null_fraction"] > max_fraction:
-            log.warning("%s: %.1f%% of %s is null", context, 100 * row["null_fraction"], row["column"])
-    log.info("%s: %d rows, %d columns", context, report[0]["row_count"], len(df.columns))
+    seen = watch(df, required, context, null_checks, max_fraction)
+    seen.frame.write.format("noop").mode("overwrite").save()
+    seen.settle()
     return df

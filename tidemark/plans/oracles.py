@@ -222,6 +222,12 @@ _cte("pairs", "runs", """
 _cte("tagged", "pairs dict", """
     SELECT id, string_agg(label || ':' || entity, ',' ORDER BY pos, entity, label) AS entities
     FROM pairs JOIN dict USING (entity) GROUP BY id""")
+_cte("arrivals", "cleaned", """
+    SELECT id, "timestamp", least(CAST(floor(epoch("timestamp" - TIMESTAMP '2024-01-01') / 691200) AS BIGINT)
+        + CASE WHEN id::BIGINT % 9 = 0 THEN 1 + id::BIGINT % 2 ELSE 0 END, 3) AS batch FROM cleaned""")
+_cte("marks", "arrivals", """
+    SELECT b AS batch, (SELECT max("timestamp") FROM arrivals WHERE batch < b) - INTERVAL 2 DAY AS watermark
+    FROM (SELECT unnest(range(0, 5)) AS b)""")
 _cte("typed", "", "SELECT event_id, " + ", ".join(
     f'{sql} AS "{name.strip().lower()}"' for name, sql in TYPED_UPLOAD.items()) + " FROM events")
 
@@ -294,6 +300,15 @@ def _profile() -> str:
     )
 
 
+def _cut_lines() -> str:
+    """One line in sixteen is cut off."""
+    return """SELECT source, posts, "lines", first_line, last_line
+        FROM (SELECT source, count(*) AS posts FROM unified WHERE left(md5(id), 1) <> '0' GROUP BY source) FULL JOIN
+             (SELECT source, count(*) AS "lines", min('{"id":"' || id) AS first_line, max('{"id":"' || id) AS last_line
+              FROM (SELECT source, id FROM npost_t UNION ALL SELECT source, id FROM npost_f UNION ALL SELECT source, id FROM npost_n)
+              WHERE left(md5(id), 1) = '0' GROUP BY source) USING (source)"""
+
+
 def _percent(value: str) -> str:
     return f"(CASE WHEN round({value} * 100, 1) >= 0 THEN '+' ELSE '' END || printf('%.1f', round({value} * 100, 1)) || '%')"
 
@@ -332,6 +347,7 @@ _K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
 
 ORACLES: dict[str, str] = {
     # sources and sinks
+    "scan_jsonl_lenient": _with("unified", _cut_lines()),
     "scan_jsonl": _with("unified", "SELECT * FROM unified"),
     "sink_jsonl": _with("forum", "SELECT * FROM forum"),
     "sink_parquet_partitioned": _with("gfreq", "SELECT * FROM gfreq"),
@@ -645,4 +661,16 @@ ORACLES: dict[str, str] = {
         round((count(*) - count(num_comments)) / CAST(count(*) AS DOUBLE), 4) AS null_fraction,
         (count(*) - count(num_comments)) / CAST(count(*) AS DOUBLE) <= 0.3 AS passed FROM forum"""),
     "profile_nulls": _with("tweets", _profile()),
+    "null_rates_of_write": _with("forum", " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(*) AS row_count, count(*) - count({c}) AS null_count,
+            round((count(*) - count({c})) / CAST(count(*) AS DOUBLE), 4) AS null_fraction,
+            (count(*) - count({c})) / CAST(count(*) AS DOUBLE) <= 0.3 AS passed FROM forum"""
+        for c in ("id", "title", "selftext", "subreddit", "score", "num_comments", "created_utc", "url", "data_source"))),
+    "stream_closed_windows": _with("tok arrivals marks", """
+        SELECT keyword, s AS window_start, s + INTERVAL 1 DAY AS window_end, count(*) AS frequency, '24h' AS "window"
+        FROM (SELECT t.keyword, a.batch, time_bucket(INTERVAL 1 DAY, t."timestamp", TIMESTAMP '1970-01-01') AS s
+              FROM tok t JOIN arrivals a USING (id)) JOIN marks m USING (batch)
+        WHERE (m.watermark IS NULL OR s + INTERVAL 1 DAY > m.watermark)
+          AND s + INTERVAL 1 DAY <= (SELECT watermark FROM marks WHERE batch = 4)
+        GROUP BY ALL"""),
 }

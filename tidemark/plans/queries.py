@@ -114,6 +114,27 @@ def scan_jsonl(spark, sf):
     return files.load_raw_posts(spark, [*paths, paths[0] + "-missing-twitter"])
 
 
+@query
+def scan_jsonl_lenient(spark, sf):
+    """Raw folders in which one line in sixteen is cut off: posts kept, lines set apart, and which ones, by source."""
+    root = scratch_path(spark, "raw-cut")
+    made = {"twitter": B.raw_tweets, "reddit": B.raw_forum, "news": B.raw_news}
+    for name, make in made.items():
+        whole = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+        cut = F.concat(F.lit('{"id":"'), "id")
+        value = F.when(F.substring(F.md5(F.col("id").cast("binary")), 1, 1) == "0", cut).otherwise(whole)
+        make(spark, sf).select(value.alias("value")).write.text(f"{root}/source={name}")
+    bad = files.BadLines()
+    posts = files.load_raw_posts(spark, [f"{root}/source={name}" for name in made], bad_lines=bad, pattern="*.txt")
+    posts = materialize(posts, "lenient-posts")
+    bad.divert(f"{root}/rejected")
+    kept = posts.groupBy("source").agg(F.count("*").alias("posts"))
+    apart = files.read_parquet(spark, f"{root}/rejected").groupBy("source").agg(
+        F.count("*").alias("lines"), F.min("line").alias("first_line"), F.max("line").alias("last_line")
+    )
+    return kept.join(apart, "source", "full")
+
+
 @query
 def sink_jsonl(spark, sf):
     path = scratch_path(spark, "jsonl")
@@ -971,6 +992,14 @@ def profile_nulls(spark, sf):
     return quality.profile(B.raw_tweets(spark, sf))
 
 
+@query
+def null_rates_of_write(spark, sf):
+    """Null shares of the forum posts, counted by the job that writes them."""
+    seen = quality.watch(B.raw_forum(spark, sf), ["id"], "forum posts", max_fraction=0.3)
+    materialize(seen.frame, "watched")
+    return seen.report()
+
+
 # --- streaming -----------------------------------------------------------------------------
 
 
@@ -983,3 +1012,19 @@ def stream_window_freq(spark, sf):
     counted = streams.stream_window_frequency(posts, "24h", lateness="40 days")
     streams.run_available(counted, f"{root}/out", f"{root}/state")
     return streams.current_counts(spark, f"{root}/out")
+
+
+@query
+def stream_closed_windows(spark, sf):
+    """Daily counts of windows that the watermark has closed, from posts that arrive in four batches.
+
+    A post arrives with its week, or, one in nine, a week or two later. What comes more than two days behind the
+    newest post of the earlier batches and belongs to a closed day is dropped.
+    """
+    root = scratch_path(spark, "late")
+    posts = materialize(B.arrivals(spark, sf), "arrivals")
+    for batch in range(4):
+        posts.filter(F.col("batch") == batch).drop("batch").write.mode("append").parquet(f"{root}/in")
+        counted = streams.stream_window_frequency(streams.read_posts(spark, f"{root}/in"), "24h", lateness="2 days")
+        streams.run_available(counted, f"{root}/out", f"{root}/state", closed_only=True)
+    return streams.closed_counts(spark, f"{root}/out")

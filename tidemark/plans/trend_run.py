@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +15,11 @@ from tidemark.operators import anomaly, features, forecast, frequency, keywords,
 from tidemark.session import scratch
 from tidemark.sources import files
 
+log = logging.getLogger(__name__)
+
 # One folder per dataset, side by side: none is nested in another's layout.
 DATASETS = (
-    "processed", "frequency", "trends", "features", "anomalies", "predictions", "models", "keywords", "entities",
+    "processed", "frequency", "trends", "features", "anomalies", "predictions", "models", "keywords", "entities", "rejected",
 )
 
 
@@ -41,18 +44,29 @@ class TrendRun:
         """One day of a dataset kept by day; other days' folders are not opened."""
         return self.read(dataset).filter(F.col("dt") == F.lit(dt).cast("date")).drop("dt")
 
-    def _write(self, df: DataFrame, dataset: str) -> DataFrame:
-        files.write_parquet(df, self.path(dataset), "overwrite")
+    def _write(self, df: DataFrame, dataset: str, **expected) -> DataFrame:
+        """Write a table; what is expected of its rows is counted by the write itself."""
+        seen = quality.watch(df, context=dataset, **({"needs_rows": False} | expected))
+        files.write_parquet(seen.frame, self.path(dataset), "overwrite")
+        seen.settle()
         return self.read(dataset)
 
     def process(self, posts: DataFrame) -> DataFrame:
-        processed = self._write(normalize.process_posts(posts), "processed")
-        quality.require_rows(processed, "processed posts")
+        cleaned = normalize.process_posts(posts)
+        return self._write(
+            cleaned, "processed", required=schemas.struct(schemas.PROCESSED), null_checks=("text", "timestamp"), needs_rows=True
+        )
+
+    def process_raw(self, paths: Sequence[str], strict: bool = True) -> DataFrame:
+        """Process raw folders. Malformed lines fail the run, or, if it isn't strict, go to `rejected`."""
+        if strict:
+            return self.process(files.load_raw_posts(self.spark, paths))
+        bad = files.BadLines()
+        processed = self.process(files.load_raw_posts(self.spark, paths, bad_lines=bad))
+        if diverted := bad.divert(self.path("rejected")):
+            log.warning("%d malformed lines of the raw folders are in %s", diverted, self.path("rejected"))
         return processed
 
-    def process_raw(self, paths: Sequence[str]) -> DataFrame:
-        return self.process(files.load_raw_posts(self.spark, paths))
-
     def count(self, processed: DataFrame) -> DataFrame:
         events = keywords.token_events(processed)
         return self._write(frequency.keyword_frequency(events, self.windows), "frequency")
@@ -77,8 +91,8 @@ class TrendRun:
     ) -> tuple[DataFrame, DataFrame]:
         """Top keywords with their TF-IDF, and the entities of every post: of the dictionary
         (entity, label), or none without one."""
-        top = self._write(keywords.keyword_table(processed), "keywords")
-        quality.check(top, schemas.struct(schemas.KEYWORD_TABLE), "keywords")
+        table = keywords.keyword_table(processed)
+        top = self._write(table, "keywords", required=schemas.struct(schemas.KEYWORD_TABLE), needs_rows=True)
         if dictionary is None:
             none = F.array().cast(schemas.ENTITIES).alias("entities")
             tagged = processed.select("id", "source", "timestamp", none)
@@ -104,7 +118,9 @@ class TrendRun:
 
     def run(self, posts: DataFrame, dt: str) -> dict[str, DataFrame]:
         """All stages up to the features, as the daily batch does."""
-        processed = self.process(posts)
+        return self.run_processed(self.process(posts), dt)
+
+    def run_processed(self, processed: DataFrame, dt: str) -> dict[str, DataFrame]:
         frequency = self.count(processed)
         trends = self.detect(frequency)
         return {
@@ -121,6 +137,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("root", help="folder that holds one sub-folder per dataset")
     parser.add_argument("--dt", required=True, help="day of the snapshots, yyyy-MM-dd")
     parser.add_argument("--raw", nargs="+", default=[], help="raw JSON Lines folders to process first")
+    parser.add_argument("--lenient", action="store_true", help="set malformed raw lines apart instead of failing")
     parser.add_argument("--forecast", action="store_true", help="write the day's predictions")
     parser.add_argument("--seasonal", action="store_true", help="forecast with the seasonal model")
     parser.add_argument("--keywords", action="store_true", help="write the top keywords and the entities of the posts")
@@ -132,7 +149,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = SparkSession.builder.appName("tidemark").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     job = TrendRun(spark, args.root)
     if args.raw:
-        job.run(files.load_raw_posts(spark, args.raw), args.dt)
+        job.run_processed(job.process_raw(args.raw, strict=not args.lenient), args.dt)
     if args.keywords:
         dictionary = files.read_parquet(spark, args.dictionary) if args.dictionary else None
         job.extract_keywords(job.read("processed"), dictionary, args.longest)

@@ -44,6 +44,14 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts with the batch, 0 to 3, in which they arrive: every eight days one, and every ninth post one or two late."""
+    key = F.col("id").cast("bigint")
+    on_time = F.floor((F.unix_timestamp("timestamp") - EPOCH) / (8 * 86400))
+    delay = F.when(key % 9 == 0, 1 + key % 2).otherwise(0)
+    return posts(spark, sf_dir).withColumn("batch", F.least(on_time + delay, F.lit(3)).cast("int"))
+
+
 def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """English posts with clean text and tokens."""
     cleaned = (

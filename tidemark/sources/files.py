@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schemas
@@ -47,23 +47,67 @@ def read_jsonl(spark: SparkSession, paths: Sequence[str] | str, ddl: str, strict
     return reader.schema(kept).option("mode", "PERMISSIVE").json(paths)
 
 
-def load_raw_posts(spark: SparkSession, paths: Sequence[str], strict: bool = True) -> DataFrame:
+class BadLines:
+    """The malformed lines of a lenient load: counted by the job that consumes the posts, diverted on demand."""
+
+    def __init__(self) -> None:
+        self._reads: dict[str, tuple[DataFrame, Observation]] = {}
+
+    def pass_by(self, raw: DataFrame, source: str) -> DataFrame:
+        """The rows of well-formed lines; the others are counted on the way."""
+        counted, seen = self._counted(raw)
+        self._reads[source] = (raw, seen)
+        return counted.filter(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+
+    @staticmethod
+    def _counted(raw: DataFrame) -> tuple[DataFrame, Observation]:
+        """Whether a line is malformed hangs on the columns that are parsed, so every one goes into the counts."""
+        seen = Observation()
+        bad = F.count_if(F.col("_corrupt_record").isNotNull()).alias("bad")
+        return raw.observe(seen, bad, F.max(F.xxhash64(*[F.col(f"`{c}`") for c in raw.columns])).alias("parsed")), seen
+
+    def counts(self) -> dict[str, int]:
+        """Malformed lines of each source. Waits for the job that consumes the posts."""
+        return {source: seen.get["bad"] for source, (_, seen) in self._reads.items()}
+
+    def divert(self, path: str) -> int:
+        """Write (file, line, source) of the malformed lines, each source that has some in a folder of its own.
+
+        Only those sources are read once more. Returns how many lines there are; for none, nothing is written.
+        """
+        counts = self.counts()
+        for source, (raw, _) in self._reads.items():
+            if counts[source]:
+                counted, _ = self._counted(raw)
+                bad = counted.filter(F.col("_corrupt_record").isNotNull())
+                rows = bad.select(F.col("_metadata.file_path").alias("file"), F.col("_corrupt_record").alias("line"))
+                rows.write.mode("overwrite").parquet(f"{path}/source={source}")
+        return sum(counts.values())
+
+
+def load_raw_posts(
+    spark: SparkSession, paths: Sequence[str], strict: bool = True, bad_lines: BadLines | None = None,
+    pattern: str = "*.{json,jsonl}",
+) -> DataFrame:
     """All raw post folders as unified posts.
 
-    Folders that are missing or hold no `.json` or `.jsonl` file are skipped; none left is an error.
+    Folders that are missing or hold no file of the pattern are skipped; none left is an error.
     All folders of a source are one read, so a year of daily folders plans no more than three scans.
     With `strict=False` a malformed line becomes a post without text and is dropped like every such
-    post; `read_jsonl` shows those lines.
+    post. With `bad_lines` no line fails the load either: malformed ones are counted there, in passing,
+    and can be diverted to a folder once the posts have been consumed.
     """
-    patterns = {path: f"{path.rstrip('/')}/*.{{json,jsonl}}" for path in paths}
+    patterns = {path: f"{path.rstrip('/')}/{pattern}" for path in paths}
     held = [path for path, pattern in patterns.items() if path_exists(spark, pattern)]
     if skipped := sorted(patterns.keys() - set(held)):
-        log.warning("no JSON Lines files in %s, skipped", ", ".join(skipped))
+        log.warning("no raw files in %s, skipped", ", ".join(skipped))
     if not held:
         raise RuntimeError("none of the raw paths holds data")
     frames = []
     for source, folders in by_source(held).items():
-        raw = read_jsonl(spark, [patterns[path] for path in folders], RAW_SCHEMAS[source], strict)
+        raw = read_jsonl(spark, [patterns[path] for path in folders], RAW_SCHEMAS[source], strict and bad_lines is None)
+        if bad_lines is not None:
+            raw = bad_lines.pass_by(raw, source)
         frames.append(to_posts(raw, source))
     return unify(frames)
 

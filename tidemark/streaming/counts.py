@@ -33,24 +33,43 @@ def stream_window_frequency(
     )
 
 
-def run_available(counts: DataFrame, path: str, checkpoint: str) -> None:
+def run_available(counts: DataFrame, path: str, checkpoint: str, closed_only: bool = False) -> list[dict]:
     """Process what is there and stop; each batch writes the counts it changed.
 
     A batch overwrites its own folder only, so a batch repeated after a failure leaves the same
-    table.
+    table. With `closed_only` a window is written once, by the batch after which the watermark has passed
+    its end, and its state is released then; windows still open at the end stay in the checkpoint for
+    the next run. Returns the progress of each batch: its number, watermark, rows dropped as late, rows held
+    in state. (Late rows are counted after they were combined by task, window and keyword.)
     """
 
     def write(changed: DataFrame, batch: int) -> None:
         changed.write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
     run = (
-        counts.writeStream.outputMode("update")
+        counts.writeStream.outputMode("append" if closed_only else "update")
         .foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     run.awaitTermination()
+    return [_told(progress) for progress in run.recentProgress]
+
+
+def _told(progress) -> dict:
+    states = progress.stateOperators
+    return {
+        "batch": progress.batchId,
+        "watermark": progress.eventTime.get("watermark"),
+        "late": sum(s.numRowsDroppedByWatermark for s in states),
+        "open": sum(s.numRowsTotal for s in states),
+    }
+
+
+def closed_counts(spark: SparkSession, path: str) -> DataFrame:
+    """The counts of all windows that `run_available(..., closed_only=True)` has closed: each stands there once."""
+    return spark.read.parquet(path).drop("batch")
 
 
 def current_counts(spark: SparkSession, path: str, compacted: str | None = None) -> DataFrame:
