@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.helpers import hour
 from tidemark import schemas
-from tidemark.operators import features, frequency, keywords, normalize, signals
+from tidemark.operators import features, forecast, frequency, keywords, normalize, signals
 from tidemark.plans import trend_run
 from tidemark.plans.queries import CATALOGUE
 from tidemark.plans.trend_run import TrendRun
@@ -187,3 +187,56 @@ def test_compacted_stream_counts(spark, tmp_path):
     assert plan(streams.current_counts(spark, out, small)).count("PartitionFilters: [isnotnull(batch") == 1
     assert streams.compact(spark, out, smaller, small) == 10
     assert counts(smaller) == {"a": 3, "b": 6, "c": 1}
+
+
+def test_linear_forecast_takes_no_window(spark):
+    """A series collapses by aggregates alone, before the limit; a table that is kept by keyword isn't dealt anew."""
+    empty = spark.createDataFrame([], "keyword string, ts timestamp, y double, trend_label string")
+    for points in (empty, empty.repartition("keyword")):
+        text = plan(forecast.linear(points, 20))
+        assert "Window" not in text and "Join" not in text
+        assert text.count("Exchange hashpartitioning") == (2 if points is empty else 1), text
+
+
+def test_forecast_of_events_rolls_up_candidates_only(spark, sf):
+    """Candidates are ranked on the base counts, whose exchange is reused, and meet them before the roll-up."""
+    made = forecast.forecast_of_events(B.event_mentions(spark, sf), 3)
+    text = plan(made)
+    assert text.count("FileScan") == 2  # the second is gone once the exchange is reused
+    made.collect()
+    final = plan(made).split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+    whole = forecast.forecast_linear(features.features_of_events(B.event_mentions(spark, sf)), 3)
+    assert sorted(map(str, whole.collect())) == sorted(map(str, made.collect()))
+
+
+def test_latest_points_of_long_series(spark):
+    """Points that lie in different stretches, fewer and more than the buffer holds."""
+    rows = [(k, hour(24 * 17 * i), float(i * i % 7), "viral" if i % 2 else None) for k, n in (("a", 40), ("b", 3), ("c", 1)) for i in range(n)]
+    points = spark.createDataFrame(rows, "keyword string, ts timestamp, y double, trend_label string")
+    got = {r["keyword"]: r for r in forecast._ends(points, 5).collect()}
+    for key, n in (("a", 40), ("b", 3), ("c", 1)):
+        own = [r for r in rows if r[0] == key]
+        last = own[-5:]
+        delta = (last[-1][2] - last[0][2]) / (len(last) - 1) if len(last) > 1 else 0.0
+        label = [r[3] for r in own if r[3]]
+        assert tuple(got[key])[1:] == (last[-1][1], last[-1][2], delta, label[-1] if label else "stable", sum(r[2] for r in own))
+
+
+def test_closed_windows_are_written_once_without_late_posts(spark, tmp_path):
+    src, out, state = (str(tmp_path / x) for x in ("in", "out", "state"))
+
+    def run(*posts):
+        rows = [(str(i), "storm", at, "s", 0, "en") for i, at in enumerate(posts)]
+        spark.createDataFrame(rows, streams.POST_DDL).coalesce(1).write.mode("append").parquet(src)
+        counted = streams.stream_window_frequency(streams.read_posts(spark, src), "1h", lateness="2 hours")
+        return streams.run_available(counted, out, state, closed_only=True)
+
+    told = run(hour(0), hour(1), hour(5))
+    assert told[-1]["late"] == 0 and told[-1]["watermark"].startswith("2024-01-01T03:00")
+    assert {r["window_start"].hour: r["frequency"] for r in streams.closed_counts(spark, out).collect()} == {0: 1, 1: 1}
+    told = run(hour(1), hour(4), hour(5), hour(8))  # the first belongs to a closed hour
+    assert sum(t["late"] for t in told) == 1 and told[-1]["open"] == 1
+    told = run(hour(20))
+    got = sorted((r["window_start"].hour, r["frequency"]) for r in streams.closed_counts(spark, out).collect())
+    assert got == [(0, 1), (1, 1), (4, 1), (5, 2), (8, 1)]

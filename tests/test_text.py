@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark import settings as S
 from tidemark.functions import text
-from tidemark.operators import keywords, normalize
+from tidemark.operators import entities, keywords, normalize
 
 TEXTS = [
     "Hello WORLD! see https://a.b/c?d=1 now",
@@ -112,7 +113,7 @@ def test_entities_in_text_order(spark):
     )
     got = {
         r["id"]: [(e["entity"], e["label"]) for e in r["entities"]]
-        for r in keywords.tag_entities(docs, words, 2, ("id", "source")).collect()
+        for r in entities.tag_entities(docs, words, 2, ("id", "source")).collect()
     }
     assert got["1"] == [
         ("new york", "GPE"), ("york", "PERSON"), ("boston", "GPE"), ("new york", "GPE"), ("york", "PERSON"),
@@ -125,9 +126,40 @@ def test_entities_keep_rows_with_null_and_repeated_keys(spark):
     docs = spark.createDataFrame(rows, "id string, source string, clean_text string")
     labels = [("france", "GPE"), ("spain", "ORG"), ("from", "PERSON"), ("in france", "EVENT")]
     words = spark.createDataFrame(labels, "entity string, label string")
-    got = keywords.tag_entities(docs, words, 2, ("id", "source")).collect()
+    got = entities.tag_entities(docs, words, 2, ("id", "source")).collect()
     found = sorted((str(r["id"]), str(r["source"]), [e["label"] for e in r["entities"]]) for r in got)
     assert found == [
         ("1", "None", ["EVENT", "GPE"]), ("1", "None", ["PERSON", "ORG"]), ("1", "s", []),
         ("None", "s", []), ("None", "s", ["GPE", "GPE"]),
     ]
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 400, 30])
+def test_entities_equal_every_run_joined_to_the_dictionary(spark, block_bytes):
+    rng = random.Random(4)
+    words = ["ab", "cd", "ef", "gh", "é"]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 40))) + rng.choice(["", " ", "\n ab", "\u00a0ab"]) for _ in range(80)]
+    dictionary = [(" ".join(rng.choices(words, k=rng.randint(1, 4))), rng.choice(["PERSON", "ORG", "GPE", "EVENT"])) for _ in range(60)]
+    dictionary += [(None, "ORG"), ("ab", None), ("", "ORG"), ("ab  cd", "ORG"), (" ab", "ORG"), ("ab", "ORG"), ("ab", "ORG")]
+    rows = [(None if k % 9 == 0 else k, None, t) for k, t in enumerate(texts)] + [(1, None, None), (1, None, "")]
+    docs = spark.createDataFrame([(*r, "clash") for r in rows], "id int, timestamp timestamp, clean_text string, entity string")
+    got = entities.tag_entities(
+        docs, spark.createDataFrame(dictionary, "entity string, label string"), 3, ("id", "timestamp"), block_bytes
+    ).collect()
+    want = []
+    for key, _, text in rows:
+        parts = re.split(r"[ \t\n\x0b\f\r]+", text or "")
+        parts = [p for p in parts if p]
+        runs = [(i, " ".join(parts[i : i + n])) for i in range(len(parts)) for n in (1, 2, 3) if i + n <= len(parts)]
+        found = sorted((i, run, label) for i, run in runs for entity, label in dictionary if entity == run and label is not None)
+        want.append((str(key), [(run, label) for _, run, label in found]))
+    assert sorted((str(r["id"]), [tuple(e) for e in r["entities"]]) for r in got) == sorted(want)
+
+
+def test_entities_take_no_exchange(spark):
+    docs = spark.range(10).select("id", F.lit("in new york").alias("clean_text"))
+    words = spark.createDataFrame([("new york", "GPE")], "entity string, label string")
+    plan = entities.tag_entities(docs, words, 2, ("id",))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and "Generate" not in plan
+    none = entities.tag_entities(docs, words.limit(0), 2, ("id",))
+    assert none.count() == 10 and none.filter("size(entities) > 0").isEmpty()

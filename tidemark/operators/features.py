@@ -94,10 +94,11 @@ def features_of_trends(global_trends: DataFrame) -> DataFrame:
     return _finish(global_trends.groupBy(*_key()).agg(*counts, *_metrics(), diversity))
 
 
-def features_of_events(events: DataFrame, **params) -> DataFrame:
+def features_of_events(events: DataFrame, top: int | None = None, **params) -> DataFrame:
     """Feature table straight from keyword events; parameters go to `detect_trends`.
 
     Four exchanges: base counts, per-source series, counts over all sources, and keyword. The
-    last serves the window functions and the final aggregation alike.
+    last serves the window functions and the final aggregation alike. With `top` the table holds only the `top`
+    keywords with the most mentions.
     """
-    return features_of_trends(detect_trends(with_source_counts(events), **params))
+    return features_of_trends(detect_trends(with_source_counts(events, top=top), **params))

@@ -13,9 +13,12 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark import settings as S
 from tidemark.functions.numbers import clamp
+from tidemark.operators.features import features_of_events
 from tidemark.operators.normalize import align
 
 HOUR = "INTERVAL 1 HOUR"
+#: Days whose points share a buffer.
+CHUNK = 30
 
 
 def candidates(features: DataFrame, n: int = S.TOP_FORECAST_KEYWORDS) -> DataFrame:
@@ -47,6 +50,31 @@ def _steps(hours: int) -> Column:
     return F.explode(F.sequence(F.lit(1), F.lit(hours))).alias("step")
 
 
+def _ends(points: DataFrame, recent: int) -> DataFrame:
+    """One row a series: its latest `recent` points' ends and mean step, its last known label, its total.
+
+    The latest points gather in a buffer that is cut to `recent` for every stretch of CHUNK days and again over the
+    stretches, so a buffer holds no more points than a stretch has hours, or `recent` a stretch.
+    """
+    stretch = F.floor(F.unix_seconds("ts") / (CHUNK * 86400)).alias("stretch")
+    newest = lambda buffer: F.slice(F.sort_array(buffer, asc=False), 1, recent)
+    known = F.when(F.col("trend_label").isNotNull(), F.col("ts"))
+    parts = points.groupBy("keyword", stretch).agg(
+        newest(F.collect_list(F.struct("ts", "y"))).alias("points"),
+        F.max(F.when(known.isNotNull(), F.struct(known.alias("ts"), "trend_label"))).alias("label"),
+        F.sum("y").alias("total"),
+    )
+    series = parts.groupBy("keyword").agg(
+        newest(F.flatten(F.collect_list("points"))).alias("points"), F.max("label").alias("label"), F.sum("total").alias("total")
+    )
+    last, first, count = F.col("points")[0], F.element_at("points", -1), F.size("points")
+    return series.select(
+        "keyword", last["ts"].alias("last_ts"), last["y"].alias("last_y"),
+        F.when(count > 1, (last["y"] - first["y"]) / (count - 1)).otherwise(F.lit(0.0)).alias("delta"),
+        F.coalesce("label.trend_label", F.lit("stable")).alias("trend_class"), "total",
+    )
+
+
 def linear(
     points: DataFrame,
     n: int | None = None,
@@ -60,26 +88,7 @@ def linear(
     to one row before the forecast hours are generated. Everything is kept by keyword: a feature
     table that already is needs no further exchange, and ranking takes no join.
     """
-    series = Window.partitionBy("keyword")
-    known = F.when(F.col("trend_label").isNotNull(), F.col("ts"))
-    rows = points.select(
-        "keyword",
-        "ts",
-        "y",
-        F.max_by("trend_label", known).over(series).alias("label"),
-        F.sum("y").over(series).alias("total"),
-        F.row_number().over(series.orderBy(F.desc("ts"))).alias("age"),
-    )
-    count = F.count("*")
-    ends = rows.filter(F.col("age") <= recent).groupBy("keyword").agg(
-        F.max("ts").alias("last_ts"),
-        F.max_by("y", "ts").alias("last_y"),
-        F.when(count > 1, (F.max_by("y", "ts") - F.min_by("y", "ts")) / (count - 1))
-        .otherwise(F.lit(0.0))
-        .alias("delta"),
-        F.coalesce(F.max("label"), F.lit("stable")).alias("trend_class"),
-        F.max("total").alias("total"),
-    )
+    ends = _ends(points, recent)
     if n is not None:
         ends = ends.orderBy(F.desc("total"), "keyword").limit(n)
     yhat = F.greatest(F.col("last_y") + F.col("delta") * F.col("step"), F.lit(0.0))
@@ -129,6 +138,12 @@ def forecast_linear(
     return predictions(linear(_points(features), n, hours), hours)
 
 
+def forecast_of_events(events: DataFrame, n: int = S.TOP_FORECAST_KEYWORDS, hours: int = S.FORECAST_HOURS) -> DataFrame:
+    """The same straight from keyword events: features are derived for the n candidates only."""
+    return forecast_linear(features_of_events(events, top=n), n, hours)
+
+
+
 # --- seasonal regression -------------------------------------------------------------------
 
 # Order of the Fourier terms per season, ridge strength, width of the band.

@@ -139,9 +139,23 @@ def frequency_halves(
     )
 
 
-def with_source_counts(events: DataFrame, labels: Sequence[str] = S.WINDOWS) -> DataFrame:
-    """Global counts that also carry the number of `sources` behind each, kept by keyword."""
-    rolled = roll_up(base_counts(events, _grain(labels, 1.0)), labels, 1.0, ["keyword", "source"])
+def most_mentioned(counts: DataFrame, n: int) -> DataFrame:
+    """The n keywords with the highest sums of `frequency`; equal sums in keyword order."""
+    totals = counts.groupBy("keyword").agg(F.sum("frequency").alias("total_freq"))
+    return totals.orderBy(F.desc("total_freq"), "keyword").limit(n)
+
+
+def with_source_counts(events: DataFrame, labels: Sequence[str] = S.WINDOWS, top: int | None = None) -> DataFrame:
+    """Global counts that also carry the number of `sources` behind each, kept by keyword.
+
+    With `top` only those of the `top` most mentioned keywords: they are found from the same base counts, whose
+    exchange Spark reuses, and nothing else is rolled up. A null keyword is no candidate.
+    """
+    counts = base_counts(events if top is None else events.filter(F.col("keyword").isNotNull()), _grain(labels, 1.0))
+    if top is not None:
+        # Not a semi-join, which Spark would push below the counting; nor may only one side drop null keywords
+        counts = counts.join(most_mentioned(counts, top).select("keyword"), "keyword")
+    rolled = roll_up(counts, labels, 1.0, ["keyword", "source"])
     merged = (
         rolled.groupBy("keyword", "label", "start")
         .agg(F.sum("frequency").alias("frequency"), F.count("*").alias("sources"))

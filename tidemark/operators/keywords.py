@@ -1,4 +1,4 @@
-"""Keyword events, top keywords, TF-IDF and dictionary entities."""
+"""Keyword events, top keywords and TF-IDF."""
 
 from __future__ import annotations
 
@@ -114,38 +114,3 @@ def hashed_tfidf(
     )
     model = IDF(inputCol="tf", outputCol="tfidf", minDocFreq=min_doc_freq).fit(counts.select("tf"))
     return model.transform(counts).select("id", "tfidf")
-
-
-def word_runs(words: str, longest: int) -> Column:
-    """Array of (words from a position on), one field per word, null past the end."""
-    shifted = [F.col(words)] + [F.slice(words, n, F.size(words)) for n in range(2, longest + 1)]
-    return F.arrays_zip(*[w.alias(f"w{n}") for n, w in enumerate(shifted, 1)])
-
-
-def tag_entities(
-    processed: DataFrame,
-    dictionary: DataFrame,
-    longest: int = 1,
-    keys: tuple[str, ...] = ("id", "source", "timestamp"),
-) -> DataFrame:
-    """Entities of every document, in text order; documents without any keep an empty array.
-
-    Runs of 1 to `longest` words are matched against the dictionary (entity, label) by a left join
-    without hint, which Spark broadcasts or shuffles by size and splits at hot runs. The runs of a
-    row meet again under a number of the row, so each row comes back once: null keys and rows that
-    repeat their keys stay apart, and a row without words or hits goes the same way.
-    """
-    words = F.filter(F.split(F.coalesce("clean_text", F.lit("")), r"\s+"), lambda w: w != "")
-    split = processed.select(*keys, words.alias("_words")).withColumn("_row", F.monotonically_increasing_id())
-    runs = split.select("_row", *keys, F.posexplode_outer(word_runs("_words", longest)).alias("_pos", "_run"))
-    fields = [F.col("_run")[f"w{n}"] if longest > 1 else F.col("_run")["w1"] for n in range(1, longest + 1)]
-    entities = [
-        F.when(fields[n - 1].isNotNull(), F.concat_ws(" ", *fields[:n])) for n in range(1, longest + 1)
-    ]
-    each = runs.select("_row", *keys, "_pos", F.explode(F.array(*entities)).alias("entity"))
-    each = each.filter(F.col("entity").isNotNull() | F.col("_pos").isNull())
-    hit = F.when(F.col("label").isNotNull(), F.struct("_pos", "entity", "label"))
-    found = each.join(dictionary, "entity", "left").groupBy("_row", *keys)
-    found = found.agg(F.array_sort(F.collect_list(hit)).alias("hits"))
-    entities_of = F.transform("hits", lambda h: F.struct(h["entity"].alias("entity"), h["label"].alias("label")))
-    return found.select(*keys, entities_of.cast(schemas.ENTITIES).alias("entities"))

@@ -208,11 +208,14 @@ _cte("unified", "npost_t npost_f npost_n", """
 _cte("entries", "", f"""
     SELECT page_id, {_TITLE} AS title, {_HOST} AS source, url AS link, html AS summary, {_at('page_id')} AS moment,
            page_id % 5 AS k FROM pages""")
-_cte("dict", "", f"""
+_cte("items", "", f"""
+    SELECT list_filter(regexp_split_to_array({_clean('text')}, '\\s+'), lambda x: x <> '') AS w FROM benchmark""")
+_cte("dict", "items", """
     SELECT DISTINCT * FROM (
       SELECT lower(n_name) AS entity, 'GPE' AS label FROM nation UNION ALL SELECT lower(r_name), 'GPE' FROM region UNION ALL
-      SELECT w, 'EVENT' FROM (SELECT unnest(regexp_split_to_array({_clean('text')}, '\\s+')) AS w FROM benchmark)
-      WHERE regexp_full_match(w, '[a-z]{{8,}}'))""")
+      SELECT w, 'EVENT' FROM (SELECT unnest(w) AS w FROM items) WHERE regexp_full_match(w, '[a-z]{8,}') UNION ALL
+      SELECT w[1] || ' ' || w[2], 'PERSON' FROM items WHERE len(w) > 1 UNION ALL
+      SELECT w[-2] || ' ' || w[-1], 'ORG' FROM items WHERE len(w) > 1)""")
 _cte("runs", "cleaned", """
     SELECT id, unnest(range(1, len(ws) + 1)) AS pos, unnest(ws) AS entity FROM
       (SELECT id, list_filter(regexp_split_to_array(clean_text, '\\s+'), lambda x: x <> '') AS ws FROM cleaned)""")
@@ -495,7 +498,8 @@ ORACLES: dict[str, str] = {
     "top_keywords": _with("top500", "SELECT * FROM top500"),
     "tfidf_keywords": _with("tfidf", "SELECT * FROM tfidf"),
     "keyword_table": _with("top500 tfidf", "SELECT keyword, frequency, avg_tfidf_score FROM top500 LEFT JOIN tfidf USING (keyword)"),
-    "tag_entities": _with("tagged cleaned", """SELECT id, source, "timestamp", coalesce(entities, '') AS entities
+    "tag_entities": _with("tagged cleaned", """SELECT id, source,
+        CASE WHEN id::BIGINT % 11 <> 0 THEN "timestamp" END AS "timestamp", coalesce(entities, '') AS entities
         FROM cleaned LEFT JOIN tagged USING (id)"""),
     # anomalies
     "impute_features": _with("filled", "SELECT * REPLACE (floor(z_score_1h * 1e6 + 0.5) / 1e6 AS z_score_1h) FROM filled"),
@@ -515,6 +519,7 @@ ORACLES: dict[str, str] = {
         FROM feat JOIN zflag USING (keyword, "timestamp") JOIN iqrflag USING (keyword, "timestamp")"""),
     # forecasts
     "forecast_candidates": _with("cand", "SELECT * FROM cand"),
+    "forecast_linear_stored": _with("pred20", f"SELECT {_PRED_COLUMNS} FROM pred20"),
     "forecast_linear": _with("pred20", f"SELECT {_PRED_COLUMNS} FROM pred20"),
     "forecast_model_check": _with("feat", """
         SELECT keyword, max_by(trend_label, "timestamp") AS trend_class, max("timestamp") AS last_ts,

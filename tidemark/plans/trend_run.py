@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark import settings as S
-from tidemark.operators import anomaly, features, forecast, frequency, keywords, normalize, quality, signals
+from tidemark.operators import anomaly, entities, features, forecast, frequency, keywords, normalize, quality, signals
 from tidemark.session import scratch
 from tidemark.sources import files
 
@@ -97,7 +97,7 @@ class TrendRun:
             none = F.array().cast(schemas.ENTITIES).alias("entities")
             tagged = processed.select("id", "source", "timestamp", none)
         else:
-            tagged = keywords.tag_entities(processed, dictionary, longest)
+            tagged = entities.tag_entities(processed, dictionary, longest)
         return top, self._write(tagged, "entities")
 
     def find_anomalies(self, feature_table: DataFrame, dt: str, method: str = "isolation_forest", **params) -> DataFrame:

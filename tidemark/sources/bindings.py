@@ -7,6 +7,8 @@ types for denser keyword series. Post times come from the row's key, spread over
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -203,14 +205,20 @@ def nested_tweets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def entity_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(entity, label): nation and region names, and the long words of the benchmark items."""
+    """(entity, label): nation and region names, and of the benchmark items the long words, the first and the last two."""
     places = [
         table(spark, sf_dir, name).select(F.lower(column).alias("entity"), F.lit("GPE").alias("label"))
         for name, column in (("nation", "n_name"), ("region", "r_name"))
     ]
-    words = table(spark, sf_dir, "benchmark").select(F.explode(text.words(F.col("text"))).alias("entity"))
-    events = words.filter(F.col("entity").rlike("^[a-z]{8,}$")).select("entity", F.lit("EVENT").alias("label"))
-    return places[0].union(places[1]).union(events).distinct()
+    items = table(spark, sf_dir, "benchmark").select(F.filter(F.split(text.clean(F.col("text")), " "), lambda w: w != "").alias("w"))
+    events = items.select(F.explode("w").alias("entity")).filter(F.col("entity").rlike("^[a-z]{8,}$"))
+    pairs = items.filter(F.size("w") > 1)
+    return reduce(DataFrame.union, [
+        *places,
+        events.select("entity", F.lit("EVENT")),
+        pairs.select(F.array_join(F.slice("w", 1, 2), " "), F.lit("PERSON")),
+        pairs.select(F.array_join(F.slice("w", -2, 2), " "), F.lit("ORG")),
+    ]).distinct()
 
 
 # Written alike in Spark and in the SQL oracle: a hand-typed trend table out of the events.
