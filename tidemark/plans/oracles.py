@@ -588,6 +588,14 @@ ORACLES: dict[str, str] = {
     "related_cooccurrence_joined": _with("terms", """SELECT keyword, count(*) AS documents FROM terms
         WHERE keyword <> 'ing' AND id IN (SELECT id FROM terms WHERE keyword = 'ing')
         GROUP BY keyword ORDER BY documents DESC, keyword LIMIT 20"""),
+    "related_edges": _with("terms", """
+        SELECT keyword, related, documents, CAST(rank AS INTEGER) AS rank FROM (
+            SELECT a.keyword, b.keyword AS related, count(*) AS documents,
+                row_number() OVER (PARTITION BY a.keyword ORDER BY count(*) DESC, b.keyword) AS rank
+            FROM (SELECT id, keyword FROM terms SEMI JOIN tracked USING (keyword)) a
+            JOIN (SELECT id, keyword FROM terms SEMI JOIN tracked USING (keyword)) b ON a.id = b.id AND a.keyword <> b.keyword
+            GROUP BY a.keyword, b.keyword) WHERE rank <= 6""".replace("tracked", """
+                (SELECT keyword FROM terms GROUP BY keyword ORDER BY count(*) DESC, keyword LIMIT 500)""")),
     "distinct_labels": _with("board", "SELECT DISTINCT trend_label FROM board"),
     "latest_per_keyword": _with("board", f"""SELECT {_BOARD_COLUMNS} FROM
         (SELECT *, row_number() OVER (PARTITION BY keyword ORDER BY "timestamp" DESC, "window" DESC, source DESC) AS rn

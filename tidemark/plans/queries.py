@@ -12,7 +12,7 @@ from tidemark import schemas
 from tidemark import settings as S
 from tidemark.functions import text, times
 from tidemark.operators import (
-    anomaly, board, entities, features, forecast, frequency, keywords, normalize, outlook, quality, signals, upload,
+    anomaly, board, entities, features, forecast, frequency, keywords, normalize, outlook, quality, related, signals, upload,
 )
 from tidemark.session import materialize, scratch_path
 from tidemark.sources import bindings as B
@@ -833,6 +833,13 @@ def related_cooccurrence(spark, sf):
     return board.related_in_texts(docs, FOCUS[0], 20)
 
 
+@query
+def related_edges(spark, sf):
+    """The six closest keywords of each of the 500 keywords found in most posts."""
+    docs = normalize.english(B.posts(spark, sf)).select(text.words(F.col("text")).alias("words"))
+    return related.related_edges(docs)
+
+
 @query
 def related_cooccurrence_joined(spark, sf):
     """The same from keyword events joined on their document."""
