@@ -21,9 +21,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import texts
+from tidemark.llm.sampling import drawn
+from tidemark.session import materialize
 
-#: Documents that teach, over all languages.
+#: Documents that teach, over all languages, and languages that are learnt, at most.
 SAMPLE_ROWS = 2000
+MOST_LANGUAGES = 200
 BUCKETS = 1 << 12
 SIZES = (2, 3)
 RIDGE = 1e-2
@@ -118,34 +121,32 @@ def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
-def train(docs: DataFrame, rows: int = SAMPLE_ROWS) -> Model | None:
+def train(docs: DataFrame, rows: int = SAMPLE_ROWS, most_languages: int = MOST_LANGUAGES) -> Model | None:
     """A model of the documents' lang, from `rows` of them at most, in equal numbers for each language.
 
-    Rows without lang or without a letter don't teach. Which ones do depends on hashes of their text alone.
-    None if nothing teaches.
+    Rows without lang or without a letter don't teach, and of more than `most_languages` values of lang those with
+    the most distinct texts do. Copies of a text teach once, and a language of copies alone is learnt from that one.
+    Which texts teach depends on their hashes alone, not on how the table lies. None if nothing teaches.
     """
     usable = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    usable = usable.filter(F.col("lang").isNotNull() & has_letter(F.col("text")))
-    sizes = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not sizes:
+    usable = usable.filter(F.col("lang").isNotNull() & has_letter(F.col("text"))).withColumn("text_hash", F.xxhash64("text"))
+    languages = min(usable.select("lang").distinct().count(), most_languages)
+    if not languages:
         return None
-    each = max(1, rows // len(sizes))
-    # A hash below the language's share of the 31-bit range picks about `each` rows of it
-    shares = F.create_map(*[F.lit(v) for lang, n in sizes.items() for v in (lang, min(1.0, each / n))])
-    drawn = usable.filter((F.pmod(F.xxhash64("text"), F.lit(1 << 31)) / float(1 << 31)) < shares[F.col("lang")])
+    chosen = drawn(usable.select("lang", "text_hash"), "lang", ["text_hash"], max(1, rows // languages), languages)
+    chosen = materialize(chosen.select("lang", "text_hash"), "language-sample")  # the texts themselves stay in place
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = [features(t).tobytes() for t in texts(batch["text"])]
             yield pa.RecordBatch.from_arrays([batch["lang"], pa.array(x, pa.binary())], names=["lang", "x"])
 
-    sample = drawn.mapInArrow(run, "lang string, x binary").limit(2 * rows).toPandas()
+    taught = usable.join(chosen, ["lang", "text_hash"]).select("lang", "text").distinct()
+    sample = taught.mapInArrow(run, "lang string, x binary").toPandas()
     sample = sample.sort_values(["lang", "x"], ignore_index=True)
-    if sample.empty:
-        return None
-    languages = sorted(set(sample["lang"]))
+    known = sorted(set(sample["lang"]))
     x = np.stack([np.frombuffer(v, np.float32) for v in sample["x"]])
-    return train_on(x, np.array([languages.index(v) for v in sample["lang"]]), languages)
+    return train_on(x, np.array([known.index(v) for v in sample["lang"]]), known)
 
 
 def predicted(model: Model | None, text: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontam, langid, negatives, packing, pii, prefix_trie, quality, rules, simhash, substrings, token_counts, toxicity, warc
-from tidemark.llm.common import table
+from tidemark.llm.common import fresh, table
 from tidemark.llm.oracles import ORACLES
 from tidemark.session import materialize, scratch_path
 
@@ -46,15 +46,17 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     first, second = "byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken"
     moved = F.coalesce(F.regexp_extract("source", "([0-9]+)$", 1).try_cast("long") % 2 == 0, F.lit(False))
     gone = ~F.coalesce(F.col("text").rlike(r"\p{Ll}"), F.lit(False))
-    docs = table(spark, sf_dir, "documents").select("*", moved.alias("_moved"), gone.alias("_gone"))
-    old = materialize(token_counts.counted(docs, first, "_moved", "_gone"), "op4-first")
-    new = materialize(token_counts.counted(docs.filter("_moved"), second, "_gone"), "op4-second")
+    docs = table(spark, sf_dir, "documents")
+    moves, goes = fresh(docs, "_moved"), fresh(docs, "_gone")
+    docs = docs.withColumns({moves: moved, goes: gone})
+    old = materialize(token_counts.counted(docs, first, moves, goes), "op4-first")
+    new = materialize(token_counts.counted(docs.filter(F.col(moves)), second, goes), "op4-second")
     root = scratch_path(spark, "op4-totals")
     for _ in range(2):
         token_counts.commit(spark, root, "load", token_counts.inserts(old))
-    token_counts.commit(spark, root, "revision", token_counts.revisions(old.filter("_moved"), new))
-    current = old.filter("NOT _moved").select(*new.columns).unionByName(new)
-    token_counts.commit(spark, root, "withdrawal", token_counts.deletes(current.filter("_gone")))
+    token_counts.commit(spark, root, "revision", token_counts.revisions(old.filter(F.col(moves)), new))
+    current = old.filter(~F.col(moves)).select(*new.columns).unionByName(new)
+    token_counts.commit(spark, root, "withdrawal", token_counts.deletes(current.filter(F.col(goes))))
     return token_counts.totals(spark, root)
 
 

@@ -15,10 +15,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.sampling import SPAN
 from tidemark.llm.textstats import ratios, text_statistics
+from tidemark.session import materialize
 
-#: Labelled rows that teach, at most; those with the smallest hashes of their statistics.
+#: Labelled rows that teach, about; those with the smallest hashes of their statistics.
 SAMPLE_ROWS = 20_000
+#: Defaults of what bounds a list: rules, conditions of a rule, thresholds that are tried for each feature.
 MAX_RULES = 16
 MAX_CONDITIONS = 5
 CUTS = 48
@@ -61,7 +64,7 @@ def covered(conditions, x: dict[str, np.ndarray], n: int) -> np.ndarray:
     return keep
 
 
-def _best(x: dict[str, np.ndarray], bad: np.ndarray, inside: np.ndarray) -> tuple[float, Condition | None]:
+def _best(x: dict[str, np.ndarray], bad: np.ndarray, inside: np.ndarray, tried: int) -> tuple[float, Condition | None]:
     """The condition with the highest gain among the rows inside."""
     p0, n0 = int((inside & bad).sum()), int((inside & ~bad).sum())
     before = np.log2(p0 / (p0 + n0))
@@ -70,7 +73,7 @@ def _best(x: dict[str, np.ndarray], bad: np.ndarray, inside: np.ndarray) -> tupl
         values = x[name][inside]
         marks = bad[inside]
         # Thresholds between neighbouring quantiles of the bad rows and of all rows inside
-        ranks = np.linspace(0, 1, CUTS)
+        ranks = np.linspace(0, 1, tried)
         edges = np.unique(np.concatenate([np.quantile(values, ranks), np.quantile(values[marks], ranks)]))
         cuts = (edges[:-1] + edges[1:]) / 2
         if not len(cuts):
@@ -87,21 +90,27 @@ def _best(x: dict[str, np.ndarray], bad: np.ndarray, inside: np.ndarray) -> tupl
     return found
 
 
-def learn(x: dict[str, np.ndarray], bad: np.ndarray, part: np.ndarray) -> list[Rule]:
+def learn(
+    x: dict[str, np.ndarray], bad: np.ndarray, part: np.ndarray,
+    most_rules: int = MAX_RULES, most_conditions: int = MAX_CONDITIONS, cuts: int = CUTS,
+) -> list[Rule]:
     """An ordered list of rules for the bad rows. part: true for the rows that prune.
 
+    At most `most_rules` rules of at most `most_conditions` conditions, their thresholds among `cuts` quantiles of
+    the rows in question and `cuts` of the bad ones.
+
     Without bad rows, or without good ones, there is nothing to tell apart and the list is empty.
     """
     rules: list[Rule] = []
     left = np.ones(len(bad), bool)
-    while len(rules) < MAX_RULES:
+    while len(rules) < most_rules:
         grow, prune = left & ~part, left & part
         if (grow & bad).sum() < MIN_COVERED or not (left & ~bad).any():
             break
         conditions: list[Condition] = []
         inside = grow.copy()
-        while len(conditions) < MAX_CONDITIONS and (inside & ~bad).any():
-            _, best = _best(x, bad, inside)
+        while len(conditions) < most_conditions and (inside & ~bad).any():
+            _, best = _best(x, bad, inside, cuts)
             if best is None:
                 break
             conditions.append(best)
@@ -147,21 +156,30 @@ def statistics(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_statistics("text").alias("s"))
 
 
-def train(stats: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """Rules from the labelled documents that the base rules pass, at most `rows` of them.
+def train(
+    stats: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS,
+    most_rules: int = MAX_RULES, most_conditions: int = MAX_CONDITIONS, cuts: int = CUTS,
+) -> list[Rule]:
+    """Rules from the labelled documents that the base rules pass, from about `rows` of them; see `learn` for the
+    other bounds.
 
-    A doc_id with several labels is bad if any says so; null ids and labels don't teach.
+    Documents with equal statistics and labels teach once. They are counted first, so that only rows below a bound
+    on their hashes, about `rows` in all, leave the tasks. A doc_id with several labels is bad if any says so; null
+    ids and labels don't teach.
     """
     marks = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL")
     marks = marks.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"))
     names = list(ratios())
     taught = stats.filter(~base_failed()).join(marks, "doc_id")
-    taught = taught.select(*[c.alias(n) for n, c in ratios().items()], (F.col("quality") == 0).alias("bad"))
-    sample = taught.withColumn("at", F.xxhash64(*names)).orderBy("at", *names).limit(rows).toPandas()
+    taught = taught.select(*[c.alias(n) for n, c in ratios().items()], (F.col("quality") == 0).alias("bad")).distinct()
+    taught = materialize(taught.withColumn("at", F.shiftrightunsigned(F.xxhash64(*names), 1)), "rules-taught")
+    bound = min(1.0, rows / max(taught.count(), 1)) * SPAN
+    sample = taught.filter(F.col("at") <= F.lit(bound)).toPandas().sort_values(["at", *names, "bad"], ignore_index=True)
     if sample.empty:
         return []
     x = {n: sample[n].to_numpy(float) for n in names}
-    return learn(x, sample["bad"].to_numpy(bool), (sample["at"].to_numpy() // 7 % 3) == 0)
+    prunes = (sample["at"].to_numpy() // 7 % 3) == 0
+    return learn(x, sample["bad"].to_numpy(bool), prunes, most_rules, most_conditions, cuts)
 
 
 def judge(stats: DataFrame, rules: list[Rule]) -> DataFrame:

@@ -241,8 +241,17 @@ def common_shingles(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]
     sample = rows.filter(F.pmod(F.xxhash64(F.lit(1), "text_hash"), F.lit(SAMPLED)) == 0)
     held = F.arrow_udf(run, "array<bigint>")(F.col("text"))
     held = sample.select("text_hash", "text_size", F.explode(held).alias("key")).distinct()
-    counted = held.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    found = counted.orderBy(F.desc("n"), "key").limit(COMMON).collect()
+    counted = materialize(held.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "near-counted")
+    # How many keys reach each size comes first: what is then fetched is COMMON rows at most, whatever the tasks
+    step = F.floor(F.log2("n") * 8).cast("int")
+    steps = sorted(((r["step"], r["keys"]) for r in counted.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("keys")).collect()), reverse=True)
+    least, reached = None, 0
+    for at, keys in steps:
+        reached += keys
+        if reached > COMMON:
+            break
+        least = at
+    found = counted.filter(step >= least).collect() if least is not None else []
     hashes = np.array([r["key"] for r in found], np.int64).view(np.uint64)
     order = np.argsort(hashes)
     return hashes[order], np.array([r["n"] for r in found], np.int64)[order]

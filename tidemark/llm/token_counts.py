@@ -2,15 +2,24 @@
 
 Totals are additive: documents, tokens and characters. A change inserts a document's counts, deletes them,
 or revises them from old to new, and is turned into signed rows. A batch of changes is summed over its keys
-into a small delta and written to its own folder under the batch's name. Writing a batch again replaces the
-same folder with the same sums, so a retried or replayed commit changes nothing: it need not know whether
-it ran before. Spark's committer shows a batch's rows only once all of them are written. Totals are the sum
-of the deltas of all batches.
+into a small delta.
+
+Every attempt writes its delta to a folder of its own; only then one small entry that names it is appended to the
+list of entries, and readers follow the entries, the latest of a batch alone. So an attempt that fails while it
+writes changes nothing, whatever was there before, and a retried or replayed commit counts once: it need not
+know whether it ran before. `compact` folds all deltas into the base of a new generation, after which reads
+open that and the batches since; a batch that went into a base is closed, and a replay of it is left out.
+One writer at a time commits or compacts; readers need not wait.
+
+    root/current               the generations that are ready, one row each
+    root/gen=N/base            totals of all batches before; covered: their names
+    root/gen=N/entries         (batch, number, folder), appended
+    root/gen=N/deltas/...      one folder an attempt
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
 from functools import cache
 
 import pyarrow as pa
@@ -18,11 +27,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import texts
+from tidemark.sources.files import path_exists
 from tidemark.llm.packing import parts
 
 KEYS = ("source", "lang", "tokenizer")
 MEASURES = ("documents", "tokens", "chars")
-DELTA = "batch string, source string, lang string, tokenizer string, documents long, tokens long, chars long"
+DELTA = "source string, lang string, tokenizer string, documents long, tokens long, chars long"
+ENTRY = "batch string, number long, folder string"
 
 
 @cache
@@ -70,16 +81,60 @@ def revisions(old: DataFrame, new: DataFrame) -> DataFrame:
     return deletes(old).unionByName(inserts(new))
 
 
+def summed(rows: DataFrame) -> DataFrame:
+    return rows.groupBy(*KEYS).agg(*[F.sum(m).cast("long").alias(m) for m in MEASURES])
+
+
 def commit(spark: SparkSession, root: str, batch: str, changes: DataFrame) -> None:
-    """Sum the signed changes over their keys and put them under the batch's name, over what it held before."""
+    """Sum the signed changes over their keys and publish them under the batch's name, in place of what it held
+    before. A batch that a compaction has closed stays as it is."""
     if not batch or not all(c.isalnum() or c in "-_" for c in batch):
         raise ValueError("a batch is named by letters, digits, - and _")
-    sums = changes.groupBy(*KEYS).agg(*[F.sum(m).cast("long").alias(m) for m in MEASURES])
-    sums.write.mode("overwrite").parquet(f"{root}/batch={batch}")
+    here = _generation(spark, root)
+    if not _read(spark, f"{here}/covered", "batch string").filter(F.col("batch") == batch).isEmpty():
+        return
+    folder = f"{batch}-{uuid.uuid4().hex}"
+    summed(changes).write.parquet(f"{here}/deltas/{folder}")
+    last = _read(spark, f"{here}/entries", ENTRY).agg(F.max("number")).first()[0] or 0
+    _append(spark, f"{here}/entries", (batch, last + 1, folder), ENTRY)
 
 
 def totals(spark: SparkSession, root: str) -> DataFrame:
-    """(source, lang, tokenizer, documents, tokens, chars) over all committed batches, without keys that cancelled out."""
-    deltas = spark.read.schema(DELTA).option("basePath", root).parquet(f"{root}/batch=*")
-    sums = deltas.groupBy(*KEYS).agg(*[F.sum(m).cast("long").alias(m) for m in MEASURES])
-    return sums.filter(" OR ".join(f"{m} != 0" for m in MEASURES))
+    """(source, lang, tokenizer, documents, tokens, chars) over all committed batches, without keys that cancelled
+    out. Where nothing was ever committed there are no rows."""
+    return _totals(spark, _generation(spark, root))
+
+
+def compact(spark: SparkSession, root: str) -> None:
+    """Fold the base and the deltas into the base of a new generation, which readers then follow."""
+    here = _generation(spark, root)
+    number = int(here.rsplit("=", 1)[1]) + 1
+    there = f"{root}/gen={number}"
+    # An attempt that failed before it was published may have left files there
+    _totals(spark, here).write.mode("overwrite").parquet(f"{there}/base")
+    names = _read(spark, f"{here}/covered", "batch string").union(_read(spark, f"{here}/entries", ENTRY).select("batch"))
+    names.distinct().write.mode("overwrite").parquet(f"{there}/covered")
+    _append(spark, f"{root}/current", (number,), "generation long")
+
+
+def _generation(spark: SparkSession, root: str) -> str:
+    last = _read(spark, f"{root}/current", "generation long").agg(F.max("generation")).first()[0] or 0
+    return f"{root}/gen={last}"
+
+
+def _totals(spark: SparkSession, here: str) -> DataFrame:
+    entries = _read(spark, f"{here}/entries", ENTRY)
+    latest = entries.groupBy("batch").agg(F.max_by("folder", "number").alias("folder")).collect()  # batches since the base
+    rows = _read(spark, f"{here}/base", DELTA)
+    if latest:
+        rows = rows.unionByName(spark.read.schema(DELTA).parquet(*[f"{here}/deltas/{r['folder']}" for r in latest]))
+    return summed(rows).filter(" OR ".join(f"{m} != 0" for m in MEASURES))
+
+
+def _read(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    return spark.read.schema(ddl).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], ddl)
+
+
+def _append(spark: SparkSession, path: str, row: tuple, ddl: str) -> None:
+    """One file with one row: it is there whole or not at all."""
+    spark.createDataFrame([row], ddl).coalesce(1).write.mode("append").parquet(path)
