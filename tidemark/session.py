@@ -28,7 +28,7 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get(CHECKPOINT_KEY, None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
     key = spark.sparkContext.applicationId
     if key not in _LOCAL_ROOTS:
@@ -36,10 +36,10 @@ def scratch_root(spark: SparkSession) -> str:
     return _LOCAL_ROOTS[key]
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the scratch root that no earlier write has used."""
+def scratch_path(spark: SparkSession, name: str, kept: bool = False) -> str:
+    """A path under the scratch root that no earlier write has used; one that is kept outlives `scratch`."""
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
-    if (written := _written.get()) is not None:
+    if not kept and (written := _written.get()) is not None:
         written.append(path)
     return path
 
@@ -58,10 +58,11 @@ def scratch() -> Iterator[None]:
     finally:
         _written.reset(token)
         for path in paths:
-            _remove(path)
+            discard(path)
 
 
-def _remove(path: str) -> None:
+def discard(path: str) -> None:
+    """Remove a scratch table that nothing reads any more."""
     try:
         system, inside = FileSystem.from_uri(path)
         if system.get_file_info(inside).type is FileType.Directory:
