@@ -615,4 +615,4 @@ def test_pipeline(spark, sf):
 
 
 def test_every_operator_has_a_query():
-    assert {n.split("_")[0] for n in queries.CATALOGUE} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.CATALOGUE} == {f"op{k}" for k in range(1, 14)}
