@@ -240,3 +240,27 @@ def test_closed_windows_are_written_once_without_late_posts(spark, tmp_path):
     told = run(hour(20))
     got = sorted((r["window_start"].hour, r["frequency"]) for r in streams.closed_counts(spark, out).collect())
     assert got == [(0, 1), (1, 1), (4, 1), (5, 2), (8, 1)]
+
+
+def test_a_day_run_again_rewrites_its_folder_only(spark, tmp_path):
+    job = TrendRun(spark, str(tmp_path))
+    days = {f"2024-01-0{d}": [f"storm flood{d % 2}", "storm rain"][: 1 + d % 2] for d in range(1, 4)}
+
+    def posts(texts):
+        rows = [(str(i), t, t, t.split(), hour(i * 30), "s", 0, "en") for i, t in enumerate(texts)]
+        return spark.createDataFrame(rows, schemas.PROCESSED)
+
+    job.count_day(posts(["wrong wrong"]), "2024-01-02")
+    for day, texts in days.items():
+        job.count_day(posts(texts), day)
+    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "daily_counts").rglob("*.parquet")}
+    job.count_day(posts(days["2024-01-02"]), "2024-01-02")
+    after = {f: f.stat().st_mtime_ns for f in (tmp_path / "daily_counts").rglob("*.parquet")}
+    same = [f for f in after if before.get(f) == after[f]]
+    assert same and all("2024-01-02" not in str(f) for f in same) and all("2024-01-02" in str(f) for f in after if f not in same)
+    whole = None
+    for texts in days.values():
+        whole = posts(texts) if whole is None else whole.unionByName(posts(texts))
+    want = frequency.keyword_frequency(keywords.token_events(whole))
+    got = job.count_stored()
+    assert got.exceptAll(want.select(got.columns)).isEmpty() and want.count() == got.count() > 0

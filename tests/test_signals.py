@@ -119,3 +119,37 @@ def test_features_without_trends(spark):
     assert [(r["freq_1h"], r["freq_7d"], r["source_diversity"], r["trend_label"]) for r in rows] == [
         (3, 0, 1, "stable"), (4, 0, 0, "stable"),
     ]
+
+
+def test_hot_bucket_is_dealt_over_many_tasks(spark):
+    """Nine tenths of the rows in one bucket, no adaptive splitting, no broadcast: no task gets a third of them."""
+    rows = spark.range(4000).select(
+        F.concat(F.lit("k"), F.col("id").cast("string")).alias("keyword"), F.lit("1h").alias("window"), F.lit("s").alias("source"),
+        F.timestamp_seconds(F.lit(1704067200) + F.when(F.col("id") % 10 == 0, F.col("id") * 3600).otherwise(0)).alias("window_start"),
+        (F.col("id") % 97).cast("double").alias("growth_rate"),
+    )
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "32"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        made = signals.peer_zscore(rows, salts=64)
+        sizes = [r["count"] for r in made.groupBy(F.spark_partition_id()).count().collect()]
+        got = {r["keyword"]: r["peer_z"] for r in made.collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 4000 and max(sizes) < 4000 / 3 and "_salt" not in made.columns
+    assert got == {r["keyword"]: r["peer_z"] for r in signals.peer_zscore(rows, salts=1).collect()}
+
+
+def test_merged_sketches_stay_within_their_bound(spark):
+    """Ten thousand sources over five overlapping snapshots."""
+    parts = [spark.range(k * 1500, k * 1500 + 4000).select(F.lit("k").alias("keyword"), F.concat(F.lit(" s"), F.col("id").cast("string")).alias("source")) for k in range(5)]
+    few = spark.createDataFrame([("few", "a"), ("few", " a "), ("few", ""), ("few", None), ("few", "b"), ("none", None)], "keyword string, source string")
+    stored = [signals.source_sketches(p) for p in (*parts, few, few)]
+    union = stored[0]
+    for each in stored[1:]:
+        union = union.unionByName(each)
+    got = {r["keyword"]: r["source_diversity"] for r in signals.merged_diversity(union).collect()}
+    assert got["few"] == 2 and got["none"] == 0 and abs(got["k"] - 10_000) < 4 * 0.016 * 10_000

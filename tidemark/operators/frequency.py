@@ -14,20 +14,20 @@ from tidemark.functions.times import bucket_start, slide_seconds, window_seconds
 COLUMNS = ("keyword", "window_start", "window_end", "frequency", "window", "source")
 
 
-def _grain(labels: Sequence[str], slide_fraction: float) -> int:
+def grain(labels: Sequence[str], slide_fraction: float) -> int:
     """Longest bucket that every window starts and ends on."""
     spans = [window_seconds(x) for x in labels] + [slide_seconds(x, slide_fraction) for x in labels]
     return math.gcd(*spans)
 
 
-def base_counts(events: DataFrame, grain: int, by_source: bool = True) -> DataFrame:
+def base_counts(events: DataFrame, seconds: int, by_source: bool = True) -> DataFrame:
     """Mentions per (keyword, source, bucket) at the common grain.
 
     The only step that reads every mention. It combines before its shuffle, so a keyword or
     source holding a third of all rows still leaves each map task as one row per bucket.
     """
     keys = ["keyword", "source"] if by_source else ["keyword"]
-    at = bucket_start(F.unix_seconds(F.col("timestamp").cast("timestamp")), grain)
+    at = bucket_start(F.unix_seconds(F.col("timestamp").cast("timestamp")), seconds)
     return (
         events.filter(F.col("timestamp").isNotNull())
         .groupBy(*keys, at.alias("bucket"))
@@ -87,7 +87,7 @@ def all_windows(
     events: DataFrame, labels: Sequence[str] = S.WINDOWS, slide_fraction: float = 1.0
 ) -> DataFrame:
     """Counts over all sources, for every label."""
-    counts = base_counts(events, _grain(labels, slide_fraction), by_source=False)
+    counts = base_counts(events, grain(labels, slide_fraction), by_source=False)
     rolled = name_windows(roll_up(counts, labels, slide_fraction, ["keyword"]), labels)
     return rolled.withColumn("source", F.lit(S.ALL_SOURCES)).select(*COLUMNS)
 
@@ -101,7 +101,7 @@ def per_source(
     events: DataFrame, labels: Sequence[str] = S.WINDOWS, slide_fraction: float = 1.0
 ) -> DataFrame:
     """Counts per source, for every label."""
-    counts = base_counts(events, _grain(labels, slide_fraction))
+    counts = base_counts(events, grain(labels, slide_fraction))
     rolled = roll_up(counts, labels, slide_fraction, ["keyword", "source"])
     return name_windows(rolled, labels).select(*COLUMNS)
 
@@ -126,7 +126,13 @@ def frequency_halves(
     events: DataFrame, labels: Sequence[str] = S.WINDOWS, slide_fraction: float = 1.0, min_frequency: int = 0
 ) -> tuple[DataFrame, DataFrame]:
     """The global and the per-source part of the frequency table, each kept by its own series."""
-    counts = base_counts(events, _grain(labels, slide_fraction))
+    return halves_of_counts(base_counts(events, grain(labels, slide_fraction)), labels, slide_fraction, min_frequency)
+
+
+def halves_of_counts(
+    counts: DataFrame, labels: Sequence[str] = S.WINDOWS, slide_fraction: float = 1.0, min_frequency: int = 0
+) -> tuple[DataFrame, DataFrame]:
+    """The same two parts from base counts, one row per keyword, source and bucket."""
     if min_frequency > 0:
         totals = counts.groupBy("keyword").agg(F.sum("frequency").alias("total"))
         counts = counts.join(totals.filter(F.col("total") >= min_frequency), "keyword", "left_semi")
@@ -139,6 +145,13 @@ def frequency_halves(
     )
 
 
+def frequency_of_days(days: DataFrame, labels: Sequence[str] = S.WINDOWS, slide_fraction: float = 1.0) -> DataFrame:
+    """The frequency table of base counts that were stored day by day: a bucket that several days hold is summed."""
+    counts = days.groupBy("keyword", "source", "bucket").agg(F.sum("frequency").alias("frequency"))
+    global_half, source_half = halves_of_counts(counts, labels, slide_fraction)
+    return global_half.unionByName(source_half)
+
+
 def most_mentioned(counts: DataFrame, n: int) -> DataFrame:
     """The n keywords with the highest sums of `frequency`; equal sums in keyword order."""
     totals = counts.groupBy("keyword").agg(F.sum("frequency").alias("total_freq"))
@@ -151,7 +164,7 @@ def with_source_counts(events: DataFrame, labels: Sequence[str] = S.WINDOWS, top
     With `top` only those of the `top` most mentioned keywords: they are found from the same base counts, whose
     exchange Spark reuses, and nothing else is rolled up. A null keyword is no candidate.
     """
-    counts = base_counts(events if top is None else events.filter(F.col("keyword").isNotNull()), _grain(labels, 1.0))
+    counts = base_counts(events if top is None else events.filter(F.col("keyword").isNotNull()), grain(labels, 1.0))
     if top is not None:
         # Not a semi-join, which Spark would push below the counting; nor may only one side drop null keywords
         counts = counts.join(most_mentioned(counts, top).select("keyword"), "keyword")

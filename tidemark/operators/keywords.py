@@ -114,3 +114,37 @@ def hashed_tfidf(
     )
     model = IDF(inputCol="tf", outputCol="tfidf", minDocFreq=min_doc_freq).fit(counts.select("tf"))
     return model.transform(counts).select("id", "tfidf")
+
+
+def term_bucket(keyword: Column, dimensions: int) -> Column:
+    """The bucket of a keyword: the first 32 bits of its MD5, modulo. Any engine can tell it."""
+    return F.pmod(F.conv(F.substring(F.md5(keyword.cast("binary")), 1, 8), 16, 10).cast("bigint"), F.lit(dimensions)).cast("int")
+
+
+def hashed_terms(processed: DataFrame, dimensions: int = S.TFIDF_DIMENSIONS) -> DataFrame:
+    """(id, bucket, tf) of every document and bucket that its tokens fall into, counted inside its row."""
+    ordered = processed.select("id", F.sort_array(F.transform("tokens", lambda t: term_bucket(t, dimensions))).alias("tokens"))
+    return ordered.select("id", F.inline(term_counts(F.col("tokens")))).withColumnRenamed("keyword", "bucket")
+
+
+def hashed_weights(
+    processed: DataFrame, dimensions: int = S.TFIDF_DIMENSIONS, min_doc_freq: int = S.MIN_DOC_FREQ
+) -> DataFrame:
+    """(id, bucket, tf, documents, weight): hashed TF-IDF as a long table, one row per document and bucket.
+
+    `documents` is how many documents hold the bucket. The table of buckets has `dimensions` rows at most, so it meets
+    the terms by a join that Spark broadcasts.
+    """
+    terms = hashed_terms(processed, dimensions)
+    n_docs = processed.select(F.count("*").alias("n")).scalar()
+    held = terms.groupBy("bucket").agg(F.count("*").alias("documents"))
+    rare = F.col("documents") < min_doc_freq
+    idf = held.withColumn("idf", F.when(rare, F.lit(0.0)).otherwise(F.log((n_docs + 1) / (F.col("documents") + 1).cast("double"))))
+    return terms.join(idf, "bucket").select("id", "bucket", "tf", "documents", (F.col("tf") * F.col("idf")).alias("weight"))
+
+
+def bucket_map(processed: DataFrame, dimensions: int = S.TFIDF_DIMENSIONS) -> DataFrame:
+    """(bucket, keyword, documents): which keywords fall into each bucket. A bucket with several rows is a collision."""
+    words = processed.select(F.explode(F.array_distinct("tokens")).alias("keyword"))
+    counts = words.groupBy("keyword").agg(F.count("*").alias("documents"))
+    return counts.select(term_bucket(F.col("keyword"), dimensions).alias("bucket"), "keyword", "documents")

@@ -303,6 +303,12 @@ def _profile() -> str:
     )
 
 
+def _bucket(keyword: str) -> str:
+    """The first eight hex digits of the MD5 as a number, modulo the dimensions."""
+    digits = f"list_transform(string_split(left(md5({keyword}), 8), ''), lambda c: strpos('0123456789abcdef', c)::BIGINT - 1)"
+    return f"CAST(list_reduce({digits}, lambda a, b: a * 16 + b) % {S.TFIDF_DIMENSIONS} AS INTEGER)"
+
+
 def _cut_lines() -> str:
     """One line in sixteen is cut off."""
     return """SELECT source, posts, "lines", first_line, last_line
@@ -449,6 +455,7 @@ ORACLES: dict[str, str] = {
     ),
     "freq_all_windows": _with("gfreq", "SELECT * FROM gfreq"),
     "freq_per_source": _with("sfreq", "SELECT * FROM sfreq"),
+    "frequency_of_days": _with("freq", "SELECT * FROM freq"),
     "keyword_frequency": _with("freq", "SELECT * FROM freq"),
     "part_frequency": _with("part_mentions", _windows("part_mentions", ["1d", "7d"], False) + " UNION ALL "
                             + _windows("part_mentions", ["1d", "7d"], True)),
@@ -488,6 +495,8 @@ ORACLES: dict[str, str] = {
         FROM (SELECT * FROM trend WHERE growth_rate IS NOT NULL)"""),
     "source_diversity": _with("tok", """SELECT keyword, count(DISTINCT trim(source)) AS source_diversity
         FROM tok WHERE source <> '' GROUP BY keyword"""),
+    "source_diversity_merged": _with("tok", """SELECT keyword, count(DISTINCT trim(source)) AS source_diversity
+        FROM tok WHERE source <> '' GROUP BY keyword"""),
     # features
     "pivot_frequency": _with("wide", "SELECT * FROM wide"),
     "feature_source_diversity": _with("diversity", "SELECT * FROM diversity"),
@@ -498,6 +507,13 @@ ORACLES: dict[str, str] = {
     "top_keywords": _with("top500", "SELECT * FROM top500"),
     "tfidf_keywords": _with("tfidf", "SELECT * FROM tfidf"),
     "keyword_table": _with("top500 tfidf", "SELECT keyword, frequency, avg_tfidf_score FROM top500 LEFT JOIN tfidf USING (keyword)"),
+    "tfidf_hashed_weights": _with("terms cleaned", f"""
+        SELECT id, bucket, tf, documents, floor(tf * CASE WHEN documents >= 2
+                THEN ln(((SELECT count(*) FROM cleaned) + 1) / CAST(documents + 1 AS DOUBLE)) ELSE 0 END * 1e6 + 0.5) / 1e6 AS weight
+        FROM (SELECT id, bucket, sum(tf)::BIGINT AS tf, count(*) OVER (PARTITION BY bucket) AS documents
+              FROM (SELECT id, tf, {_bucket('keyword')} AS bucket FROM terms) GROUP BY id, bucket)"""),
+    "tfidf_bucket_map": _with("terms", f"""
+        SELECT {_bucket('keyword')} AS bucket, keyword, count(*) AS documents FROM terms GROUP BY keyword"""),
     "tag_entities": _with("tagged cleaned", """SELECT id, source,
         CASE WHEN id::BIGINT % 11 <> 0 THEN "timestamp" END AS "timestamp", coalesce(entities, '') AS entities
         FROM cleaned LEFT JOIN tagged USING (id)"""),

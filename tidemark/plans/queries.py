@@ -14,6 +14,7 @@ from tidemark.functions import text, times
 from tidemark.operators import (
     anomaly, board, entities, features, forecast, frequency, keywords, normalize, outlook, quality, related, signals, upload,
 )
+from tidemark.plans.trend_run import TrendRun
 from tidemark.session import materialize, scratch_path
 from tidemark.sources import bindings as B
 from tidemark.sources import files
@@ -455,6 +456,16 @@ def keyword_frequency(spark, sf):
     return frequency.keyword_frequency(B.mentions(spark, sf))
 
 
+@query
+def frequency_of_days(spark, sf):
+    """The frequency table out of four days' stored counts; the second day is first stored wrongly, then again."""
+    job = TrendRun(spark, scratch_path(spark, "days"))
+    posts = materialize(B.processed(spark, sf).join(B.arrivals(spark, sf).select("id", "batch"), "id"), "arrived")
+    for day, part in ((0, "batch = 0"), (1, "batch < 2"), (2, "batch = 2"), (3, "batch = 3"), (1, "batch = 1")):
+        job.count_day(posts.filter(part), f"2024-02-0{day + 1}")
+    return job.count_stored().select(*frequency.COLUMNS)
+
+
 @query
 def part_frequency(spark, sf):
     """Day and week counts of part words over all line items: dense series."""
@@ -543,6 +554,17 @@ def source_diversity(spark, sf):
 # --- features ------------------------------------------------------------------------------
 
 
+@query
+def source_diversity_merged(spark, sf):
+    """Distinct sources of every keyword from the sketches of four snapshots."""
+    path = scratch_path(spark, "sketches")
+    posts = materialize(B.arrivals(spark, sf), "arrived")
+    for batch in range(4):
+        events = keywords.keyword_events(posts.filter(F.col("batch") == batch), ("source",))
+        files.write_snapshot(signals.source_sketches(events), path, f"2024-02-0{batch + 1}")
+    return signals.merged_diversity(files.read_parquet(spark, path).drop("dt"))
+
+
 @query
 def pivot_frequency(spark, sf):
     return features.pivot_frequency(frequency.all_windows(B.mentions(spark, sf)))
@@ -591,6 +613,17 @@ def tfidf_hashed(spark, sf):
     return keywords.hashed_tfidf(B.processed(spark, sf))
 
 
+@query
+def tfidf_hashed_weights(spark, sf):
+    """Weight, count and document frequency of every document and bucket, written out."""
+    return rounded(keywords.hashed_weights(B.processed(spark, sf)), 6, "weight")
+
+
+@query
+def tfidf_bucket_map(spark, sf):
+    return keywords.bucket_map(B.processed(spark, sf))
+
+
 @query
 def tag_entities(spark, sf):
     """Entities of all four labels in every post; one post in eleven has no time."""

@@ -20,6 +20,7 @@ log = logging.getLogger(__name__)
 # One folder per dataset, side by side: none is nested in another's layout.
 DATASETS = (
     "processed", "frequency", "trends", "features", "anomalies", "predictions", "models", "keywords", "entities", "rejected",
+    "daily_counts",
 )
 
 
@@ -71,6 +72,17 @@ class TrendRun:
         events = keywords.token_events(processed)
         return self._write(frequency.keyword_frequency(events, self.windows), "frequency")
 
+    def count_day(self, processed: DataFrame, dt: str) -> None:
+        """Store the base counts of the posts that came on a day, in that day's folder; a day run again replaces it."""
+        events = keywords.token_events(processed)
+        base = frequency.base_counts(events, frequency.grain(self.windows, 1.0))
+        files.write_snapshot(base, self.path("daily_counts"), dt)
+
+    def count_stored(self) -> DataFrame:
+        """The frequency table of all days' base counts; no text is read."""
+        days = self.read("daily_counts").drop("dt")
+        return self._write(frequency.frequency_of_days(days, self.windows), "frequency")
+
     def detect(self, frequency: DataFrame, **rules) -> DataFrame:
         return self._write(signals.detect_trends(frequency, **rules), "trends")
 
