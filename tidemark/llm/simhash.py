@@ -242,16 +242,16 @@ def common_shingles(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]
     held = F.arrow_udf(run, "array<bigint>")(F.col("text"))
     held = sample.select("text_hash", "text_size", F.explode(held).alias("key")).distinct()
     counted = materialize(held.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "near-counted")
-    # How many keys reach each size comes first: what is then fetched is COMMON rows at most, whatever the tasks
+    # How many keys reach each size comes first: what is then fetched is about COMMON rows, whatever the tasks
     step = F.floor(F.log2("n") * 8).cast("int")
-    steps = sorted(((r["step"], r["keys"]) for r in counted.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("keys")).collect()), reverse=True)
-    least, reached = None, 0
-    for at, keys in steps:
-        reached += keys
-        if reached > COMMON:
-            break
-        least = at
-    found = counted.filter(step >= least).collect() if least is not None else []
+    sizes = counted.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("keys")).collect()
+    left, share = COMMON, {}
+    for at, keys in sorted(((r["step"], r["keys"]) for r in sizes), reverse=True):
+        share[at] = min(1.0, left / keys)  # of the last step that fits in part, keys with small hashes
+        left = max(left - keys, 0)
+    shares = F.create_map(*[F.lit(v) for at, part in share.items() if part > 0 for v in (at, part)]) if share else None
+    at = F.shiftrightunsigned(F.xxhash64(F.lit(3), "key"), 1)
+    found = counted.filter(at <= F.try_element_at(shares, step) * float(1 << 63)).collect() if share else []
     hashes = np.array([r["key"] for r in found], np.int64).view(np.uint64)
     order = np.argsort(hashes)
     return hashes[order], np.array([r["n"] for r in found], np.int64)[order]
