@@ -460,10 +460,11 @@ def keyword_frequency(spark, sf):
 def frequency_of_days(spark, sf):
     """The frequency table out of four days' stored counts; the second day is first stored wrongly, then again."""
     job = TrendRun(spark, scratch_path(spark, "days"))
-    posts = materialize(B.processed(spark, sf).join(B.arrivals(spark, sf).select("id", "batch"), "id"), "arrived")
+    came = B.arrivals(spark, sf).select("id", "batch")
+    posts = materialize(B.processed(spark, sf).select("id", "tokens", "timestamp", "source").join(came, "id"), "arrived")
     for day, part in ((0, "batch = 0"), (1, "batch < 2"), (2, "batch = 2"), (3, "batch = 3"), (1, "batch = 1")):
         job.count_day(posts.filter(part), f"2024-02-0{day + 1}")
-    return job.count_stored().select(*frequency.COLUMNS)
+    return frequency.frequency_of_days(job.read("daily_counts").drop("dt"))
 
 
 @query
