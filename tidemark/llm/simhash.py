@@ -45,6 +45,8 @@ PARITIES = 8
 #: One in so many distinct texts is counted for the order of shingles, and so many shingles at most have a count.
 SAMPLED = 32
 COMMON = 1 << 18
+#: Bits of the map that keeps most texts that are not asked for out of a shuffle: at most 1 MB to send.
+SIEVE = 1 << 23
 #: Texts of a key whose pairs are listed; those of a larger key are compared in blocks of about BLOCK.
 CROWDED = 48
 BLOCK = 2048
@@ -262,6 +264,26 @@ def alike(n_a: Column, n_b: Column, similarity: float) -> Column:
     return F.least(n_a, n_b) >= F.greatest(n_a, n_b) * similarity - 1e-9
 
 
+def sieve(rows: DataFrame, key: str) -> Broadcast:
+    """A bitmap of SIEVE bits with those set on which the hashes in `key` fall: 1 MB, however many rows there are."""
+    bit = F.col(key).bitwiseAND(F.lit(SIEVE - 1))
+    found = rows.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word"))
+    words = found.agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).toArrow()
+    bits = np.zeros(SIEVE // 64, np.int64)
+    bits[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return rows.sparkSession.sparkContext.broadcast(bits)
+
+
+def in_sieve(key: Column, bits: Broadcast) -> Column:
+    """False for hashes that are surely not among those of the sieve. Once most bits are set it lets most rows pass."""
+
+    def run(column: pa.Array) -> pa.Array:
+        bit = column.to_numpy(zero_copy_only=False) & (SIEVE - 1)
+        return pa.array((bits.value[bit >> 6] >> (bit & 63)) & 1 == 1, pa.bool_())
+
+    return F.arrow_udf(run, "boolean")(key)
+
+
 def verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, size: int, similarity: float) -> DataFrame:
     """The pairs (a, b) whose shingle sets have that Jaccard similarity; the parities only drop what can't."""
     side = lambda name: nodes.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("bits").alias(f"bits_{name}"))
@@ -269,7 +291,8 @@ def verified(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, size: int, sim
     near = near.filter(near_enough(*[F.col(c) for c in ("bits_a", "bits_b", "n_a", "n_b")], similarity))
     near = materialize(near.select("a", "b"), "near-pairs")
     needed = near.select("a").union(near.select("b")).distinct().select("a.*")
-    whole = rows.join(needed, ["text_hash", "text_size"], "left_semi").dropDuplicates(["text_hash", "text_size"])
+    sieved = rows.filter(in_sieve(F.col("text_hash"), sieve(needed, "text_hash")))
+    whole = sieved.join(needed, ["text_hash", "text_size"], "left_semi").dropDuplicates(["text_hash", "text_size"])
     whole = materialize(whole.select(F.struct("text_hash", "text_size").alias("node"), "text"), "near-texts")
 
     def run(left: pa.Array, right: pa.Array) -> pa.Array:
@@ -384,9 +407,10 @@ def keep_one(docs: DataFrame, size: int = NEAR_SHINGLE, similarity: float = SIMI
     named = [doc_id.isNull(), F.coalesce(doc_id, F.lit(0)), text_hash, text_size]
     named = [c.alias(n) for c, n in zip(named, key, strict=True)]
     groups = near_duplicates(docs, size, similarity)
-    members = docs.select(*named, *text_key("text"))
-    ranked = members.join(groups, ["text_hash", "text_size"], "left")
+    # Copies of a text meet as one row per task, so no task gets all rows of a text
+    firsts = docs.select(F.struct(*named).alias("own"), *text_key("text")).groupBy("text_hash", "text_size").agg(F.min("own").alias("own"))
+    ranked = firsts.join(groups, ["text_hash", "text_size"], "left")
     group = F.coalesce("group", F.struct("text_hash", "text_size")).alias("group")
-    chosen = ranked.groupBy(group).agg(F.min(F.struct(*key)).alias("first")).select(*[f"first.{n}" for n in key])
+    chosen = ranked.groupBy(group).agg(F.min("own").alias("first")).select(*[f"first.{n}" for n in key])
     chosen = materialize(chosen, "near-chosen")
     return docs.select("*", *named).join(chosen, key, "left_semi").dropDuplicates(key).drop(*key)
