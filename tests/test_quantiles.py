@@ -50,3 +50,19 @@ def test_gaps_and_empty_columns(spark):
     rows = [(1.0, None), (float("nan"), None), (float("inf"), None), (None, None), (3.0, None)]
     df = spark.createDataFrame(rows, "a double, b double")
     assert quantiles.exact_quantiles(df, ["a", "b"], [0.5]) == {"a": [2.0], "b": [None]}
+
+
+@pytest.mark.parametrize("name", list(samples()))
+def test_two_reads(spark, name):
+    values = samples()[name]
+    read = spark.sparkContext.accumulator(0)
+
+    def passing(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(3).mapInArrow(passing, "v double")
+    got = quantiles.exact_quantiles(df, ["v"], [0.25, 0.75])["v"]
+    assert got == pytest.approx([float(np.percentile(values, q)) for q in (25, 75)], rel=1e-12, abs=1e-12)
+    assert read.value <= 2 * len(values)
