@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, rules, simhash, textstats, token_counts
+from tests.compare import difference
+from tidemark.llm import langid, rules, simhash, textstats, token_counts, warc
+from tidemark.llm.oracles import ORACLES
 from tidemark.session import scratch_path
 
 ROW = "source string, lang string, tokenizer string, documents long, tokens long, chars long"
@@ -125,3 +128,17 @@ def test_common_shingles_are_bounded(spark, monkeypatch):
     rows = rows.select(*simhash.text_key("text"), "text")
     hashes, counts = simhash.common_shingles(rows, 5)
     assert 0 < len(hashes) <= 60 and (np.diff(hashes.astype(object)) > 0).all() and counts.min() > 1
+
+
+def test_warc_revisits_equal_the_sql(spark):
+    """Equal payloads around the limit of 1000 bytes, null and empty ones, against the registered SQL."""
+    same, small = "<p>é" + "x" * 995, "y" * 999
+    pages = [same, same, small, small, None, "", "z" * 1000, "z" * 1000, "z" * 1000, "only one"]
+    rows = [(i, f"http://a/{i}", html) for i, html in enumerate(pages)]
+    table = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    got = warc.round_trip(table).toPandas()
+    con = duckdb.connect()
+    con.register("pages", table.toPandas())
+    want = con.execute(ORACLES["op2_warc"]).df()
+    assert difference(got, want) == ""
+    assert sorted(got[got.record_type == "revisit"].page_id) == [0, 6, 7]

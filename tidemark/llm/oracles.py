@@ -12,6 +12,16 @@ _CRC = """
 """
 
 ORACLES: dict[str, str] = {
+    "op2_warc": """
+        WITH bodies AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+        told AS (SELECT page_id, octet_length(body) AS size, sha1(body) AS digest FROM bodies),
+        firsts AS (SELECT digest, max(page_id) AS origin FROM told WHERE size >= 1000 GROUP BY digest),
+        marked AS (SELECT t.*, CASE WHEN f.origin != t.page_id THEN f.origin END AS refers_to
+                   FROM told t LEFT JOIN firsts f ON f.digest = t.digest)
+        SELECT page_id, size::BIGINT AS payload_bytes, digest AS payload_digest,
+            CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to, true AS intact
+        FROM marked
+    """,
     "op11_prefix_trie": f"""
         WITH ids AS (SELECT DISTINCT conv_id, conv_id::VARCHAR AS s FROM conversations WHERE conv_id IS NOT NULL),
         heads AS (SELECT conv_id, ({_CRC}) % 9 AS h FROM ids),
