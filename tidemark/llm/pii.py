@@ -1,8 +1,10 @@
 """Personal data: fixed patterns, and weakly supervised spans beside them.
 
 Spans of the fixed patterns (email, ip, card, phone) always stand. Beside them a broad pattern proposes
-candidates of further kinds: keys and tokens (secret), spelled-out addresses (contact) and grouped
-numbers (number). Labelers of three sorts vote on each candidate - shape patterns, gazetteers of words,
+candidates of further kinds: keys and tokens (secret: a run of at least 16 letters, digits and `_+/-`, or three
+runs of at least 10 joined by dots), spelled-out addresses (contact: "at" and "dot" in brackets or between blanks)
+and grouped numbers (number: two to five groups of two to four digits, joined by one of `-/ .` throughout). What
+is shorter, or written with other signs, is no candidate. Labelers of three sorts vote on each candidate - shape patterns, gazetteers of words,
 and the words before it - for, against, or not at all. Expectation-maximisation over the counts of vote
 patterns estimates how reliable each labeler is and how likely each pattern is personal; a logistic
 classifier over the candidates' features, fitted to these likelihoods, decides. There are at most
@@ -74,14 +76,20 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return spans
 
 
-# Candidates of the added kinds
-SECRET = re.compile(r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*[0-9])[A-Za-z0-9_+/-]{16,}+(?![A-Za-z0-9_+/-])")
+# Candidates of the added kinds: runs of 16 or more signs or three joined by dots; addresses with "at" and "dot" in
+# brackets or between blanks; two to five groups of two to four digits with one separator throughout
+SECRET = re.compile(
+    r"(?<![A-Za-z0-9_+/-])(?:[A-Za-z0-9_+/-]{10,}+(?:\.[A-Za-z0-9_+/-]{10,}+){2}|[A-Za-z0-9_+/-]{16,}+={0,2})(?![A-Za-z0-9_+/-])"
+)
 CONTACT = re.compile(
-    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?[\[(]at[\])] ?[A-Za-z0-9-]{1,63}+"
-    r"(?: ?[\[(]dot[\])] ?[A-Za-z0-9-]{1,63}+)++"
+    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+(?: ?[\[(](?i:at)[\])] ?| (?i:at) )[A-Za-z0-9-]{1,63}+"
+    r"(?:(?: ?[\[(](?i:dot)[\])] ?| (?i:dot) )[A-Za-z0-9-]{1,63}+)++"
 )
-NUMBER = re.compile(r"(?<![0-9A-Za-z+.-])[0-9]{2,4}(?:[-/][0-9]{2,4}){1,4}(?![0-9A-Za-z-])")
+NUMBER = re.compile(r"(?<![0-9A-Za-z+.-])[0-9]{2,4}([-/ .])[0-9]{2,4}(?:\1[0-9]{2,4}){0,3}(?![0-9A-Za-z-])")
 PATTERNS = (("secret", SECRET), ("contact", CONTACT), ("number", NUMBER))
+# How issued keys and signed tokens begin, and frequent ends of domain names
+ISSUED = re.compile(r"(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{20,}|sk[-_][A-Za-z0-9_-]{16,}|xox[abprs]-[A-Za-z0-9-]{10,}|eyJ[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_+/-]+){2}")
+ENDS = frozenset("com org net edu gov mil int info biz io co uk de fr es it nl eu us ca au jp cn in br ru ch".split())
 
 # Gazetteers: words that stand before such data, and words that speak against it
 SECRET_WORDS = frozenset("token key apikey api_key secret password passwd pwd auth bearer credential access".split())
@@ -93,6 +101,13 @@ LABELERS = 5
 BEFORE = 32
 
 
+def mixed_case(value: str) -> bool:
+    """Whether upper and lower case alternate as in random letters. In joined words capitals stand alone, or runs of small letters are long."""
+    small = re.findall(r"[a-z]+", value)
+    lower, upper = sum(map(len, small)), sum("A" <= c <= "Z" for c in value)
+    return lower >= 4 and upper >= 4 and lower < 3 * len(small) and re.search(r"[A-Z]{2}", value) is not None
+
+
 def votes_and_features(kind: str, text: str, start: int, end: int) -> tuple[int, int]:
     """The labelers' votes in base 3 (0 against, 1 none, 2 for) and the features in base 2."""
     value = text[start:end]
@@ -104,18 +119,23 @@ def votes_and_features(kind: str, text: str, start: int, end: int) -> tuple[int,
     letters = sum(c.isalpha() for c in value)
     if kind == "secret":
         turns = sum(a.isdigit() != b.isdigit() for a, b in zip(value, value[1:]))
-        shaped = bool(re.fullmatch(r"[0-9a-f]{32,}|[0-9A-F]{32,}|[A-Za-z0-9+/_-]{40,}", value))
-        strong = turns >= len(value) // 5 and digits >= 4 and letters >= 4
-        weak = letters == 0 or turns <= 2 or "/" in value and "." in value
+        mixed = mixed_case(value)
+        issued = bool(ISSUED.fullmatch(value))
+        shaped = issued or bool(re.fullmatch(r"[0-9a-f]{32,}|[0-9A-F]{32,}", value)) or len(value) >= 40 and (digits > 0 or mixed) and "." not in value
+        strong = issued or mixed or turns >= len(value) // 5 and digits >= 4 and letters >= 4
+        weak = not (issued or mixed) and (letters == 0 or turns <= 2 or "/" in value and "." in value)
     elif kind == "contact":
         tail = re.split(r"[^A-Za-z0-9]+", value)[-1].lower()
-        shaped = 2 <= len(tail) <= 6 and tail.isalpha()
-        strong = digits > 0 or "." in value.split("at")[0]
-        weak = len(value) > 80
+        bare = not re.search(r"[\])]", value)  # plain words may say the same, so the end of a domain has to be a frequent one
+        shaped = tail in ENDS if bare else 2 <= len(tail) <= 6 and tail.isalpha()
+        strong = digits > 0 or "." in re.split(r"(?i)[ \[(]at[ \])]", value)[0]
+        weak = len(value) > 80 or bare and not shaped
     else:
-        shaped = bool(re.fullmatch(r"[0-9]{3}-[0-9]{2}-[0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4}", value))
-        strong = digits >= 9
-        weak = bool(re.fullmatch(r"(?:19|20)[0-9]{2}[-/][0-9]{2}(?:[-/][0-9]{2,4})?|[0-9]{2}[-/][0-9]{2}[-/][0-9]{2,4}", value)) or digits < 7
+        shaped = bool(re.fullmatch(r"[0-9]{3}([- .])[0-9]{2}\1[0-9]{4}|[0-9]{3}([- .])[0-9]{3}\2[0-9]{4}", value))
+        loose = "." in value or " " in value  # sums and lists of figures look alike
+        strong = shaped if loose else digits >= 9
+        date = r"(?:19|20)[0-9]{2}([-/ .])[0-9]{2}(?:\1[0-9]{2,4})?|[0-9]{2}([-/ .])[0-9]{2}\2[0-9]{2,4}"
+        weak = bool(re.fullmatch(date, value)) or digits < 7 or loose and not shaped
     votes = (2 if shaped else 1, 2 if strong else 0 if weak else 1, 2 if named else 0 if against else 1, 2 if assigned else 1, 0 if weak else 1)
     features = (shaped, strong, weak, named, against, assigned)
     return sum(v * 3**k for k, v in enumerate(votes)), sum(int(f) << k for k, f in enumerate(features))
@@ -126,7 +146,7 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, i
     taken = sorted((a, b) for _, a, b in base)
     out: list[tuple[str, int, int, int, int]] = []
     for kind, pattern in PATTERNS:
-        if kind == "contact" and "at]" not in text and "at)" not in text:
+        if kind == "contact" and not any(word in text for word in ("dot", "Dot", "DOT")):
             continue
         for match in pattern.finditer(text):
             a, b = match.span()
