@@ -19,7 +19,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of exact and near copies (shingles of five words, similarity 0.8)."""
+    """One document of each group of exact and near copies: SimHash links and the pairs that are further apart in
+    bits, both held against a similarity of 0.8 of the shingles of five words."""
     return simhash.keep_one(docs)
 
 

@@ -254,6 +254,27 @@ def test_repeated_lines_count_once(spark):
     assert kept_near(spark, rows) == brute_groups(rows) and set(brute_groups(rows)) >= {1, 3, 4, 5}
 
 
+def test_near_dedup_links_fingerprints_first(spark, monkeypatch):
+    """Copies with close fingerprints are linked by the pigeonring join, if they are similar; the rest is still found."""
+    rng = np.random.default_rng(19)
+    own = lambda n: [f"s{k}" for k in rng.integers(0, 10**6, n)]
+    rows, seen = [], []
+    for k in range(12):
+        base = own(3000 if k % 2 else 200)
+        rows += [(10 * k, " ".join(base)), (10 * k + 1, " ".join([*base[:-1], "other"]).upper()), (10 * k + 2, " ".join(base[: -len(base) // 8]))]
+    rows += [(1000, ""), (1001, " "), (1002, None), (1003, "\t")]
+    asked, linked = simhash.links, simhash.print_links
+    monkeypatch.setattr(simhash, "links", lambda prints, *a: seen.append({r.fp for r in prints.collect()}) or asked(prints, *a))
+    monkeypatch.setattr(simhash, "print_links", lambda nodes, *a: seen.append(found := linked(nodes, *a)) or found)
+    assert kept_near(spark, rows) == sorted({*brute_groups([(d, t or "") for d, t in rows if d < 1000]), 1000, 1001, 1003})
+    sets = [simhash.shingle_set(t.lower().encode(), 5) for d, t in rows if d < 1000]
+    prints = [simhash.majority(x[:, None])[0] for x in sets]
+    assert {p % 2**64 for p in seen[0]} == set(prints)
+    label = classes(prints, lambda a, b: (a ^ b).bit_count() <= 2)
+    pairs = [(r.a, r.b) for r in seen[1].collect()]
+    assert len(set(label)) < len(prints) and len({n for p in pairs for n in p}) == sum(label.count(x) > 1 for x in label)
+
+
 def test_parities_bound_the_difference():
     rng = np.random.default_rng(15)
     some = lambda n: np.unique(rng.integers(0, 2**64, n, np.uint64))

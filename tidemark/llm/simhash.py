@@ -11,10 +11,11 @@ Equal fingerprints are grouped first, and only one row of each goes on. A key wi
 neighbour at most one bit from each, so its members are linked by the neighbours that they share,
 65 rows a fingerprint however many there are. Both ways together find every link.
 
-For documents with a similar wording (`near_duplicates`) the distance grows past what any run of equal
-bits could index, so candidates come from a prefix filter: of two texts with that share of shingles in
-common, the rarest shingles of each hold a common one. Sizes and parity bits drop pairs that can't be
-similar, and the Jaccard similarity of the two shingle sets decides.
+Documents with a similar wording (`near_duplicates`) are linked the same way first: fingerprints, pigeonring,
+Hamming check, then the Jaccard similarity of the two shingle sets, which decides. What it takes for similar grows
+past what any run of equal bits could index, so pairs that are further apart in bits, and still in different classes,
+come from a prefix filter: of two texts with that share of shingles in common, the rarest shingles of each hold a
+common one. Sizes and parity bits drop pairs that can't be similar, and the same similarity decides.
 """
 
 from __future__ import annotations
@@ -206,7 +207,8 @@ def near_enough(bits_a: Column, bits_b: Column, n_a: Column, n_b: Column, simila
 
 
 def sketch(text: Column, size: int, similarity: float, common: Broadcast) -> Column:
-    """struct<n, cold, bits, keys>: the number of distinct shingles, parities, and the prefix in the order of `common`.
+    """struct<n, fp, cold, bits, keys>: the number of distinct shingles, their fingerprint, parities, and the prefix in
+    the order of `common`.
 
     `common` holds hashes, ascending, and their counts in a sample; others count 0. The rarer come first, ties by
     hash. `cold` is how many of the prefix are not in `common`.
@@ -222,12 +224,14 @@ def sketch(text: Column, size: int, similarity: float, common: Broadcast) -> Col
                 at = np.minimum(np.searchsorted(hot, hashes), len(hot) - 1)
                 ranks = np.where(hot[at] == hashes, counts[at], 0)
             first = np.argsort(ranks, kind="stable")[: prefix(len(hashes), similarity)]
-            out.append((len(hashes), int((ranks[first] == 0).sum()), parities(hashes), hashes[first].view(np.int64)))
-        n, cold, bits, keys = zip(*out, strict=True) if out else ((), (), (), ())
+            fp = signed(majority(hashes[:, None])[0])
+            out.append((len(hashes), fp, int((ranks[first] == 0).sum()), parities(hashes), hashes[first].view(np.int64)))
+        n, fp, cold, bits, keys = zip(*out, strict=True) if out else ((), (), (), (), ())
+        numbers = [pa.array(n, pa.int32()), pa.array(fp, pa.int64()), pa.array(cold, pa.int32())]
         lists = [pa.array(x, pa.list_(pa.int64())) for x in (bits, keys)]
-        return pa.StructArray.from_arrays([pa.array(n, pa.int32()), pa.array(cold, pa.int32()), *lists], names=["n", "cold", "bits", "keys"])
+        return pa.StructArray.from_arrays([*numbers, *lists], names=["n", "fp", "cold", "bits", "keys"])
 
-    return F.arrow_udf(run, "struct<n:int,cold:int,bits:array<bigint>,keys:array<bigint>>")(text.cast("string"))
+    return F.arrow_udf(run, "struct<n:int,fp:bigint,cold:int,bits:array<bigint>,keys:array<bigint>>")(text.cast("string"))
 
 
 def common_shingles(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -362,14 +366,29 @@ def across(met: DataFrame, found: DataFrame, nodes: DataFrame, similarity: float
     return pairs.union(ordered).distinct()
 
 
+def print_links(nodes: DataFrame, bits: int = MAX_BITS) -> DataFrame:
+    """(a, b): texts whose fingerprints differ in at most `bits` bits, found by `links`.
+
+    One text of each fingerprint stands for it: it is paired with the others that have the same, and with those that
+    stand for the fingerprints beside it. Texts without words take no part.
+    """
+    worded = nodes.filter("n > 0").select("node", "fp")
+    prints = materialize(worded.groupBy("fp").agg(F.min("node").alias("first")), "near-prints")
+    equal = worded.join(prints, "fp").filter("node != first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    side = lambda name: prints.select(F.col("fp").alias(f"fp_{name}"), F.col("first").alias(name))
+    close = links(prints.select("fp"), bits).select(F.col("a").alias("fp_a"), F.col("b").alias("fp_b"))
+    return equal.union(close.join(side("a"), "fp_a").join(side("b"), "fp_b").select("a", "b"))
+
+
 def near_duplicates(docs: DataFrame, size: int = NEAR_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """(text_hash, text_size, group): the class of each distinct text among texts of similar wording.
 
     Classes are the connected components of all pairs of texts whose sets of shingles reach the similarity.
-    Equal texts are one row from the start. Two such sets share a shingle of their prefixes, so texts that share
-    none are never compared. In each key the text with the fewest rare shingles is compared with the others first;
-    what then lies in different classes of a key is compared pair by pair. Texts without words are only equal to
-    each other.
+    Equal texts are one row from the start. Texts with close fingerprints are linked first, if they are that similar;
+    the other pairs are searched between different classes only. Two such sets share a shingle of their prefixes, so
+    texts that share none are never compared. In each key the text with the fewest rare shingles is compared with the
+    others first; what then lies in different classes of a key is compared pair by pair. Texts without words are only
+    equal to each other.
     """
     rows = docs.select(*text_key("text"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     common = docs.sparkSession.sparkContext.broadcast(common_shingles(rows, size))
@@ -377,16 +396,19 @@ def near_duplicates(docs: DataFrame, size: int = NEAR_SHINGLE, similarity: float
     # Equal texts have equal sketches: any row of a text will do
     nodes = prints.groupBy("text_hash", "text_size").agg(F.first("s").alias("s"))
     nodes = materialize(nodes.select(F.struct("text_hash", "text_size").alias("node"), "s.*"), "near-nodes")
+    near = materialize(verified(print_links(nodes), nodes, rows, size, similarity), "near-linked")
+    found = materialize(components(near, "near"), "near-found")
     keyed = nodes.select("node", "n", "cold", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("key")
-    met = materialize(keyed.join(shared, "key"), "near-met")
-    leaders = met.groupBy("key").agg(F.min(F.struct("cold", F.xxhash64("node").alias("o"), "node", "n")).alias("l"))
-    star = met.join(leaders, "key").filter((F.col("node") != F.col("l.node")) & alike(F.col("n"), F.col("l.n"), similarity))
+    met = keyed.join(shared, "key").join(found, "node", "left")
+    met = materialize(met.withColumn("component", F.coalesce("component", "node")), "near-met")
+    leaders = met.groupBy("key").agg(F.min(F.struct("cold", F.xxhash64("node").alias("o"), "node", "n", "component")).alias("l"))
+    star = met.join(leaders, "key").filter((F.col("component") != F.col("l.component")) & alike(F.col("n"), F.col("l.n"), similarity))
     star = star.select(F.col("l.node").alias("a"), F.col("node").alias("b")).distinct()
-    links = materialize(verified(star, nodes, rows, size, similarity), "near-star")
-    rest = across(met, components(links, "near"), nodes, similarity)
-    links = links.union(materialize(verified(rest, nodes, rows, size, similarity), "near-across"))
-    classes = components(links, "near")
+    near = near.union(materialize(verified(star, nodes, rows, size, similarity), "near-star"))
+    rest = across(met.drop("component"), components(near, "near"), nodes, similarity)
+    near = near.union(materialize(verified(rest, nodes, rows, size, similarity), "near-across"))
+    classes = components(near, "near")
     return classes.select("node.text_hash", "node.text_size", F.col("component").alias("group"))
 
 
