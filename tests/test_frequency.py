@@ -75,3 +75,22 @@ def test_fine_slides_and_quiet_windows(spark):
         assert table.count() == pytest.approx(1 / fraction, rel=0.01)
     kept = frequency.keyword_frequency(events, ["1h"], min_frequency=2)
     assert sorted((r["frequency"], r["source"]) for r in kept.collect()) == [(1, "__all__"), (1, "x"), (2, "__all__"), (2, "x")]
+
+
+def test_tumbling_roll_up_is_compiled_and_dealt_finely(spark):
+    """No function over an array runs per row, and a partition is a small part of the rows; no bucket is in no window."""
+    rows = [("a", 3600 * k, 1 + k % 3) for k in range(-30, 60)] + [("a", None, 5), (None, 7200, 2)]
+    counts = spark.createDataFrame(rows, "keyword string, bucket bigint, frequency bigint")
+    labels = ["1h", "6h", "7d"]
+    rolled = frequency.roll_up(counts, labels, 1.0, ["keyword"])
+    text = rolled._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in text
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions")) * frequency.FINER
+    assert "hashpartitioning(keyword#" in text and f", {parts}), REPARTITION_BY_NUM" in text
+    want = {}
+    for keyword, bucket, n in rows:
+        for i, size in enumerate((3600, 21600, 604800)) if bucket is not None else ():
+            key = (keyword, i, bucket - bucket % size)
+            want[key] = want.get(key, 0) + n
+    assert {(r.keyword, r.label, r.start): r.frequency for r in rolled.collect()} == want
+    assert frequency.roll_up(counts, labels, 1.0, ["keyword"], 3).rdd.getNumPartitions() == 3

@@ -153,3 +153,18 @@ def test_merged_sketches_stay_within_their_bound(spark):
         union = union.unionByName(each)
     got = {r["keyword"]: r["source_diversity"] for r in signals.merged_diversity(union).collect()}
     assert got["few"] == 2 and got["none"] == 0 and abs(got["k"] - 10_000) < 4 * 0.016 * 10_000
+
+
+def test_small_peer_statistics_leave_the_series_where_they_are(spark):
+    rows = series(spark, [1, 2, 4, 8], "a").unionByName(series(spark, [2, 2, 3, 9], "b"))
+    scored = signals.peer_zscore(signals.growth_rate(rows))
+    text = scored._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and "HashAggregate" not in text
+
+
+def test_trends_of_stored_counts(spark, sf):
+    events = B.event_mentions(spark, sf)
+    counts = frequency.base_counts(events, frequency.grain(("1h", "24h"), 1.0))
+    made = signals.trends_of_counts(counts, ("1h", "24h"))
+    direct = signals.trends_of_events(events, ("1h", "24h"))
+    assert made.exceptAll(direct).isEmpty() and direct.exceptAll(made).isEmpty() and not made.isEmpty()

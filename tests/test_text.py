@@ -163,3 +163,12 @@ def test_entities_take_no_exchange(spark):
     assert "Exchange" not in plan and "Join" not in plan and "Generate" not in plan
     none = entities.tag_entities(docs, words.limit(0), 2, ("id",))
     assert none.count() == 10 and none.filter("size(entities) > 0").isEmpty()
+
+
+def test_words_are_split_by_single_characters(spark):
+    """The class of word characters names each: ranges take several times as long. The words are the same."""
+    assert "-" not in text.NOT_WORD
+    odd = "Ab-c d_e\tf9#x @u,,é ß×0z\u2028ÀK\U0001f600q [x^y] \\w `{|}~ /:;<=>? A\x00b"
+    frame = spark.createDataFrame([(odd,), ("",), (None,)], "t string")
+    got = frame.select(text.words(F.col("t")), F.split(F.lower(text.strip_links(F.col("t"))), "[^a-z0-9#@]+")).collect()
+    assert [r[0] for r in got] == [r[1] for r in got] and len(got[0][0]) > 10

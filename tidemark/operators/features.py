@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas
 from tidemark import settings as S
-from tidemark.operators.frequency import with_source_counts
+from tidemark.operators.frequency import dealt, with_source_counts
 from tidemark.operators.normalize import align
 from tidemark.operators.signals import detect_trends
 
@@ -73,13 +73,13 @@ def _finish(features: DataFrame) -> DataFrame:
 
 
 def build_features(frequency: DataFrame, trends: DataFrame) -> DataFrame:
-    """Feature table of a frequency and a trend table that may cover different keys."""
+    """Feature table of a frequency and a trend table that may cover different keys. Dealt by number, so that a
+    task of the joins holds a small part of the wide rows."""
     key = list(KEY)
-    return _finish(
-        pivot_frequency(frequency)
-        .join(pivot_trend_metrics(trends), key, "left")
-        .join(source_diversity(frequency), key, "left")
+    counted, metrics, diversity = (
+        dealt(part, *key) for part in (pivot_frequency(frequency), pivot_trend_metrics(trends), source_diversity(frequency))
     )
+    return _finish(counted.join(metrics, key, "left").join(diversity, key, "left"))
 
 
 def features_of_trends(global_trends: DataFrame) -> DataFrame:

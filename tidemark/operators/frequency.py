@@ -13,6 +13,10 @@ from tidemark.functions.times import bucket_start, slide_seconds, window_seconds
 
 COLUMNS = ("keyword", "window_start", "window_end", "frequency", "window", "source")
 
+#: Partitions of a roll-up for each shuffle partition of the session. Its rows multiply behind the exchange, where
+#: Spark, which merges partitions by exchanged bytes, doesn't see them: they are dealt finer, and by number.
+FINER = 4
+
 
 def grain(labels: Sequence[str], slide_fraction: float) -> int:
     """Longest bucket that every window starts and ends on."""
@@ -38,22 +42,35 @@ def base_counts(events: DataFrame, seconds: int, by_source: bool = True) -> Data
 def _spans(bucket: Column, labels: Sequence[str], slide_fraction: float) -> Column:
     """Array of the windows (label number, start) that hold a bucket.
 
-    One expression a label, whatever the slide: the starts are a sequence from the earliest window
-    that reaches the bucket to the last one that begins before it.
+    One expression a label, whatever the slide: where windows overlap the starts are a sequence from the
+    earliest window that reaches the bucket to the last one that begins before it; else there is one, which
+    takes no function over an array and is compiled. No bucket is in no window.
     """
-    parts = []
+    single, parts = [], []
     for number, label in enumerate(labels):
         size, slide = window_seconds(label), slide_seconds(label, slide_fraction)
         last = bucket_start(bucket, slide)
+        if slide == size:
+            single.append(F.struct(F.lit(number).alias("label"), last.alias("start")))
+            continue
         first = bucket_start(bucket - F.lit(size), slide) + F.lit(slide)
         starts = F.when(first <= last, F.sequence(first, last, F.lit(slide).cast("long")))
         starts = F.coalesce(starts, F.array().cast("array<bigint>"))
         named = F.lit(number).alias("label")
         parts.append(F.transform(starts, lambda at: F.struct(named, at.alias("start"))))  # noqa: B023 - called at once
-    return F.concat(*parts)
+    if single:
+        parts.insert(0, F.when(bucket.isNotNull(), F.array(*single)).otherwise(F.array().cast("array<struct<label:int,start:bigint>>")))
+    return F.concat(*parts) if len(parts) > 1 else parts[0]
+
+
+def dealt(df: DataFrame, *keys: str, partitions: int | None = None) -> DataFrame:
+    """Rows dealt by their keys over so many partitions, by default FINER for each shuffle partition of the session."""
+    return df.repartition(partitions or FINER * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
-def roll_up(counts: DataFrame, labels: Sequence[str], slide_fraction: float, keys: list[str]) -> DataFrame:
+def roll_up(
+    counts: DataFrame, labels: Sequence[str], slide_fraction: float, keys: list[str], partitions: int | None = None
+) -> DataFrame:
     """Base counts to the windows of every label, as (keys, label number, start, frequency).
 
     Partitioned by series before the buckets are expanded: a series holds at most one row per
@@ -62,7 +79,7 @@ def roll_up(counts: DataFrame, labels: Sequence[str], slide_fraction: float, key
     """
     spans = F.inline(_spans(F.col("bucket"), labels, slide_fraction))
     return (
-        counts.repartition(*keys)
+        dealt(counts, *keys, partitions=partitions)
         .select(*keys, "frequency", spans)
         .groupBy(*keys, "label", "start")
         .agg(F.sum("frequency").alias("frequency"))
@@ -169,9 +186,5 @@ def with_source_counts(events: DataFrame, labels: Sequence[str] = S.WINDOWS, top
         # Not a semi-join, which Spark would push below the counting; nor may only one side drop null keywords
         counts = counts.join(most_mentioned(counts, top).select("keyword"), "keyword")
     rolled = roll_up(counts, labels, 1.0, ["keyword", "source"])
-    merged = (
-        rolled.groupBy("keyword", "label", "start")
-        .agg(F.sum("frequency").alias("frequency"), F.count("*").alias("sources"))
-        .repartition("keyword")
-    )
-    return name_windows(merged, labels).withColumn("source", F.lit(S.ALL_SOURCES))
+    merged = rolled.groupBy("keyword", "label", "start").agg(F.sum("frequency").alias("frequency"), F.count("*").alias("sources"))
+    return name_windows(dealt(merged, "keyword"), labels).withColumn("source", F.lit(S.ALL_SOURCES))

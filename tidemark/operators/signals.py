@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas
 from tidemark import settings as S
 from tidemark.operators import frequency as freq
+from tidemark.session import materialize
 
 SERIES = ("keyword", "window", "source")
 
@@ -134,7 +135,12 @@ def trends_of_events(events: DataFrame, labels=S.WINDOWS, slide_fraction: float
     Signals are derived on each half of the frequency table before the union, while the rows of
     a series still share a partition, so the window functions add no exchange.
     """
-    halves = freq.frequency_halves(events, labels, slide_fraction)
+    return trends_of_counts(freq.base_counts(events, freq.grain(labels, slide_fraction)), labels, slide_fraction, **params)
+
+
+def trends_of_counts(counts: DataFrame, labels=S.WINDOWS, slide_fraction: float = 1.0, **params) -> DataFrame:
+    """The same from base counts, for readers that store them and go through them more than once."""
+    halves = freq.halves_of_counts(counts, labels, slide_fraction)
     global_half, source_half = (detect_trends(half, **params) for half in halves)
     return global_half.unionByName(source_half)
 
@@ -167,12 +173,14 @@ def peer_zscore(df: DataFrame, value: str = "growth_rate", output: str = "peer_z
 
     A bucket may hold every keyword there is, so its statistics are aggregated (combined before
     the shuffle) and joined back on the bucket and a salt: each bucket's one row is there `salts` times, and its keywords
-    are dealt over as many tasks whether or not Spark splits them itself.
+    are dealt over as many tasks whether or not Spark splits them itself. The statistics are written first: while they are
+    small, Spark broadcasts them and the series stay where they are. Reads its input twice.
     """
     bucket = ["window", "source", "window_start"]
     stats = df.groupBy(*bucket).agg(
         F.avg(value).alias("_mean"), F.stddev_pop(value).alias("_sigma"), F.count(value).alias("_n")
     )
+    stats = materialize(stats, "peer-statistics")
     usable = F.when(F.col("_n") >= 2, F.col("_sigma"))
     score = _score(F.col(value), F.col("_mean"), usable)
     dealt = df.withColumn("_salt", F.pmod(F.xxhash64("keyword"), F.lit(salts)).cast("int"))
