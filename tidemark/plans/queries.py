@@ -208,7 +208,9 @@ def board_load(spark, sf):
 def board_load_trends(spark, sf):
     """Stored trend tables of differing columns without a board time: their window start stands in."""
     root = scratch_path(spark, "board-trends")
-    table = trends(spark, sf)
+    # Both tables go through the counts; the texts are read once
+    counts = materialize(frequency.base_counts(B.mentions(spark, sf), frequency.grain(S.WINDOWS, 1.0)), "base-counts")
+    table = signals.trends_of_counts(counts)
     own = F.col("source") == S.ALL_SOURCES
     files.write_parquet(table.filter(own).drop("source", "growth_rate"), f"{root}/all/dt=2024-01-31", "overwrite")
     files.write_parquet(table.filter(~own).drop("velocity"), f"{root}/each/dt=2024-01-31", "overwrite")
