@@ -540,7 +540,8 @@ def growth_rate_clamped(spark, sf):
 
 @query
 def peer_zscore(spark, sf):
-    return rounded(signals.peer_zscore(signals.growth_rate(series(spark, sf))), 6, "peer_z")
+    rated = materialize(signals.growth_rate(series(spark, sf)), "rated")  # read for its statistics, then for its rows
+    return rounded(signals.peer_zscore(rated), 6, "peer_z")
 
 
 @query
