@@ -861,7 +861,8 @@ def keyword_summary_text(spark, sf):
 
 @query
 def related_by_label(spark, sf):
-    return board.related_by_label(trend_board(spark, sf), FOCUS[0])
+    shown = trend_board(spark, sf).select("keyword", "timestamp", "window", "source", "trend_label", "frequency")
+    return board.related_by_label(materialize(shown, "board"), FOCUS[0])  # read for the keyword's label, then for its rows
 
 
 @query
