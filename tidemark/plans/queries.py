@@ -915,7 +915,7 @@ def forecast_facets(spark, sf):
 def forecast_board_load(spark, sf):
     """Predictions of two folders, one with its times as text, read as one forecast board."""
     root = scratch_path(spark, "predictions")
-    table = predictions(spark, sf)
+    table = materialize(predictions(spark, sf), "predicted")  # read for each folder
     early = F.col("trend_class").eqNullSafe("stable")
     shown = {
         "kept": table.filter(early),
