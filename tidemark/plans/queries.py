@@ -956,7 +956,8 @@ def forecast_track(spark, sf):
 @query
 def forecast_priority(spark, sf):
     """Forecasts against the newest hourly count of each keyword."""
-    table = feature_table(spark, sf)
+    # Read for its forecasts, then for its newest counts
+    table = materialize(feature_table(spark, sf).select("keyword", "timestamp", "freq_1h", "trend_label"), "hourly")
     current = table.groupBy("keyword").agg(F.max_by("freq_1h", "timestamp").alias("current_freq"))
     ranked = outlook.priority(forecast.forecast_linear(table, n=None), current)
     return rounded(rounded(ranked, 4, "confidence"), 6, "change_pct")
